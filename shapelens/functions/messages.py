@@ -37,16 +37,20 @@ def parse_json(text: Column) -> Column:
     return F.try_parse_json(text)
 
 
-def field_text(event: Column, field: str) -> Column:
-    """Text of a top-level field. NULL only when the key is absent: a JSON null reads as `null`, a container as ``."""
-    value = F.variant_get(event, f"$['{field}']", "variant")
+def field(event: Column, name: str) -> Column:
+    """Top-level field as a variant; NULL only when the key is absent, a JSON null is a value."""
+    return F.variant_get(event, f"$['{name}']", "variant")
+
+
+def scalar_text(value: Column) -> Column:
+    """Text of a scalar variant: a JSON null reads as `null`, an object or array as the empty text."""
     schema = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(schema == "VOID", "null")
-        .when(schema.startswith("OBJECT<") | schema.startswith("ARRAY<"), "")
-        .otherwise(F.variant_get(event, f"$['{field}']", "string"))
-    )
+    container = schema.startswith("OBJECT<") | schema.startswith("ARRAY<")
+    return F.when(F.is_variant_null(value), "null").when(container, "").otherwise(value.try_cast("string"))
+
+
+def field_text(event: Column, name: str) -> Column:
+    return scalar_text(field(event, name))
 
 
 def timestamp_unit(timestamp_text: Column) -> Column:

@@ -36,11 +36,13 @@ def decode_messages(messages: DataFrame, registry: DataFrame | None = None,
         m.is_avro_message(value, hash_length).alias("is_avro"),
         m.message_text(value).alias("text"),
     )
-    rows = rows.select(
-        *messages.columns, "is_avro",
+    # Decoding comes out of a one-row generator: filters on its results stay above it, so that Catalyst does not
+    # copy the JSON parse into them.
+    rows = rows.select(*messages.columns, F.inline_outer(F.array(F.struct(
+        "is_avro",
         F.when(F.col("is_avro"), m.schema_hash_of(value, hash_length)).alias("schema_hash"),
         F.when(~F.col("is_avro"), m.parse_json(F.col("text"))).alias("event"),
-    )
+    ))))
     known = F.lit(False)
     if registry is not None:
         rows = schema_registry_lookup(rows, registry)
@@ -78,23 +80,17 @@ def classify_events(decoded: DataFrame) -> DataFrame:
     A broken message has neither. `event_type` is set for valid events only, so it serves as the grouping key of
     everything behind without a filter that would parse the JSON a second time.
     """
-    event = F.col("event")
-    rows = decoded.select(
-        *decoded.columns,
-        m.field_text(event, m.FIELD_ID).alias("id"),
-        m.field_text(event, m.FIELD_TIMESTAMP).alias("timestamp_text"),
-        m.field_text(event, m.FIELD_EVENT_TYPE).alias("type_text"),
-        m.field_text(event, m.FIELD_VERSION).alias("version"),
-    )
-    invalid = F.when(
-        F.col("broken_reason").isNull(),
-        F.when(F.col("type_text").isNull(), NO_EVENT_TYPE).when(F.col("timestamp_text").isNull(), NO_TIMESTAMP),
-    )
-    valid = F.col("broken_reason").isNull() & F.col("type_text").isNotNull() & F.col("timestamp_text").isNotNull()
+    columns = decoded.columns
+    fields = {"id": m.FIELD_ID, "timestamp_text": m.FIELD_TIMESTAMP, "type_text": m.FIELD_EVENT_TYPE, "version": m.FIELD_VERSION}
+    rows = decoded.select(*columns, *[m.field(F.col("event"), f).alias(c) for c, f in fields.items()])
+    readable = F.col("broken_reason").isNull()
+    has_type, has_time = F.col("type_text").isNotNull(), F.col("timestamp_text").isNotNull()
     return rows.select(
-        *decoded.columns, "id", "timestamp_text", "version", m.timestamp_unit(F.col("timestamp_text")).alias("timestamp_unit"),
-        invalid.alias("invalid_reason"), F.when(valid, F.col("type_text")).alias("event_type"),
-    )
+        *columns, m.scalar_text(F.col("id")).alias("id"), m.scalar_text(F.col("timestamp_text")).alias("timestamp_text"),
+        m.scalar_text(F.col("version")).alias("version"),
+        F.when(readable & ~has_type, NO_EVENT_TYPE).when(readable & ~has_time, NO_TIMESTAMP).alias("invalid_reason"),
+        F.when(readable & has_type & has_time, m.scalar_text(F.col("type_text"))).alias("event_type"),
+    ).withColumn("timestamp_unit", m.timestamp_unit(F.col("timestamp_text")))
 
 
 def split_broken(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
