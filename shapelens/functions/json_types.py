@@ -2,6 +2,8 @@
 
 A node of a structure tree carries a *set* of JSON types and a set of array item types. Kept as a bit mask, both
 sets merge with `bit_or`, which is a fixed-width aggregation buffer: Spark hash-aggregates it map-side.
+
+Expressions here are SQL text over column names: one gateway call each, however many branches they have.
 """
 
 from __future__ import annotations
@@ -16,46 +18,26 @@ BIT = {name: 1 << position for position, name in enumerate(JSON_TYPES)}
 ITEM_SHIFT = len(JSON_TYPES)
 
 
-def json_type_bit(variant_schema: Column) -> Column:
-    """Bit of the JSON type that a `schema_of_variant` string stands for.
+def json_type_bit(schema: str) -> str:
+    """SQL for the bit of the JSON type that a `schema_of_variant` text stands for.
 
     Decimals are floating point, unless they have no fraction digits and more digits than a BIGINT holds:
     those are integers too large for 64 bits.
     """
-    s = variant_schema
-    big_integer = s.endswith(",0)") & (F.length(s) >= len("DECIMAL(19,0)"))
-    return (
-        F.when(s == "STRING", BIT["TEXTUAL"])
-        .when(s == "BIGINT", BIT["INTEGER"])
-        .when(s.startswith("DECIMAL("), F.when(big_integer, BIT["INTEGER"]).otherwise(BIT["FLOAT"]))
-        .when(s.isin("DOUBLE", "FLOAT"), BIT["FLOAT"])
-        .when(s == "BOOLEAN", BIT["BOOLEAN"])
-        .when(s == "VOID", BIT["NULL"])
-        .when(s.startswith("OBJECT<"), BIT["OBJECT"])
-        .when(s.startswith("ARRAY<"), BIT["ARRAY"])
-        .when(s == "BINARY", BIT["BINARY"])
-        .otherwise(BIT["UNKNOWN"])
-    )
-
-
-def json_type_name(variant_value: Column) -> Column:
-    """JSON type name of a variant value."""
-    bit = json_type_bit(F.schema_of_variant(variant_value))
-    return F.element_at(F.array(*[F.lit(n) for n in JSON_TYPES]), (F.log2(bit) + 1).cast("int"))
-
-
-def has_type(mask: Column, name: str, item: bool = False) -> Column:
-    return mask.bitwiseAND(F.lit(BIT[name] << (ITEM_SHIFT if item else 0))) != 0
-
-
-def types_in(mask: Column, item: bool = False) -> Column:
-    """Names of the types in a mask, sorted, as an array column."""
-    return F.array_compact(F.array(*[F.when(has_type(mask, n, item), F.lit(n)) for n in JSON_TYPES]))
-
-
-def mask_of(names: Column, item: bool = False) -> Column:
-    """Inverse of `types_in` for one type-name column."""
-    expr = F.lit(0)
-    for name in JSON_TYPES:
-        expr = F.when(names == name, BIT[name] << (ITEM_SHIFT if item else 0)).otherwise(expr)
-    return expr
+    big_integer = f"endswith({schema}, ',0)') and length({schema}) >= {len('DECIMAL(19,0)')}"
+    return f"""case when {schema} = 'STRING' then {BIT['TEXTUAL']} when {schema} = 'BIGINT' then {BIT['INTEGER']}
+        when startswith({schema}, 'DECIMAL(') then if({big_integer}, {BIT['INTEGER']}, {BIT['FLOAT']})
+        when {schema} in ('DOUBLE', 'FLOAT') then {BIT['FLOAT']} when {schema} = 'BOOLEAN' then {BIT['BOOLEAN']}
+        when {schema} = 'VOID' then {BIT['NULL']} when startswith({schema}, 'OBJECT<') then {BIT['OBJECT']}
+        when startswith({schema}, 'ARRAY<') then {BIT['ARRAY']} when {schema} = 'BINARY' then {BIT['BINARY']}
+        else {BIT['UNKNOWN']} end"""
+
+
+def has_type(mask: str, name: str, item: bool = False) -> str:
+    return f"({mask} & {BIT[name] << (ITEM_SHIFT if item else 0)}) <> 0"
+
+
+def types_in(mask: str, item: bool = False) -> Column:
+    """Names of the types in a mask column, sorted, as an array."""
+    names = ", ".join(f"if({has_type(mask, n, item)}, '{n}', null)" for n in JSON_TYPES)
+    return F.expr(f"array_compact(array({names}))")

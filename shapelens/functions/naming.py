@@ -21,6 +21,12 @@ def child_path(parent: Column, name: Column) -> Column:
     return F.when(parent == "", escape_name(name)).otherwise(F.concat(parent, F.lit("."), escape_name(name)))
 
 
+def child_path_sql(parent: str, name: str) -> str:
+    """`child_path` as SQL text, for expressions repeated over many levels."""
+    escaped = rf"if({name} = '', r'\0', replace(replace({name}, r'\', r'\\'), '.', r'\.'))"
+    return f"if({parent} = '', {escaped}, concat({parent}, '.', {escaped}))"
+
+
 def unescape(path: Column) -> Column:
     return F.regexp_replace(F.replace(path, F.lit("\\0"), F.lit("")), r"\\(.)", "$1")
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from shapelens.functions.json_types import has_type
 
 # Widest type first, each with the primitive it maps to (BINARY has none).
@@ -32,30 +29,31 @@ WAREHOUSE_SPARK_TYPE = {
 }
 
 
-def translate(primitive: Column, mapping: dict[str, str]) -> Column:
-    expr = F.lit(mapping["TEXT"])
-    for name, target in mapping.items():
-        expr = F.when(primitive == name, target).otherwise(expr)
-    return expr
+def translate(primitive: str, mapping: dict[str, str]) -> str:
+    """SQL for the target name of a primitive; unknown and absent ones take the TEXT entry."""
+    cases = " ".join(f"when {primitive} = '{name}' then '{target}'" for name, target in mapping.items())
+    return f"case {cases} else '{mapping['TEXT']}' end"
+
 
+def avro_primitive(types: str) -> str:
+    """SQL for the primitive of the widest Avro type in an array of type names; NULL when none is primitive."""
+    cases = " ".join(f"when array_contains({types}, '{name}') then '{target}'" for name, target in AVRO_RANK)
+    return f"case {cases} end"
 
-def avro_primitive(types: Column) -> Column:
-    """Primitive of the widest Avro type in an array of type names; NULL when none is primitive."""
-    return F.coalesce(*[F.when(F.array_contains(types, name), target) for name, target in AVRO_RANK])
 
+def json_primitive(mask: str, item: bool = False) -> str:
+    def target(name: str | None) -> str:
+        return "cast(null as string)" if name is None else f"'{name}'"
 
-def json_primitive(mask: Column, item: bool = False) -> Column:
-    expr = F.lit(None).cast("string")
-    for name, target in reversed(JSON_RANK):
-        expr = F.when(has_type(mask, name, item), F.lit(target).cast("string")).otherwise(expr)
-    return expr
+    cases = " ".join(f"when {has_type(mask, name, item)} then {target(to)}" for name, to in JSON_RANK)
+    return f"case {cases} end"
 
 
-def resolve_primitive(mask: Column, avro_types: Column, union_types: Column) -> Column:
+def resolve_primitive(mask: str, avro_types: str, union_types: str) -> str:
     """Avro first (a union looks at its branches when nothing else is primitive), then JSON."""
-    in_union = F.when(F.array_contains(avro_types, "UNION"), avro_primitive(union_types))
-    return F.coalesce(avro_primitive(avro_types), in_union, json_primitive(mask))
+    in_union = f"if(array_contains({avro_types}, 'UNION'), {avro_primitive(union_types)}, null)"
+    return f"coalesce({avro_primitive(avro_types)}, {in_union}, {json_primitive(mask)})"
 
 
-def resolve_item_primitive(mask: Column, avro_item_types: Column) -> Column:
-    return F.coalesce(avro_primitive(avro_item_types), json_primitive(mask, item=True))
+def resolve_item_primitive(mask: str, avro_item_types: str) -> str:
+    return f"coalesce({avro_primitive(avro_item_types)}, {json_primitive(mask, item=True)})"

@@ -10,10 +10,9 @@ from shapelens.functions.types import SPARK_TYPE, translate
 
 def column_list(structure: DataFrame) -> DataFrame:
     """Leaf and array columns of each type's view: `(event_type, column_path, column_type)`."""
-    kind = translate(F.when(F.col("is_array"), F.col("item_primitive")).otherwise(F.col("primitive")), SPARK_TYPE)
-    return structure.where("is_leaf").select(
-        "event_type", F.col("path").alias("column_path"),
-        F.when(F.col("is_array"), F.concat(F.lit("array<"), kind, F.lit(">"))).otherwise(kind).alias("column_type"))
+    kind = translate("if(is_array, item_primitive, primitive)", SPARK_TYPE)
+    return structure.where("is_leaf").selectExpr(
+        "event_type", "path as column_path", f"if(is_array, concat('array<', {kind}, '>'), {kind}) as column_type")
 
 
 def view_drift(current: DataFrame, previous: DataFrame) -> DataFrame:

@@ -12,11 +12,11 @@ distinct count on (path, event) instead.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shapelens.functions.json_types import BIT, ITEM_SHIFT, json_type_bit
-from shapelens.functions.naming import child_path
+from shapelens.functions.naming import child_path_sql
 from shapelens.session import sized
 
 _OBJECT = "map<string,variant>"
@@ -33,104 +33,77 @@ _DISTINCT = 3   # in an array without usable merged schema: types, and presence
 _ITEMS = "[]"
 
 
-def _schema_fields(variant_schema: Column) -> Column:
-    """`ARRAY<OBJECT<a: BIGINT>>` as a variant `{"[]": {"a": 0}}`: an object with the schema's field names."""
-    text = F.replace(variant_schema, F.lit("OBJECT<"), F.lit("{"))
-    text = F.replace(text, F.lit("ARRAY<"), F.lit("{" + _ITEMS + ": "))
-    text = F.replace(text, F.lit(">"), F.lit("}"))
-    text = F.regexp_replace(text, r": [A-Z]+(\(\d+,\d+\))?(?=[,}])", ": 0")
-    text = F.regexp_replace(text, r"([{ ])([A-Za-z0-9_\[\]]+): ", r'$1"$2": ')
-    return F.try_parse_json(text)
-
-
-def _lists_all_fields(variant_schema: Column) -> Column:
-    return ~variant_schema.contains("VARIANT") & ~variant_schema.contains("`")
+def _schema_fields(schema: str) -> str:
+    """SQL turning `ARRAY<OBJECT<a: BIGINT>>` into a variant `{"[]": {"a": 0}}`: an object with the schema's fields."""
+    braces = f"replace(replace(replace({schema}, 'OBJECT<', '{{'), 'ARRAY<', '{{{_ITEMS}: '), '>', '}}')"
+    scalars = rf"regexp_replace({braces}, r': [A-Z]+(\(\d+,\d+\))?(?=[,}}])', ': 0')"
+    return rf"""try_parse_json(regexp_replace({scalars}, r'([{{ ])([A-Za-z0-9_\[\]]+): ', '$1"$2": '))"""
 
 
 def _descend(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One level: each undecided row keeps its own place and adds a row per field, item or merged field."""
-    undecided = F.col("type").isNull()
-    in_list = F.col("role").isin(_PRESENCE)
-    rows = rows.select(
-        *keys, "event_no", "path", "role", "item", "type", "value",
-        F.when(undecided, F.col("value").try_cast(_OBJECT)).alias("fields"),
-        # items of an array that are arrays themselves are not entered
-        F.when(undecided & ~F.col("item"), F.col("value").try_cast(_ARRAY)).alias("items"),
-    )
-    rows = rows.select(
-        *keys, "event_no", "path", "role", "item", "fields", "items",
-        F.coalesce("type", F.when(F.col("fields").isNotNull(), "OBJECT<>").otherwise(F.schema_of_variant("value"))).alias("type"),
-    )
-    starts_array = F.col("items").isNotNull() & (F.col("role") == _PLAIN)
-    listed = _lists_all_fields(F.col("type"))
-    rows = rows.select(
-        *keys, "event_no", "path", "item", "fields", "items", "type", "role",
-        F.when(starts_array, F.when(listed, _TYPES).otherwise(_DISTINCT)).otherwise(F.col("role")).alias("item_role"),
-        F.when(starts_array & listed, F.variant_get(_schema_fields(F.col("type")), f"$['{_ITEMS}']", "variant")).alias("merged"),
-    )
-    nothing = F.lit(None).cast("string")
-    itself = F.array(F.struct(nothing.alias("key"), F.lit(None).cast("variant").alias("value")))
-    merged = F.array(F.struct(F.lit(_ITEMS).alias("key"), F.col("merged").alias("value")))
-    items = F.arrays_zip(
-        F.array_repeat(nothing, F.size("items")).alias("key"), F.col("items").alias("value")
-    ).cast(_ENTRIES)
-    rows = rows.select(
-        *keys, "event_no", "path", "item", "type", "role", "item_role", F.col("items").isNotNull().alias("of_array"),
-        # outer: no row is lost either way, and no filter on the whole entry list is inferred
-        F.explode_outer(
-            F.when(F.col("fields").isNotNull(), F.concat(itself, F.map_entries("fields")))
-            .when(F.col("merged").isNotNull(), F.concat(itself, merged, items))
-            .when(F.col("items").isNotNull(), F.concat(itself, items))
-            .otherwise(itself)
-        ).alias("entry"),
-    )
-    key, value = F.col("entry.key"), F.col("entry.value")
-    is_self = value.isNull()
-    is_item = ~is_self & (F.col("of_array") | ((F.col("role") == _PRESENCE) & (key == _ITEMS)))
-    is_field = ~is_self & ~is_item
+    kept = [_name(k) for k in keys] + ["event_no", "path", "item"]
+    # items of an array that are arrays themselves are not entered
+    rows = rows.selectExpr(
+        *kept, "role", "type", "value", f"if(type is null, try_cast(value as {_OBJECT}), null) as fields",
+        f"if(type is null and not item, try_cast(value as {_ARRAY}), null) as items")
+    rows = rows.selectExpr(
+        *kept, "role", "fields", "items", "coalesce(type, if(fields is not null, 'OBJECT<>', schema_of_variant(value))) as type")
+    rows = rows.selectExpr(
+        *kept, "role", "fields", "items", "type", f"items is not null and role = {_PLAIN} as starts_array",
+        "not contains(type, 'VARIANT') and not contains(type, '`') as lists_all")
+    # outer: no row is lost either way, and no filter on the whole entry list is inferred
+    itself = "array(struct(cast(null as string) as key, cast(null as variant) as value))"
+    merged = f"""array(struct('{_ITEMS}' as key, variant_get({_schema_fields("type")}, "$['{_ITEMS}']", 'variant') as value))"""
+    items = f"cast(arrays_zip(array_repeat(cast(null as string), size(items)), items) as {_ENTRIES})"
+    rows = rows.selectExpr(
+        *kept, "role", "type", "items is not null as of_array",
+        f"if(starts_array, if(lists_all, {_TYPES}, {_DISTINCT}), role) as item_role",
+        f"""explode_outer(case when fields is not null then concat({itself}, map_entries(fields))
+              when starts_array and lists_all then concat({itself}, {merged}, {items})
+              when items is not null then concat({itself}, {items}) else {itself} end) as entry""")
     # a merged schema of an array inside an array is not entered either
-    rows = rows.where(~((F.col("role") == _PRESENCE) & F.col("item") & F.coalesce(key == _ITEMS, F.lit(False))))
-    return rows.select(
-        *keys, "event_no",
-        F.when(is_field, child_path(F.col("path"), key)).otherwise(F.col("path")).alias("path"),
-        F.when(~is_self & F.col("of_array") & (key == _ITEMS), _PRESENCE)
-        .when(is_item & F.col("of_array"), F.col("item_role"))
-        .otherwise(F.col("role")).alias("role"),
-        F.when(is_self, F.col("item")).otherwise(is_item).alias("item"),
-        F.when(is_self, F.col("type")).alias("type"),
-        F.when(~is_self, value).alias("value"),
-    )
+    rows = rows.where(f"not (role = {_PRESENCE} and item and coalesce(entry.key = '{_ITEMS}', false))")
+    is_item = f"(of_array or (role = {_PRESENCE} and entry.key = '{_ITEMS}'))"
+    return rows.selectExpr(
+        *kept[:-2],
+        f"if(entry.value is null or {is_item}, path, {child_path_sql('path', 'entry.key')}) as path",
+        "if(entry.value is null, item, " + is_item + ") as item",
+        f"""case when entry.value is null or not of_array then role when entry.key = '{_ITEMS}' then {_PRESENCE}
+              else item_role end as role""",
+        "if(entry.value is null, type, null) as type", "entry.value as value")
+
+
+def _name(column: str) -> str:
+    return f"`{column}`"
 
 
 def walk(events: DataFrame, keys: list[str], event: str = "event", levels: int = 6) -> DataFrame:
     """Rows `(keys, event_no, path, role, item, mask, unfinished)` of all nodes down to `levels`."""
-    rows = events.select(
-        *keys, F.monotonically_increasing_id().alias("event_no"), F.lit("").alias("path"), F.lit(_PLAIN).alias("role"),
-        F.lit(False).alias("item"), F.lit(None).cast("string").alias("type"), F.col(event).alias("value"),
-    )
+    names = [_name(k) for k in keys]
+    rows = events.selectExpr(
+        *names, "monotonically_increasing_id() as event_no", "'' as path", "false as item", f"{_PLAIN} as role",
+        "cast(null as string) as type", f"{_name(event)} as value")
     for _ in range(levels):
         rows = _descend(rows, keys)
-    rows = rows.select(*keys, "event_no", "path", "role", "item", F.col("type").isNull().alias("last"),
-                       F.coalesce("type", F.schema_of_variant("value")).alias("type"))
-    bit = json_type_bit(F.col("type"))
-    container = (F.col("type").startswith("OBJECT<") & (F.col("type") != "OBJECT<>")) | (
-        F.col("type").startswith("ARRAY<") & ~F.col("item"))
-    return rows.where(F.col("type").isNotNull()).select(
-        *keys, "event_no", "path", "role", "item",
-        F.when(F.col("role") == _PRESENCE, 0).when(F.col("item"), F.shiftleft(bit, ITEM_SHIFT)).otherwise(bit).alias("mask"),
-        (F.col("last") & container).alias("unfinished"),
-    )
+    rows = rows.selectExpr(*names, "event_no", "path", "role", "item", "type is null as last",
+                           "coalesce(type, schema_of_variant(value)) as type")
+    bit = json_type_bit("type")
+    return rows.where("type is not null").selectExpr(
+        *names, "event_no", "path", "role", "item",
+        f"case when role = {_PRESENCE} then 0 when item then shiftleft({bit}, {ITEM_SHIFT}) else {bit} end as mask",
+        """last and ((startswith(type, 'OBJECT<') and type <> 'OBJECT<>') or (startswith(type, 'ARRAY<') and not item))
+           as unfinished""")
 
 
 def count_paths(events: DataFrame, keys: list[str], event: str = "event", levels: int = 6) -> DataFrame:
     """`(keys, path, mask, n_trees, unfinished)`; lazy, complete when no row is `unfinished`."""
     rows = walk(events, keys, event, levels)
-    once = F.col("role").isin(_PLAIN, _PRESENCE) & ~F.col("item")
     return rows.groupBy(*keys, "path").agg(
-        F.bit_or("mask").alias("mask"),
-        (F.sum(once.cast("bigint"))
-         + F.count_distinct(F.when((F.col("role") == _DISTINCT) & ~F.col("item"), F.col("event_no")))).alias("n_trees"),
-        F.bool_or("unfinished").alias("unfinished"),
+        F.expr("bit_or(mask) as mask"),
+        F.expr(f"""sum(if(role in ({_PLAIN}, {_PRESENCE}) and not item, 1L, 0L))
+                   + count(distinct if(role = {_DISTINCT} and not item, event_no, null)) as n_trees"""),
+        F.expr("bool_or(unfinished) as unfinished"),
     )
 
 

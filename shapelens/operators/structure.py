@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shapelens.functions import types as t
@@ -43,39 +43,36 @@ def merge_structures(*sources: DataFrame, sticky: bool = False) -> DataFrame:
     for source in sources[1:]:
         union = union.unionByName(_common(source))
     merged = union.groupBy("event_type", "path").agg(
-        F.bit_or("mask").alias("mask"), F.sum("n_trees").alias("n_trees"), F.bool_or("optional").alias("optional"),
-        *[F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in AVRO_SETS],
-        *[F.max(c).alias(c) for c in SAVED],
+        *[F.expr(e) for e in ("bit_or(mask) as mask", "sum(n_trees) as n_trees", "bool_or(optional) as optional")],
+        *[F.expr(f"array_sort(array_distinct(flatten(collect_set({c})))) as {c}") for c in AVRO_SETS],
+        *[F.expr(f"max({c}) as {c}") for c in SAVED],
     )
     # small, and read three times below
     merged = sized(merged.withColumn("parent_path", parent_path(F.col("path"))))
-    parents = merged.select("event_type", F.col("path").alias("parent_path"), F.col("n_trees").alias("parent_trees"))
+    parents = merged.selectExpr("event_type", "path as parent_path", "n_trees as parent_trees")
     inner = merged.where("parent_path is not null").groupBy("event_type", F.col("parent_path").alias("path")).agg(
         F.count("*").alias("n_children"))
     joined = merged.join(parents, ["event_type", "parent_path"], "left").join(inner, ["event_type", "path"], "left")
-    return describe(joined.withColumn(
-        "optional", F.coalesce(F.col("optional"), F.lit(False)) | F.coalesce(F.col("n_trees") < F.col("parent_trees"), F.lit(False))
-    ), sticky)
-
-
-def is_array(mask: Column, avro_types: Column, union_types: Column) -> Column:
-    return has_type(mask, "ARRAY") | F.array_contains(avro_types, "ARRAY") | F.array_contains(union_types, "ARRAY")
+    optional = F.expr("coalesce(optional, false) or coalesce(n_trees < parent_trees, false)")
+    return describe(joined.withColumn("optional", optional), sticky)
 
 
 def describe(rows: DataFrame, sticky: bool) -> DataFrame:
     """Names and resolved types of merged rows."""
-    mask, path = F.col("mask"), F.col("path")
-    leaf = F.col("n_children").isNull() & (path != "")
-    array = is_array(mask, F.col("avro_types"), F.col("avro_union_types"))
-    primitive = t.resolve_primitive(mask, F.col("avro_types"), F.col("avro_union_types"))
-    item = t.resolve_item_primitive(mask, F.col("avro_item_types"))
+    primitive = t.resolve_primitive("mask", "avro_types", "avro_union_types")
+    item = t.resolve_item_primitive("mask", "avro_item_types")
     if sticky:
-        primitive, item = F.coalesce("saved_primitive", primitive), F.coalesce("saved_item_primitive", item)
+        primitive, item = f"coalesce(saved_primitive, {primitive})", f"coalesce(saved_item_primitive, {item})"
+    rows = rows.withColumns({
+        "is_leaf": F.expr("n_children is null and path <> ''"),
+        "is_array": F.expr(f"""{has_type("mask", "ARRAY")} or array_contains(avro_types, 'ARRAY')
+                               or array_contains(avro_union_types, 'ARRAY')"""),
+    })
     return rows.select(
-        "event_type", "path", "parent_path", last_name(path).alias("name"), path_depth(path).alias("depth"),
-        "optional", "n_trees", "mask", types_in(mask).alias("json_types"), types_in(mask, item=True).alias("item_types"),
-        *AVRO_SETS, leaf.alias("is_leaf"), array.alias("is_array"),
-        F.when(leaf, primitive).alias("primitive"), F.when(leaf & array, item).alias("item_primitive"),
+        "event_type", "path", "parent_path", last_name(F.col("path")).alias("name"), path_depth(F.col("path")).alias("depth"),
+        "optional", "n_trees", "mask", types_in("mask").alias("json_types"), types_in("mask", item=True).alias("item_types"),
+        *AVRO_SETS, "is_leaf", "is_array", F.expr(f"if(is_leaf, {primitive}, null) as primitive"),
+        F.expr(f"if(is_leaf and is_array, {item}, null) as item_primitive"),
     )
 
 

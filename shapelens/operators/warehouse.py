@@ -31,7 +31,7 @@ def check_clashes(structure: DataFrame) -> None:
 def warehouse_columns(structure: DataFrame) -> DataFrame:
     """`(event_type, column_name, column_type)`; leaves without a primitive fall back to text."""
     return _leaves(structure).select(
-        "event_type", "column_name", t.translate(F.col("primitive"), t.WAREHOUSE_TYPE).alias("column_type")
+        "event_type", "column_name", F.expr(t.translate("primitive", t.WAREHOUSE_TYPE)).alias("column_type")
     ).orderBy("event_type", "column_name")
 
 
@@ -44,7 +44,7 @@ def load_mapping(structure: DataFrame) -> DataFrame:
     columns = leaves.select(
         "event_type", F.row_number().over(window).alias("kv_index"), F.col("column_name").alias("target_column"),
         F.concat(F.lit("$."), unescape(F.col("path"))).alias("source_path"),
-        t.translate(F.col("primitive"), t.LOAD_TYPE).alias("data_type"),
+        F.expr(t.translate("primitive", t.LOAD_TYPE)).alias("data_type"),
     )
     run_id = leaves.select("event_type").distinct().select(
         "event_type", F.lit(0).alias("kv_index"), F.lit(RUN_ID_COLUMN).alias("target_column"),

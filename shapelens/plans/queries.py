@@ -194,8 +194,8 @@ def p3_rowkey_timestamp(spark, sf_dir):
 
 def _path_rows(paths: DataFrame) -> DataFrame:
     return paths.select(
-        "event_type", "path", F.array_join(types_in(F.col("mask")), "|").alias("json_types"),
-        F.array_join(types_in(F.col("mask"), item=True), "|").alias("item_types"), "n_trees")
+        "event_type", "path", F.array_join(types_in("mask"), "|").alias("json_types"),
+        F.array_join(types_in("mask", item=True), "|").alias("item_types"), "n_trees")
 
 
 @query
