@@ -51,7 +51,7 @@ def _descend(rows: DataFrame, keys: list[str]) -> DataFrame:
         *kept, "role", "fields", "items", "coalesce(type, if(fields is not null, 'OBJECT<>', schema_of_variant(value))) as type")
     rows = rows.selectExpr(
         *kept, "role", "fields", "items", "type", f"items is not null and role = {_PLAIN} as starts_array",
-        "not contains(type, 'VARIANT') and not contains(type, '`') as lists_all")
+        "not contains(type, 'VARIANT') and not contains(type, '`') as lists_all", "contains(type, 'OBJECT<') as has_fields")
     # outer: no row is lost either way, and no filter on the whole entry list is inferred
     itself = "array(struct(cast(null as string) as key, cast(null as variant) as value))"
     merged = f"""array(struct('{_ITEMS}' as key, variant_get({_schema_fields("type")}, "$['{_ITEMS}']", 'variant') as value))"""
@@ -60,7 +60,7 @@ def _descend(rows: DataFrame, keys: list[str]) -> DataFrame:
         *kept, "role", "type", "items is not null as of_array",
         f"if(starts_array, if(lists_all, {_TYPES}, {_DISTINCT}), role) as item_role",
         f"""explode_outer(case when fields is not null then concat({itself}, map_entries(fields))
-              when starts_array and lists_all then concat({itself}, {merged}, {items})
+              when starts_array and lists_all and has_fields then concat({itself}, {merged}, {items})
               when items is not null then concat({itself}, {items}) else {itself} end) as entry""")
     # a merged schema of an array inside an array is not entered either
     rows = rows.where(f"not (role = {_PRESENCE} and item and coalesce(entry.key = '{_ITEMS}', false))")

@@ -8,12 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapelens.session import configure
+from shapelens.session import configure, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(configure(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _millis(column):

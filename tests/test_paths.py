@@ -71,9 +71,21 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("documents", CASES)
-def test_golden(spark, documents):
-    assert paths(spark, documents, levels=3) == model(documents)
+def by_group(spark, groups, levels):
+    """All groups in one run, each as its own event type."""
+    rows = [(str(i), json.dumps(d)) for i, group in enumerate(groups) for d in group]
+    events = spark.createDataFrame(rows, "event_type string, json string").select("event_type", F.try_parse_json("json").alias("event"))
+    got = {}
+    for r in json_paths(events, levels=levels).select("event_type", "path", types_in("mask").alias("types"),
+                                                      types_in("mask", item=True).alias("items"), "n_trees").collect():
+        got.setdefault(r.event_type, {})[r.path] = (set(r.types), set(r["items"]), r.n_trees)
+    return got
+
+
+@pytest.mark.parametrize("levels", [2, 6])
+def test_golden(spark, levels):
+    """Two levels are too few for some cases, which must cost a further pass and lose nothing."""
+    assert by_group(spark, CASES, levels) == {str(i): model(group) for i, group in enumerate(CASES)}
 
 
 def test_repeated_key_keeps_last(spark):
@@ -94,14 +106,7 @@ documents = st.lists(st.dictionaries(names, values, max_size=3), min_size=1, max
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(documents, min_size=12, max_size=12))
 def test_model_agrees(spark, groups):
-    """Many small groups at once: each is its own event type."""
-    rows = [(str(i), json.dumps(d)) for i, group in enumerate(groups) for d in group]
-    events = spark.createDataFrame(rows, "event_type string, json string").select("event_type", F.try_parse_json("json").alias("event"))
-    got = {}
-    for r in json_paths(events).select("event_type", "path", types_in("mask").alias("types"),
-                                       types_in("mask", item=True).alias("items"), "n_trees").collect():
-        got.setdefault(r.event_type, {})[r.path] = (set(r.types), set(r["items"]), r.n_trees)
-    assert got == {str(i): model(group) for i, group in enumerate(groups)}
+    assert by_group(spark, groups, 6) == {str(i): model(group) for i, group in enumerate(groups)}
 
 
 def test_optional_rule(spark):
