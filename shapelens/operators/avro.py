@@ -82,7 +82,7 @@ def avro_paths(registry: DataFrame, max_levels: int = 64) -> DataFrame:
     pending = start.select("schema_hash", F.lit("").alias("path"), "schema", "namespace", F.lit("root").alias("place"))
     facts = [pending.select("schema_hash", "path", F.lit("ROOT").alias("fact"), F.lit("").alias("value"))]
     for _ in range(max_levels):
-        facts_now, pending = _expand(_resolve(pending, definitions))
+        facts_now, pending = _expand(sized(_resolve(pending, definitions)))
         pending = sized(pending)
         facts.append(facts_now)
         if pending.isEmpty():

@@ -77,7 +77,6 @@ def describe(rows: DataFrame, sticky: bool) -> DataFrame:
 
 
 def structure_lineage(structures: DataFrame) -> DataFrame:
-    """Structures that fed each merged one: `(event_type, sources)` from `(event_type, structure_id, source)`.
+    """Structures that fed each merged one, one row each: distinct `(event_type, structure_id, source)`.
     The last run's own tree is left out, so that an unchanged run gives an unchanged result."""
-    return structures.where(F.col("source") != "DESERIALIZED").groupBy("event_type").agg(
-        F.array_sort(F.collect_set("structure_id")).alias("sources"))
+    return structures.where(F.col("source") != "DESERIALIZED").select("event_type", "structure_id", "source").distinct()

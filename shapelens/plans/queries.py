@@ -434,7 +434,7 @@ def d3_change_log(spark, sf_dir):
 def d4_structure_lineage(spark, sf_dir):
     events = classify_events(decode_messages(inputs.shipment_messages(spark, sf_dir)))
     structures = event_structures(events).select("event_type", "structure_id", F.lit("EVENT").alias("source"))
-    return structure_lineage(structures).select("event_type", F.size("sources").alias("n_sources"))
+    return structure_lineage(structures).groupBy("event_type").agg(F.count("*").alias("n_sources"))
 
 
 # --- streaming --------------------------------------------------------------------------------------------------
@@ -444,8 +444,8 @@ def r1_stream_structures(spark, sf_dir):
     """Shipments as a stream of files, merged batch by batch."""
     root = _scratch(spark)
     rows = inputs.shipment_messages(spark, sf_dir)
-    rows.repartition(3, "offset").write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    rows.repartition(24, "offset").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/in")
     stream_structures(stream, f"{root}/registry", f"{root}/checkpoint", availableNow=True).awaitTermination()
     table = spark.read.parquet(f"{root}/registry")
     latest = table.agg(F.max("run")).first()[0]

@@ -27,19 +27,21 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     if not _LOCAL_SHARED:
         _LOCAL_SHARED.append(tempfile.TemporaryDirectory(prefix="shapelens-"))
     return _LOCAL_SHARED[0].name
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """Deal the rows of a table with fewer splits than the session has cores over all cores.
+    """Deal the rows of a table with far fewer splits than the session has cores over all cores.
 
     Decoding and walking JSON is work for the processor; one row group would keep one core busy. Tables of more
     splits, which is every large one, are left as they are: no shuffle.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(cores) if 2 * table.rdd.getNumPartitions() < cores else table
 
 
 def sized(df: DataFrame) -> DataFrame:

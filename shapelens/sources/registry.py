@@ -24,7 +24,7 @@ def schema_registry_lookup(messages: DataFrame, registry: DataFrame) -> DataFram
     """
     spread = F.concat(F.lit("{"), F.xxhash64("topic", "partition", "offset").cast("string"))
     keyed = messages.withColumn("_hash", F.coalesce("schema_hash", spread))
-    schemas = registry.select(F.col("schema_hash").alias("_hash"), "schema_json").dropDuplicates(["_hash"])
+    schemas = registry.groupBy(F.col("schema_hash").alias("_hash")).agg(F.min("schema_json").alias("schema_json"))
     return keyed.join(schemas, "_hash", "left").drop("_hash")
 
 
@@ -47,9 +47,9 @@ def read_structure_registry(spark: SparkSession, path: str, run: str | None = No
         if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
             return None
         raise
-    runs = table.select(F.col("run").cast("string").alias("run"))
-    latest = run or runs.agg(F.max("run")).first()[0]
-    return table.where(F.col("run").cast("string") == latest).drop("run")
+    # numbers compare as numbers: run 10 follows run 9
+    chosen = F.col("run") == (F.lit(run) if run is not None else F.lit(table.agg(F.max("run")).first()[0]))
+    return table.where(chosen).drop("run")
 
 
 def write_samples(events: DataFrame, path: str, k: int = 10) -> None:
