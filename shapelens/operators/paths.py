@@ -125,18 +125,24 @@ def json_paths(events: DataFrame, keys: list[str] | None = None, event: str = "e
     )
 
 
-def event_structures(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 16) -> DataFrame:
+def event_structures(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 6) -> DataFrame:
     """Distinct trees per key: `(keys, structure_id, nodes, n_events)`.
 
     A tree is the sorted set of (path, type bits) of one event; the optional flag takes no part. The set of an event
-    is built by partial aggregation in the task that exploded it, so one row per event is shuffled.
+    is built by partial aggregation in the task that exploded it, so one row per event is shuffled. Events nested
+    deeper than `levels` cause one more pass with twice the levels.
     """
     keys = keys or ["event_type"]
-    rows = walk(events, keys, event, levels).where(F.col("role") != _PRESENCE)
-    too_deep = F.assert_true(~F.bool_or("unfinished"), F.lit(f"events nest deeper than levels={levels}"))
-    per_event = rows.groupBy(*keys, "event_no").agg(
-        F.array_sort(F.collect_set(F.struct("path", "mask"))).alias("nodes"), too_deep.alias("checked"),
-    ).where(F.col("checked").isNull())
-    return per_event.groupBy(*keys, "nodes").agg(F.count("*").alias("n_events")).where(F.col(keys[0]).isNotNull()).select(
-        *keys, F.sha2(F.to_json("nodes"), 256).alias("structure_id"), "nodes", "n_events"
-    )
+    while True:
+        rows = walk(events, keys, event, levels).where(f"role <> {_PRESENCE}")
+        # bits first, so that the text of a node cannot be read in two ways; sorted natively, decoded once per tree
+        per_event = rows.groupBy(*keys, "event_no").agg(
+            F.expr("sort_array(collect_set(concat(mask, ':', path))) as encoded"), F.expr("bool_or(unfinished) as unfinished"))
+        trees = sized(per_event.groupBy(*keys, "encoded").agg(
+            F.count("*").alias("n_events"), F.expr("bool_or(unfinished) as unfinished")))
+        if trees.where("unfinished").isEmpty():
+            break
+        levels *= 2
+    trees = trees.where(F.col(keys[0]).isNotNull()).withColumn("nodes", F.expr("""array_sort(transform(encoded, n -> struct(
+        substring(n, instr(n, ':') + 1) as path, cast(substring_index(n, ':', 1) as int) as mask)))"""))
+    return trees.select(*keys, F.sha2(F.to_json("nodes"), 256).alias("structure_id"), "nodes", "n_events")

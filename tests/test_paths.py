@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shapelens.functions.json_types import types_in
+from shapelens.functions.json_types import BIT, types_in
 from shapelens.operators.paths import count_paths, event_structures, json_paths
 from shapelens.operators.structure import merge_structures
 
@@ -138,5 +138,7 @@ def test_types_resolve_and_stick(spark):
 
 def test_event_structures(spark):
     docs = [{"a": 1, "b": [{"c": 1}, {"c": "x"}]}, {"b": [{"c": "y"}, {"c": 2}], "a": 5}, {"a": None}]
-    rows = event_structures(frame(spark, docs)).collect()
+    rows = event_structures(frame(spark, docs), levels=1).collect()
     assert sorted(r.n_events for r in rows) == [1, 2]
+    nodes = next(r.nodes for r in rows if r.n_events == 1)
+    assert [(n.path, n.mask) for n in nodes] == [("", BIT["OBJECT"]), ("a", BIT["NULL"])]
