@@ -1,0 +1,148 @@
+"""Secret scans: fixed patterns, and zstandard novelty for strings of no known form.
+
+Novelty: a string that stands near a word like `password` is compressed after its surroundings, with a dictionary of
+identifiers and code. What it adds in compressed bytes, over its length, is small for words, identifiers and
+repetitions, and near 1 for random strings.
+"""
+
+from __future__ import annotations
+
+import re
+from bisect import bisect_left
+
+import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shapelens.llm.decontam import merged
+from shapelens.llm.texts import slices
+
+# Fixed patterns: kind, pattern, group whose length counts, least length.
+BASE = [
+    ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", r"AKIA[A-Z0-9]+", 0, 18),
+    ("hex", r"[0-9a-f]+", 0, 16),
+]
+_ASSIGN = re.compile(BASE[0][1], re.ASCII | re.IGNORECASE)
+_ACCESS = re.compile(BASE[1][1])
+# A run shorter than the limit is dropped anyway and runs can't overlap, so only long ones are matched.
+_HEX = re.compile(r"[0-9a-f]{16,}")
+#: Strings that novelty looks at, and words that make their surroundings sensitive.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+SENSITIVE = re.compile(r"password|passwd|pwd|secret|token|api_?key|access_?key|private_?key|credential|auth|bearer|signature", re.ASCII | re.IGNORECASE)
+ORDER = {"assign": 0, "access": 1, "hex": 2, "novel": 3}
+
+#: Identifiers and code that the compressor knows before it sees a text.
+IDENTIFIERS = (
+    "public static final String class import return function const export default async await self None True False def lambda "
+    "client_id client_secret access_token refresh_token api_key apiKey password username user_name hostname localhost "
+    "configuration environment application database connection postgres mysql redis rabbitmq amazonaws com org net http https www "
+    "getElementById addEventListener createElement querySelector toString valueOf hasOwnProperty prototype constructor "
+    "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0000000000000000 1234567890abcdef "
+    "Authorization: Bearer Content-Type: application/json charset=utf-8 placeholder example your_api_key_here changeme xxxxxxxxxxxxxxxx"
+).encode()
+NEAR, AROUND, LEAST = 64, 512, 0.75
+
+
+class Novelty:
+    """Marginal compressed bytes of a string after its surroundings, over its length."""
+
+    def __init__(self, identifiers: bytes = IDENTIFIERS):
+        known = zstandard.ZstdCompressionDict(identifiers, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        self.zstd = zstandard.ZstdCompressor(level=9, dict_data=known, write_checksum=False, write_content_size=False)
+
+    def __call__(self, around: str, candidate: str) -> float:
+        context = around.encode("utf-8", "surrogatepass")
+        grown = context + b" " + candidate.encode("utf-8", "surrogatepass")
+        return (len(self.zstd.compress(grown)) - len(self.zstd.compress(context))) / len(candidate)
+
+
+def base_spans(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the fixed patterns, in code points, by start and kind."""
+    spans = [(m.start(), m.end(), "assign") for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
+    if "AKIA" in text:
+        spans += [(m.start(), m.end(), "access") for m in _ACCESS.finditer(text) if m.end() - m.start() >= 18]
+    spans += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
+    return sorted(spans, key=lambda s: (s[0], ORDER[s[2]]))
+
+
+def novel_spans(text: str, base: list[tuple[int, int, str]], novelty: Novelty, least: float = LEAST) -> list[tuple[int, int, str]]:
+    """Incompressible strings with a digit and a letter, starting within 64 characters after a sensitive word, outside of `base`."""
+    found, seen = [], 0
+    taken = merged([(s, e) for s, e, _ in base])
+    starts = [s for s, _ in taken]
+    for word in SENSITIVE.finditer(text):
+        at = max(word.end(), seen)
+        while m := CANDIDATE.search(text, at, min(len(text), word.end() + NEAR + 16)):
+            start = m.start()
+            end = seen = at = CANDIDATE.match(text, start).end()  # the window may have cut it
+            string = text[start:end]
+            before = bisect_left(starts, end) - 1
+            if before >= 0 and taken[before][1] > start:
+                continue
+            if re.search("[0-9]", string) and re.search("[A-Za-z]", string) and (
+                    novelty(text[max(0, start - AROUND): start] + " " + text[end: end + AROUND], string) >= least):
+                found.append((start, end, "novel"))
+    return found
+
+
+def spans_of(text: str | None, novelty: Novelty, least: float = LEAST) -> list[tuple[int, int, str]]:
+    if not text:
+        return []
+    base = base_spans(text)
+    return sorted([*base, *novel_spans(text, base, novelty, least)], key=lambda s: (s[0], ORDER[s[2]]))
+
+
+def redacted(text: str | None, spans: list[tuple[int, int, str]], mark: str) -> str | None:
+    out, at = [], 0
+    for start, end in merged([(s, e) for s, e, _ in spans]):
+        out += [text[at:start], mark]
+        at = end
+    return "".join([*out, text[at:]]) if out else text
+
+
+def find_secrets(docs: DataFrame, keep: list[str], text: str = "text", least: float = LEAST, mark: str | None = None) -> DataFrame:
+    """The `keep` columns with `secrets`: array of (start, end, kind), code points, end exclusive, by start and kind.
+
+    Kinds are assign, access and hex (the fixed patterns, leftmost and non-overlapping each) and novel. With a `mark`,
+    the text column, if kept, has it in the place of every secret; secrets that touch share one. Texts are scanned
+    where they are read: no shuffle. Null and empty texts have no secrets and stay as they are; repeated rows are
+    scanned one by one; an empty table gives an empty table; other columns are left out unless named in `keep`.
+    """
+    names = [f"k{i}" for i in range(len(keep))]
+    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("kind", T.StringType())])
+    rows = docs.select(*[F.col(k).alias(n) for n, k in zip(names, keep, strict=True) if k != text], F.col(text).alias("body"))
+    types = [(n, docs.schema[k].dataType) for n, k in zip(names, keep, strict=True)]
+    schema = T.StructType([*(T.StructField(n, kind) for n, kind in types), T.StructField("secrets", T.ArrayType(span))])
+    arrow = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
+
+    def run(batches):
+        novelty = Novelty()
+        for part in slices(batches, "body", 4 << 20):
+            bodies = part.column("body").to_pylist()
+            found = [spans_of(body, novelty, least) for body in bodies]
+            body = part.column("body")
+            if mark is not None and text in keep:
+                body = pa.array([redacted(b, s, mark) for b, s in zip(bodies, found, strict=True)], body.type)
+            secrets = pa.array([[{"start": s, "end": e, "kind": k} for s, e, k in spans] for spans in found], arrow)
+            yield pa.RecordBatch.from_arrays(
+                [*(body if k == text else part.column(n) for n, k in zip(names, keep, strict=True)), secrets], names=[*names, "secrets"])
+
+    found = rows.mapInArrow(run, schema)
+    return found.select(*[F.col(n).alias(k) for n, k in zip(names, keep, strict=True)], "secrets")
+
+
+def secret_report(docs: DataFrame) -> DataFrame:
+    found = find_secrets(docs, ["doc_id"])
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(listed(F.filter("secrets", lambda s: s["kind"] != "novel")), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"))
+
+
+def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
+    """Documents with every secret replaced by `mark`; all rows and other columns stay as they were."""
+    return find_secrets(docs, docs.columns, text, mark=mark).select(*docs.columns)
