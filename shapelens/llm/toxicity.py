@@ -90,12 +90,16 @@ def probability(model: Model, total: float, n: int) -> float:
     return 1 / (1 + math.exp(-max(-40.0, min(40.0, a + b * math.log1p(total) + c * math.log1p(n)))))
 
 
-def _significant(counts: dict[bytes, tuple[float, float]], n1: float, n0: float, least_z: float, least: float) -> dict[bytes, float]:
-    """Log-odds of tokens by documents that hold them, with half a document per class as prior; only sure ones."""
-    out = {}
+def _significant(counts: dict[bytes, tuple[float, float]], n1: float, n0: float, least: float) -> dict[bytes, float]:
+    """Log-odds of tokens by documents that hold them, with half a document per class as prior.
+
+    Only tokens stay whose share of toxic documents would arise by chance in less than about one of all tokens seen:
+    y KL(y1 / y || share of toxic documents) bounds the binomial tail.
+    """
+    out, share, unlikely = {}, n1 / (n1 + n0), math.log(max(len(counts), 1)) + 2
     for token, (y1, y0) in counts.items():
         score = math.log((y1 + 0.5) / (n1 - y1 + 0.5)) - math.log((y0 + 0.5) / (n0 - y0 + 0.5))
-        if score >= least and score >= least_z * math.sqrt(1 / (y1 + 0.5) + 1 / (y0 + 0.5)):
+        if score >= least and y1 * math.log(y1 / (y1 + y0) / share) + (y0 and y0 * math.log(y0 / (y1 + y0) / (1 - share))) >= unlikely:
             out[token] = min(score, 8.0)
     return out
 
@@ -115,8 +119,8 @@ def _tables(rows: list, halves: tuple[int, ...]) -> Model:
                 pair[1 - label] += count
     model = Model()
     if n[1] and n[0]:
-        model.words = _significant(by["word"], n[1], n[0], 3.0, 2.0)
-        model.families = _significant(by["family"], n[1], n[0], 2.5, 4.0)
+        model.words = _significant(by["word"], n[1], n[0], 2.0)
+        model.families = _significant(by["family"], n[1], n[0], 5.0)
         # lambda: the exponential moment of a token of other documents is 1. Half a count stands for unseen words.
         seen = [(s, by["word"][w][1]) for w, s in model.words.items()]
         total = max(tokens[0], 1)
