@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shapelens.llm import decontam, mixing, secrets, toxicity
+from shapelens.llm import decontam, mixing, near_dup, secrets, toxicity
 from shapelens.llm.texts import table
 from shapelens.session import shared_dir
 
@@ -15,6 +15,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.drop_near_duplicates(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
@@ -29,6 +33,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated),
     ("secrets", redact_secrets),
     ("mixing", mix_sources),

@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shapelens.llm import chat, decontam, mixing, secrets, toxicity, urls
+from shapelens.llm import chat, decontam, mixing, near_dup, secrets, simhash, toxicity, urls
 from shapelens.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": lambda spark, d: simhash.fingerprint_report(table(spark, d, "documents")),
     "op2_mixing": lambda spark, d: mixing.mix_report(table(spark, d, "documents")),
     "op3_decontamination": lambda spark, d: decontam.contamination_report(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op6_url_rules": lambda spark, d: urls.url_report(table(spark, d, "pages")),
+    "op7_near_duplicates": lambda spark, d: near_dup.near_duplicate_report(table(spark, d, "documents")),
     "op8_toxicity": lambda spark, d: toxicity.toxicity_report(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_chat_format": lambda spark, d: chat.chat_report(table(spark, d, "conversations")),
     "op10_secrets": lambda spark, d: secrets.secret_report(table(spark, d, "documents")),
