@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shapelens.llm import decontam, mixing, near_dup, secrets, toxicity
+from shapelens.llm import decontam, mixing, near_dup, secret_scan, toxicity
 from shapelens.llm.texts import table
 from shapelens.session import shared_dir
 
@@ -24,7 +24,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact_secrets(docs)
+    return secret_scan.redact_secrets(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

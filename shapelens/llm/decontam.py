@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shapelens.llm.texts import slices, words_of
+from shapelens.llm.texts import packed, slices, words_of
 from shapelens.session import sized
 
 #: Bytes of item text whose tables go to the executors at once; larger benchmarks are searched block by block.
@@ -163,5 +163,4 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without a word inside an occurrence; columns as they were."""
-    found = find_contamination(docs, benchmark, docs.columns)
-    return found.where(F.size("hit_ranges") == 0).select(*docs.columns)
+    return find_contamination(packed(docs), benchmark, ["row"]).where(F.size("hit_ranges") == 0).select("row.*")

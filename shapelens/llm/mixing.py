@@ -92,10 +92,11 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, at_most: floa
 
     Null texts have size 0; a null source is a source of its own, after all others; sources of size 0 have target 0;
     rows of equal id and text share their fate; an empty table gives an empty table; other columns are left out
-    unless named in `keep`, and cannot clash, as they are carried in a struct.
+    unless named in `keep`, where a column called like a result gives way to it.
     """
+    kept = [k for k in keep or [] if k not in (id_column, "size", "source_size", "target", "copies")]
     rows = sized(docs.select(
-        F.struct(F.col(id_column), *[F.col(k) for k in keep or [] if k != id_column]).alias("kept"), F.col(source).alias("source"),
+        F.struct(F.col(id_column), *[F.col(k) for k in kept]).alias("kept"), F.col(source).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit(""))).cast("binary")), 1, 15), 16, 10).cast("long").alias("hash")))
     narrow = rows.select("source", "size", "hash")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shapelens.llm.decontam import merged
-from shapelens.llm.texts import slices
+from shapelens.llm.texts import packed, slices
 
 # Fixed patterns: kind, pattern, group whose length counts, least length.
 BASE = [
@@ -145,4 +145,5 @@ def secret_report(docs: DataFrame) -> DataFrame:
 
 def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
     """Documents with every secret replaced by `mark`; all rows and other columns stay as they were."""
-    return find_secrets(docs, docs.columns, text, mark=mark).select(*docs.columns)
+    found = find_secrets(packed(docs, text), ["row", "text"], mark=mark)
+    return found.select(*[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

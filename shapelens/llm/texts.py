@@ -111,5 +111,10 @@ class WordHashes:
         return mix(hashes), np.searchsorted(begins, offsets)
 
 
+def packed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """`row`, a struct of all columns, and `text`: results added to it can't clash with a column of the table."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

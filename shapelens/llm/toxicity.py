@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shapelens.llm.texts import part_of, slices, words_of
+from shapelens.llm.texts import packed, part_of, slices, words_of
 from shapelens.session import sized
 
 #: Labelled documents that are learnt from at most: those of the lowest hash. More would not change the word list.
@@ -251,4 +251,4 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that are less likely toxic than the threshold; columns as they were."""
     model = fit_toxicity(docs, labels)
-    return score_toxicity(docs, model, docs.columns).where(F.col("score") < THRESHOLD).select(*docs.columns)
+    return score_toxicity(packed(docs), model, ["row"]).where(F.col("score") < THRESHOLD).select("row.*")
