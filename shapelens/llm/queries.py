@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shapelens.llm import chat, decontam, langid, mixing, near_dup, secret_scan, simhash, toxicity, urls
+from shapelens.llm import chat, decontam, langid, lm, mixing, near_dup, secret_scan, simhash, toxicity, urls
 from shapelens.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": lambda spark, d: mixing.mix_report(table(spark, d, "documents")),
     "op3_decontamination": lambda spark, d: decontam.contamination_report(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op4_language": lambda spark, d: langid.language_report(table(spark, d, "documents")),
+    "op5_lm_scores": lambda spark, d: lm.lm_report(table(spark, d, "documents")),
     "op6_url_rules": lambda spark, d: urls.url_report(table(spark, d, "pages")),
     "op7_near_duplicates": lambda spark, d: near_dup.near_duplicate_report(table(spark, d, "documents")),
     "op8_toxicity": lambda spark, d: toxicity.toxicity_report(table(spark, d, "documents"), table(spark, d, "labels")),

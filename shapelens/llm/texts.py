@@ -74,7 +74,9 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class WordHashes:
     """64-bit hashes of the words of many texts at once, without a Python object per word."""
 
-    def __init__(self) -> None:
+    def __init__(self, table: bytes = WORD_BYTES) -> None:
+        """table: what each byte counts as; 32 separates words."""
+        self.table = np.frombuffer(table, np.uint8)
         self.powers = np.ones(1, np.uint64)
         self.inverse = np.ones(1, np.uint64)
 
@@ -88,9 +90,13 @@ class WordHashes:
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hash of every word in order, and for each text the number of words before it (n + 1 entries)."""
+        return self.spans(raw, offsets)[:2]
+
+    def spans(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The same, with the first byte and the end of every word."""
         if not len(raw):
-            return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-        low = np.frombuffer(WORD_BYTES, np.uint8)[raw]
+            return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        low = self.table[raw]
         word = low != 32
         first = np.zeros(len(raw) + 1, bool)
         first[offsets[:-1]] = True
@@ -108,7 +114,7 @@ class WordHashes:
         np.cumsum(low * self.powers[: len(raw)], out=total[1:])
         hashes = (total[ends] - total[begins]) * self.inverse[begins]
         hashes += (ends - begins).astype(np.uint64) << np.uint64(56)
-        return mix(hashes), np.searchsorted(begins, offsets)
+        return mix(hashes), np.searchsorted(begins, offsets), begins, ends
 
 
 def packed(docs: DataFrame, text: str = "text") -> DataFrame:
