@@ -24,7 +24,8 @@ def json_type_bit(schema: str) -> str:
     Decimals are floating point, unless they have no fraction digits and more digits than a BIGINT holds:
     those are integers too large for 64 bits.
     """
-    big_integer = f"endswith({schema}, ',0)') and length({schema}) >= {len('DECIMAL(19,0)')}"
+    # Two-digit precisions compare as text.
+    big_integer = f"endswith({schema}, ',0)') and length({schema}) = {len('DECIMAL(19,0)')} and {schema} >= 'DECIMAL(19,0)'"
     return f"""case when {schema} = 'STRING' then {BIT['TEXTUAL']} when {schema} = 'BIGINT' then {BIT['INTEGER']}
         when startswith({schema}, 'DECIMAL(') then if({big_integer}, {BIT['INTEGER']}, {BIT['FLOAT']})
         when {schema} in ('DOUBLE', 'FLOAT') then {BIT['FLOAT']} when {schema} = 'BOOLEAN' then {BIT['BOOLEAN']}

@@ -65,8 +65,9 @@ def sanitize(name: str) -> str:
 
 
 def view_name(event_type: str) -> str:
-    """Spark view names allow letters, digits and underscores only."""
-    return re.sub(r"[^a-z0-9_]", "_", event_type.lower())
+    """Spark view names allow letters, digits and underscores only, and start with a letter."""
+    name = re.sub(r"[^a-z0-9_]", "_", event_type.lower())
+    return name if name[:1].isalpha() else f"event_{name}"
 
 
 def warehouse_column(path: Column) -> Column:

@@ -47,10 +47,10 @@ def _full_name(name: Column, namespace: Column) -> Column:
     return F.when(name.contains(".") | (namespace == ""), name).otherwise(F.concat(namespace, F.lit("."), name))
 
 
-def _definitions(schemas: DataFrame, max_levels: int) -> DataFrame:
+def _definitions(schemas: DataFrame) -> DataFrame:
     """All named types of all schemas: `(schema_hash, full_name, definition, namespace)`."""
     level, found = schemas, []
-    for _ in range(max_levels):
+    while True:  # ends: a text is nested finitely
         level = level.withColumn("namespace", _namespace(F.col("schema"), F.col("namespace")))
         named = level.where(_is(F.col("schema"), "OBJECT<") & _text(F.col("schema"), "type").isin(*NAMED))
         found.append(named.select(
@@ -61,34 +61,31 @@ def _definitions(schemas: DataFrame, max_levels: int) -> DataFrame:
                       .where(_is(F.col("schema"), "OBJECT<") | _is(F.col("schema"), "ARRAY<")))
         if level.isEmpty():
             break
-    else:
-        raise ValueError(f"schema nested deeper than {max_levels} levels")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     return sized(out)
 
 
-def avro_paths(registry: DataFrame, max_levels: int = 64) -> DataFrame:
+def avro_paths(registry: DataFrame) -> DataFrame:
     """`(schema_hash, path, optional, avro_types, avro_union_types, avro_enum_symbols, avro_item_types,
-    avro_item_names, avro_map_value_types)` of every schema in `(schema_hash, schema_json)`.
+    avro_item_names, avro_map_value_types, recursive)` of every schema in `(schema_hash, schema_json)`.
 
     Records nested in unions and arrays hang their fields on the field that holds them; a null branch makes the
-    field optional; maps stay leaves. Each loop turn is one level of schema nesting over the whole registry.
+    field optional; maps stay leaves. A record inside itself is a leaf there, and `recursive`. Each loop turn is one
+    level of schema nesting over the whole registry.
     """
     start = registry.select(
         "schema_hash", F.try_parse_json("schema_json").alias("schema"), F.lit("").alias("namespace"))
-    definitions = _definitions(start, max_levels)
-    pending = start.select("schema_hash", F.lit("").alias("path"), "schema", "namespace", F.lit("root").alias("place"))
+    definitions = _definitions(start)
+    pending = start.select("schema_hash", F.lit("").alias("path"), "schema", "namespace", F.lit("root").alias("place"), F.array().cast("array<string>").alias("open"))
     facts = [pending.select("schema_hash", "path", F.lit("ROOT").alias("fact"), F.lit("").alias("value"))]
-    for _ in range(max_levels):
+    while True:  # ends: a name is entered once on a path
         facts_now, pending = _expand(sized(_resolve(pending, definitions)))
         pending = sized(pending)
         facts.append(facts_now)
         if pending.isEmpty():
             break
-    else:
-        raise ValueError(f"schema nested deeper than {max_levels} levels, or defined by itself")
     rows = facts[0]
     for more in facts[1:]:
         rows = rows.unionByName(more)
@@ -100,6 +97,7 @@ def avro_paths(registry: DataFrame, max_levels: int = 64) -> DataFrame:
         F.bool_or((F.col("fact") == "UNION") & (F.col("value") == "NULL")).alias("optional"),
         values("TYPE", "avro_types"), values("UNION", "avro_union_types"), values("SYMBOL", "avro_enum_symbols"),
         values("ITEM", "avro_item_types"), values("ITEM_NAME", "avro_item_names"), values("MAP_VALUE", "avro_map_value_types"),
+        F.bool_or(F.col("fact") == "RECURSIVE").alias("recursive"),
     )
 
 
@@ -114,9 +112,10 @@ def _resolve(pending: DataFrame, definitions: DataFrame) -> DataFrame:
     reference = F.when(~name.isin(*PRIMITIVES, *complex_types), _full_name(name, F.col("namespace")))
     rows = rows.withColumn("full_name", reference)
     return rows.join(definitions, ["schema_hash", "full_name"], "left").select(
-        "schema_hash", "path", "place",
+        "schema_hash", "path", "place", "open",
         F.coalesce("definition", "schema").alias("schema"), F.coalesce("defined_in", "namespace").alias("namespace"),
-    ).withColumn("namespace", _namespace(schema, F.col("namespace"))).withColumn("type", _type_name(schema))
+    ).withColumn("namespace", _namespace(schema, F.col("namespace"))).withColumn("type", _type_name(schema)).withColumn(
+        "own", F.when(F.col("type") == "record", _full_name(_text(schema, "name"), F.col("namespace"))))
 
 
 def _expand(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -138,7 +137,9 @@ def _expand(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     branches = F.coalesce(map_values.try_cast(_ARRAY), F.array().cast(_ARRAY))
     map_types = F.when((kind == "map") & (place == "field"), entries(F.lit("MAP_VALUE"), F.array_distinct(F.concat(
         F.array(F.upper(_type_name(map_values))), F.transform(branches, lambda b: F.upper(_type_name(b))))))).otherwise(none)
-    facts = rows.select("schema_hash", "path", F.inline(F.concat(own, symbols, item_name, map_types)))
+    again = F.coalesce(F.array_contains("open", F.col("own")), F.lit(False))
+    recursive = F.when(again, entries(F.lit("RECURSIVE"), F.array("own"))).otherwise(none)
+    facts = rows.select("schema_hash", "path", F.inline(F.concat(own, symbols, item_name, map_types, recursive)))
 
     below = "array<struct<path:string,schema:variant,place:string>>"
     nothing = F.array().cast(below)
@@ -151,8 +152,9 @@ def _expand(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     item = F.array(F.struct(
         F.col("path").alias("path"), _part(schema, "items").alias("schema"),
         F.when(place == "field", "item").otherwise("nested").alias("place")))
-    following = F.when(kind == "record", fields).when(kind == "union", union).when(kind == "array", item).otherwise(nothing)
-    return facts, rows.select("schema_hash", "namespace", F.inline(following))
+    following = F.when(again, nothing).when(kind == "record", fields).when(kind == "union", union).when(kind == "array", item).otherwise(nothing)
+    opened = F.when(F.col("own").isNotNull(), F.array_append("open", F.col("own"))).otherwise(F.col("open")).alias("open")
+    return facts, rows.select("schema_hash", "namespace", opened, F.inline(following))
 
 
 def avro_structures(paths: DataFrame, used: DataFrame) -> DataFrame:

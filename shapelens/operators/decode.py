@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shapelens.functions import messages as m
@@ -25,9 +28,9 @@ class AvroUnavailable(RuntimeError):
 
 def decode_messages(messages: DataFrame, registry: DataFrame | None = None,
                     hash_length: int = m.SCHEMA_HASH_LENGTH) -> DataFrame:
-    """Add `is_avro, schema_hash, event, broken_reason` to Kafka rows.
+    """Add `is_avro, schema_hash, event, event_text, broken_reason` to Kafka rows.
 
-    JSON bodies become a VARIANT in `event`. Avro bodies stay bytes here (see `decode_avro`); with a `registry` only
+    JSON bodies become a VARIANT in `event`, and stay as text in `event_text`. Avro bodies stay bytes here (see `decode_avro`); with a `registry` only
     those with an unknown hash are broken, without one all are.
     """
     value = F.col("value")
@@ -42,6 +45,7 @@ def decode_messages(messages: DataFrame, registry: DataFrame | None = None,
         "is_avro",
         F.when(F.col("is_avro"), m.schema_hash_of(value, hash_length)).alias("schema_hash"),
         F.when(~F.col("is_avro"), m.parse_json(F.col("text"))).alias("event"),
+        F.when(~F.col("is_avro"), F.col("text")).alias("event_text"),
     ))))
     known = F.lit(False)
     if registry is not None:
@@ -55,46 +59,72 @@ def decode_messages(messages: DataFrame, registry: DataFrame | None = None,
     return rows.withColumn("broken_reason", reason)
 
 
-def decode_avro(decoded: DataFrame, schemas: dict[str, str], hash_length: int = m.SCHEMA_HASH_LENGTH) -> DataFrame:
-    """Fill `event` of Avro rows whose hash is in `schemas` (hash to schema JSON; a registry, so small)."""
+def avro_available(spark: SparkSession) -> bool:
+    """Whether the session has the spark-avro package."""
     try:
+        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst")
+    except Py4JJavaError:
+        return False
+    return True
+
+
+def used_schemas(decoded: DataFrame) -> dict[str, str]:
+    """Schema text by hash, of the registered hashes that messages carry: what a driver can hold, whatever the registry holds."""
+    found = decoded.where("is_avro and schema_json is not null").groupBy("schema_hash").agg(F.first("schema_json").alias("schema_json"))
+    return {r.schema_hash: r.schema_json for r in found.collect()}
+
+
+def decode_avro(decoded: DataFrame, schemas: dict[str, str] | None = None, hash_length: int = m.SCHEMA_HASH_LENGTH,
+                decoder: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """Fill `event` of known Avro rows; what cannot be decoded becomes broken.
+
+    Bodies are Avro's binary encoding, read by Spark's own `from_avro` with the schemas in use (`used_schemas`, unless
+    given). A `decoder(body, schema_hash)` giving JSON text stands in for other encodings, such as Avro's JSON one.
+    """
+    spark = decoded.sparkSession
+    body = F.expr(f"substring(value, {hash_length + 1})")
+    if decoder is not None:
+        text = decoder(body, F.col("schema_hash"))
+    else:
+        if not avro_available(spark):
+            raise AvroUnavailable("decoding Avro bodies needs the spark-avro package in this session")
         from pyspark.sql.avro.functions import from_avro
 
-        body = F.expr(f"substring(value, {hash_length + 1})")
-        decoders = [
-            F.when(F.col("schema_hash") == h, F.to_json(from_avro(body, s, {"mode": "PERMISSIVE"})))
-            for h, s in sorted(schemas.items())
-        ]
+        schemas = used_schemas(decoded) if schemas is None else schemas
+        decoders = [F.when(F.col("schema_hash") == h, F.to_json(from_avro(body, s, {"mode": "PERMISSIVE"}))) for h, s in sorted(schemas.items())]
         text = F.coalesce(*decoders) if decoders else F.lit(None).cast("string")
-        out = decoded.withColumn("event", F.coalesce("event", m.parse_json(text)))
-        out.schema  # analysis fails here when the package is missing
-    except Exception as error:
-        raise AvroUnavailable("decoding Avro bodies needs the spark-avro package in this session") from error
-    return out.withColumn(
-        "broken_reason", F.coalesce("broken_reason", F.when(F.col("event").isNull(), UNPARSABLE)))
+    known = F.col("is_avro") & F.col("broken_reason").isNull()
+    columns = [c for c in decoded.columns if c not in ("event", "event_text", "broken_reason")]
+    # A one-row generator, as in `decode_messages`: the body is decoded and parsed once.
+    rows = decoded.withColumn("_text", F.when(known, text)).select(*columns, "broken_reason", F.inline_outer(F.array(F.struct(
+        F.coalesce("event", m.parse_json(F.col("_text"))).alias("event"), F.coalesce("event_text", "_text").alias("event_text")))))
+    reason = F.coalesce("broken_reason", F.when(F.col("is_avro") & F.col("event").isNull(), UNPARSABLE))
+    return rows.withColumn("broken_reason", reason).select(*decoded.columns)
 
 
 def classify_events(decoded: DataFrame) -> DataFrame:
     """Add the envelope and `invalid_reason`; the event type is checked first, then the timestamp.
 
-    A broken message has neither. `event_type` is set for valid events only, so it serves as the grouping key of
+    A broken message has neither, nor has a known Avro message whose body nobody has decoded: it is neither broken nor
+    invalid, and `undecoded` says so. `event_type` is set for valid events only, so it serves as the grouping key of
     everything behind without a filter that would parse the JSON a second time.
     """
     columns = decoded.columns
     fields = {"id": m.FIELD_ID, "timestamp_text": m.FIELD_TIMESTAMP, "type_text": m.FIELD_EVENT_TYPE, "version": m.FIELD_VERSION}
     rows = decoded.select(*columns, *[m.field(F.col("event"), f).alias(c) for c, f in fields.items()])
-    readable = F.col("broken_reason").isNull()
+    undecoded = F.col("is_avro") & F.col("broken_reason").isNull() & F.col("event").isNull()
+    readable = F.col("broken_reason").isNull() & ~undecoded
     has_type, has_time = F.col("type_text").isNotNull(), F.col("timestamp_text").isNotNull()
     return rows.select(
         *columns, m.scalar_text(F.col("id")).alias("id"), m.scalar_text(F.col("timestamp_text")).alias("timestamp_text"),
-        m.scalar_text(F.col("version")).alias("version"),
+        m.scalar_text(F.col("version")).alias("version"), F.coalesce(undecoded, F.lit(False)).alias("undecoded"),
         F.when(readable & ~has_type, NO_EVENT_TYPE).when(readable & ~has_time, NO_TIMESTAMP).alias("invalid_reason"),
         F.when(readable & has_type & has_time, m.scalar_text(F.col("type_text"))).alias("event_type"),
     ).withColumn("timestamp_unit", m.timestamp_unit(F.col("timestamp_text")))
 
 
 def split_broken(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable, broken); broken messages keep every copy."""
+    """(not broken, broken); broken messages keep every copy."""
     return decoded.where("broken_reason is null"), decoded.where("broken_reason is not null")
 
 
@@ -104,25 +134,32 @@ def split_invalid(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def position(partition="partition", offset="offset"):
-    """Partition and offset as one sortable BIGINT (offsets under 2^47)."""
-    return F.shiftleft(F.col(partition).cast("bigint"), 47).bitwiseOR(F.col(offset).cast("bigint"))
+    """Partition and offset as one sortable value."""
+    return F.struct(F.col(partition).cast("int").alias("partition"), F.col(offset).cast("bigint").alias("offset"))
 
 
-def distinct_events(events: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Keep the first copy of byte-equal messages within `by` (default: per topic).
+def distinct_positions(events: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """`(by, topic, partition, offset, n_copies)` of the first copy of byte-equal messages within `by` (default: per topic).
 
-    Only digests and positions are shuffled. Groups of copies, however large, shrink to one row map-side; the join
-    back carries just the groups that have copies, at their true size.
+    Only digests and positions are shuffled, and groups of copies, however large, shrink to one row map-side. Null
+    messages have no bytes to compare and each stand for themselves.
     """
     by = by or ["topic"]
-    keyed = events.withColumn("_digest", m.message_digest(F.col("value")))
     # topic breaks ties when a group spans topics
     place = F.struct(F.col("topic"), position().alias("position"))
-    if by == ["topic"]:
-        first, is_first = F.min(position()).alias("_first"), position() == F.col("_first")
-    else:
-        first, is_first = F.min(place).alias("_first"), place == F.col("_first")
-    groups = keyed.groupBy(*by, "_digest").agg(F.count("*").alias("_copies"), first)
+    digest = F.coalesce(m.message_digest(F.col("value")), F.concat_ws("/", "topic", "partition", "offset").cast("binary"))
+    groups = events.select(*by, digest.alias("_digest"), place.alias("_place")).groupBy(*by, "_digest").agg(
+        F.min("_place").alias("_first"), F.count("*").alias("n_copies"))
+    return groups.select(
+        *[c for c in by if c != "topic"], F.col("_first.topic").alias("topic"), "_first.position.partition", "_first.position.offset", "n_copies")
+
+
+def distinct_events(events: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The first copies with all their columns. Where positions are enough, take `distinct_positions`: this one has to
+    bring whole rows together with the groups that have copies, once these are more than a broadcast holds."""
+    by = by or ["topic"]
+    keyed = events.withColumn("_digest", m.message_digest(F.col("value"))).withColumn("_place", F.struct(F.col("topic"), position().alias("position")))
+    groups = keyed.groupBy(*by, "_digest").agg(F.count("*").alias("_copies"), F.min("_place").alias("_first"))
     repeated = sized(groups.where("_copies > 1").drop("_copies"))
     joined = keyed.join(repeated, [*by, "_digest"], "left")
-    return joined.where(F.col("_first").isNull() | is_first).select(*events.columns)
+    return joined.where(F.col("_first").isNull() | (F.col("_place") == F.col("_first"))).select(*events.columns)

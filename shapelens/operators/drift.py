@@ -39,12 +39,12 @@ def change_log(drift: DataFrame, topics: DataFrame, event_types: DataFrame, few:
     subject = F.concat(F.lit("event type "), "event_type")
     log = drift.where("status <> 'unchanged'").select(
         F.lit("change").alias("kind"), subject.alias("subject"),
-        F.when(F.col("status") == "new", "generating new view").otherwise("view changed").alias("message"))
+        F.when(F.col("status") == "new", "view is new").otherwise("view changed").alias("message"))
     log = log.unionByName(topics.where("not is_consistent and n_events > 0").select(
         F.lit("warning").alias("kind"), F.concat(F.lit("topic "), "topic").alias("subject"),
-        F.lit("inconsistencies detected").alias("message")))
+        F.lit("report shows inconsistencies").alias("message")))
     log = log.unionByName(event_types.where("not is_consistent").select(
-        F.lit("warning").alias("kind"), subject.alias("subject"), F.lit("inconsistencies detected").alias("message")))
+        F.lit("warning").alias("kind"), subject.alias("subject"), F.lit("report shows inconsistencies").alias("message")))
     if few is not None:
         log = log.unionByName(few.select(F.lit("warning").alias("kind"), "subject", "message"))
     if conflicts is not None:

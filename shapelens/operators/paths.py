@@ -1,8 +1,11 @@
-"""JSON events to structure paths, in one narrow pass.
+"""JSON events to structure paths: events of one shape are counted first, then each shape is walked once.
 
-Every level of nesting is one `explode` over the entries of a variant, inside whole-stage code generation, so the
-source is read and parsed once. The partial aggregate behind it keeps one row per (key, path) and task; an event's
-rows never travel, whatever the number of events behind a key.
+The shape of an event is its JSON text with a stand-in for every value that keeps the value's JSON type. The count per
+shape shrinks map-side to one row per shape and task, so the cost behind it follows the number of shapes and not of
+events, and an event's rows never travel. The small table of shapes is written once; an event nested deeper than
+expected repeats the walk over the shapes, not the pass over the source.
+
+In the walk every level of nesting is one `explode` over the entries of a variant, inside code generation.
 
 Presence must count an event once per path although array items repeat paths. The merged schema of an array already
 lists each field once, so it is walked for presence while the items are walked for types. A schema that does not
@@ -42,7 +45,7 @@ def _schema_fields(schema: str) -> str:
 
 def _descend(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One level: each undecided row keeps its own place and adds a row per field, item or merged field."""
-    kept = [_name(k) for k in keys] + ["event_no", "path", "item"]
+    kept = [_name(k) for k in keys] + ["event_no", "n", "path", "item"]
     # items of an array that are arrays themselves are not entered
     rows = rows.selectExpr(
         *kept, "role", "type", "value", f"if(type is null, try_cast(value as {_OBJECT}), null) as fields",
@@ -74,48 +77,93 @@ def _descend(rows: DataFrame, keys: list[str]) -> DataFrame:
         "if(entry.value is null, type, null) as type", "entry.value as value")
 
 
+# Stand-ins keep what `json_type_bit` tells apart. A number of 19 or more digits stays as it is.
+_TEXT_MARK = "\\u0001"
+_KEY_OR_TEXT = r'(?s)("(?:[^"\\]++|\\.)*+"\s*+:)|"(?:[^"\\]++|\\.)*+"'
+_PLAIN_KEY = r'"[A-Za-z0-9_$@-]*+"\s*+:'
+_NUMBERS = {
+    r"(?<=[:\[,])-?\d{1,18}(?=[,\]}])": "0",
+    r"(?<=[:\[,])-?(?:(?=[\d.]{3,18}[,\]}])\d+\.\d+|\d+(?:\.\d+)?[eE][+-]?\d+)(?=[,\]}])": "1.5",
+    r"(?<=[:\[,])(?:true|false)(?=[,\]}])": "true",
+}
+# An item like the one before it changes neither types nor presence.
+_REPEATS = [r'(?<=[\[,])("s"|0|1\.5|true|null)(?:,\1)++(?=[,\]])', r"(?<=[\[,])(\{[^{}\[\]]*+\})(?:,\1)++(?=[,\]])"]
+
+
+def shape_sql(text: str) -> str:
+    """SQL for the shape of a JSON text. A text with keys of other than plain characters is its own shape."""
+    marked = f"regexp_replace({text}, r'{_KEY_OR_TEXT}', concat('$1', '{_TEXT_MARK}'))"
+    plain = f"not contains(regexp_replace(m, r'{_PLAIN_KEY}', ''), '\"')"
+    shape = rf"replace(replace(regexp_replace(m, r'\s++', ''), ':{_TEXT_MARK}', ':'), '{_TEXT_MARK}', '\"s\"')"
+    for pattern, to in _NUMBERS.items():
+        shape = f"regexp_replace({shape}, r'{pattern}', '{to}')"
+    for pattern in _REPEATS:
+        shape = f"regexp_replace({shape}, r'{pattern}', '$1')"
+    return f"transform(array({marked}), m -> if({plain}, {shape}, {text}))[0]"
+
+
+def count_shapes(events: DataFrame, keys: list[str], event: str = "event", text: str = "event_text") -> DataFrame:
+    """`(keys, event, n)`: one event of each shape with the number of events that have it, written once.
+
+    Events without a text column are taken one by one.
+    """
+    names = [_name(k) for k in keys]
+    if text not in events.columns:
+        return events.selectExpr(*names, f"{_name(event)} as event", "1L as n")
+    shaped = events.selectExpr(*names, f"if({_name(event)} is null, null, {shape_sql(_name(text))}) as shape")
+    counted = sized(shaped.groupBy(*keys, "shape").agg(F.count("*").alias("n")).where("shape is not null"))
+    return counted.selectExpr(*names, "parse_json(shape) as event", "n")
+
+
 def _name(column: str) -> str:
     return f"`{column}`"
 
 
-def walk(events: DataFrame, keys: list[str], event: str = "event", levels: int = 6) -> DataFrame:
-    """Rows `(keys, event_no, path, role, item, mask, unfinished)` of all nodes down to `levels`."""
+def walk(shapes: DataFrame, keys: list[str], levels: int = 6) -> DataFrame:
+    """Rows `(keys, event_no, n, path, role, item, mask, unfinished)` of all nodes of `(keys, event, n)` down to `levels`."""
     names = [_name(k) for k in keys]
-    rows = events.selectExpr(
-        *names, "monotonically_increasing_id() as event_no", "'' as path", "false as item", f"{_PLAIN} as role",
-        "cast(null as string) as type", f"{_name(event)} as value")
+    rows = shapes.selectExpr(
+        *names, "monotonically_increasing_id() as event_no", "n", "'' as path", "false as item", f"{_PLAIN} as role",
+        "cast(null as string) as type", "event as value")
     for _ in range(levels):
         rows = _descend(rows, keys)
-    rows = rows.selectExpr(*names, "event_no", "path", "role", "item", "type is null as last",
+    rows = rows.selectExpr(*names, "event_no", "n", "path", "role", "item", "type is null as last",
                            "coalesce(type, schema_of_variant(value)) as type")
     bit = json_type_bit("type")
     return rows.where("type is not null").selectExpr(
-        *names, "event_no", "path", "role", "item",
+        *names, "event_no", "n", "path", "role", "item",
         f"case when role = {_PRESENCE} then 0 when item then shiftleft({bit}, {ITEM_SHIFT}) else {bit} end as mask",
         """last and ((startswith(type, 'OBJECT<') and type <> 'OBJECT<>') or (startswith(type, 'ARRAY<') and not item))
            as unfinished""")
 
 
-def count_paths(events: DataFrame, keys: list[str], event: str = "event", levels: int = 6) -> DataFrame:
-    """`(keys, path, mask, n_trees, unfinished)`; lazy, complete when no row is `unfinished`."""
-    rows = walk(events, keys, event, levels)
-    return rows.groupBy(*keys, "path").agg(
+def count_paths(shapes: DataFrame, keys: list[str], levels: int = 6) -> DataFrame:
+    """`(keys, path, mask, n_trees, unfinished)`; lazy, complete when no row is `unfinished`.
+
+    An event counts once per path: outside arrays and in merged array schemas it has one row there, otherwise its rows
+    are first brought together by event.
+    """
+    rows = walk(shapes, keys, levels)
+    per_event = rows.groupBy(*keys, "path", F.expr(f"if(role = {_DISTINCT} and not item, event_no, null)").alias("event_no")).agg(
         F.expr("bit_or(mask) as mask"),
-        F.expr(f"""sum(if(role in ({_PLAIN}, {_PRESENCE}) and not item, 1L, 0L))
-                   + count(distinct if(role = {_DISTINCT} and not item, event_no, null)) as n_trees"""),
+        F.expr(f"sum(if(role in ({_PLAIN}, {_PRESENCE}) and not item, n, 0L)) as n_trees"),
+        F.expr(f"max(if(role = {_DISTINCT} and not item, n, 0L)) as n_once"),
         F.expr("bool_or(unfinished) as unfinished"),
     )
+    return per_event.groupBy(*keys, "path").agg(
+        F.expr("bit_or(mask) as mask"), F.expr("sum(n_trees + n_once) as n_trees"), F.expr("bool_or(unfinished) as unfinished"))
 
 
 def json_paths(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 6) -> DataFrame:
     """Path counts per key, whatever the nesting: `(keys, path, mask, n_trees, optional)`.
 
-    Runs the pass and keeps its small result; events nested deeper than `levels` cause one more pass with twice
-    the levels. `optional` is the flag of the events themselves (a JSON null was seen).
+    Shapes nested deeper than `levels` cause one more walk over the shapes with twice the levels. `optional` is the
+    flag of the events themselves (a JSON null was seen).
     """
     keys = keys or ["event_type"]
+    shapes = count_shapes(events, keys, event)
     while True:
-        counts = sized(count_paths(events, keys, event, levels))
+        counts = sized(count_paths(shapes, keys, levels))
         if counts.where("unfinished").isEmpty():
             break
         levels *= 2
@@ -128,18 +176,18 @@ def json_paths(events: DataFrame, keys: list[str] | None = None, event: str = "e
 def event_structures(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 6) -> DataFrame:
     """Distinct trees per key: `(keys, structure_id, nodes, n_events)`.
 
-    A tree is the sorted set of (path, type bits) of one event; the optional flag takes no part. The set of an event
-    is built by partial aggregation in the task that exploded it, so one row per event is shuffled. Events nested
-    deeper than `levels` cause one more pass with twice the levels.
+    A tree is the sorted set of (path, type bits) of one event; the optional flag takes no part. The set is built once
+    per shape; shapes of one set add up.
     """
     keys = keys or ["event_type"]
+    shapes = count_shapes(events, keys, event)
     while True:
-        rows = walk(events, keys, event, levels).where(f"role <> {_PRESENCE}")
+        rows = walk(shapes, keys, levels).where(f"role <> {_PRESENCE}")
         # bits first, so that the text of a node cannot be read in two ways; sorted natively, decoded once per tree
         per_event = rows.groupBy(*keys, "event_no").agg(
-            F.expr("sort_array(collect_set(concat(mask, ':', path))) as encoded"), F.expr("bool_or(unfinished) as unfinished"))
+            F.expr("max(n) as n"), F.expr("sort_array(collect_set(concat(mask, ':', path))) as encoded"), F.expr("bool_or(unfinished) as unfinished"))
         trees = sized(per_event.groupBy(*keys, "encoded").agg(
-            F.count("*").alias("n_events"), F.expr("bool_or(unfinished) as unfinished")))
+            F.sum("n").alias("n_events"), F.expr("bool_or(unfinished) as unfinished")))
         if trees.where("unfinished").isEmpty():
             break
         levels *= 2

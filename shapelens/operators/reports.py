@@ -15,16 +15,22 @@ from shapelens.operators.decode import NO_EVENT_TYPE, NO_TIMESTAMP, NULL_MESSAGE
 from shapelens.session import sized
 
 ABSENT = "ABSENT"
+UNDECODED = "body not decoded"
+
+
+def digest_of(classified: DataFrame) -> Column:
+    """Digest of a message: stored, or made from its bytes."""
+    return F.col("digest") if "digest" in classified.columns else message_digest(F.col("value"))
 
 
 def topic_report(classified: DataFrame) -> DataFrame:
-    """Per topic: distinct events, invalid ones, broken messages, types, partitions, consistency and messages."""
+    """Per topic: distinct events, invalid and undecoded ones, broken messages, types, partitions, consistency and messages."""
     rows = classified.select(
-        "topic", "partition", "event_type", "value",
-        F.coalesce("broken_reason", "invalid_reason").alias("reason"), F.col("broken_reason").isNotNull().alias("broken"))
+        "topic", "partition", "event_type", digest_of(classified).alias("digest"),
+        F.coalesce("broken_reason", "invalid_reason", F.when(F.col("undecoded"), UNDECODED)).alias("reason"), F.col("broken_reason").isNotNull().alias("broken"))
     nothing = F.lit(None)
     pairs = F.explode(F.array(
-        F.struct(F.lit(True).alias("counts"), message_digest(F.col("value")).alias("digest"), F.col("reason").alias("reason"),
+        F.struct(F.lit(True).alias("counts"), F.col("digest").alias("digest"), F.col("reason").alias("reason"),
                  F.col("broken").alias("broken"), nothing.cast("string").alias("event_type"), nothing.cast("int").alias("partition")),
         F.struct(F.lit(False).alias("counts"), nothing.cast("binary").alias("digest"), nothing.cast("string").alias("reason"),
                  nothing.cast("boolean").alias("broken"), F.col("event_type").alias("event_type"),
@@ -33,7 +39,8 @@ def topic_report(classified: DataFrame) -> DataFrame:
     distinct = rows.select("topic", pairs).select("topic", "p.*").groupBy(
         "topic", "counts", "digest", "reason", "broken", "event_type", "partition").agg(F.count("*").alias("copies"))
     readable = F.col("counts") & ~F.col("broken")
-    invalid = readable & F.col("reason").isNotNull()
+    undecoded = readable & (F.col("reason") == UNDECODED)
+    invalid = readable & (F.col("reason") != UNDECODED)
 
     def total(condition: Column, amount: Column | int = 1) -> Column:
         return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0)).cast("bigint")
@@ -42,6 +49,7 @@ def topic_report(classified: DataFrame) -> DataFrame:
         total(readable).alias("n_events"), total(invalid).alias("n_invalid"),
         total(invalid & (F.col("reason") == NO_EVENT_TYPE)).alias("n_without_type"),
         total(invalid & (F.col("reason") == NO_TIMESTAMP)).alias("n_without_timestamp"),
+        total(undecoded).alias("n_undecoded"),
         total(F.col("counts") & F.col("broken"), F.col("copies")).alias("n_broken"),
         total(F.col("counts") & (F.col("reason") == NULL_MESSAGE), F.col("copies")).alias("n_null"),
         F.array_sort(F.collect_set("event_type")).alias("event_types"),
@@ -51,12 +59,12 @@ def topic_report(classified: DataFrame) -> DataFrame:
     return counted.select(
         "*", ((types == 1) & (F.col("n_invalid") == 0) & (F.col("n_broken") == 0)).alias("is_consistent"),
         F.array_compact(F.array(
-            F.when(F.col("n_invalid") > 0, "Invalid events detected"),
-            F.when(F.col("n_without_type") > 0, "Event without eventType detected"),
-            F.when(F.col("n_without_timestamp") > 0, "Event without timestamp detected"),
-            F.when(types > 1, "Mixed EventTypes within the same topic"),
-            F.when(F.col("n_broken") > F.col("n_null"), "Received broken messages"),
-            F.when(F.col("n_null") > 0, "Received null messages"),
+            F.when(F.col("n_invalid") > 0, "some events are invalid"),
+            F.when(F.col("n_without_type") > 0, "some events have no type"),
+            F.when(F.col("n_without_timestamp") > 0, "some events have no timestamp"),
+            F.when(types > 1, "the topic carries several event types"),
+            F.when(F.col("n_broken") > F.col("n_null"), "some messages could not be read"),
+            F.when(F.col("n_null") > 0, "some messages are empty (null)"),
         )).alias("messages"),
     )
 
@@ -72,7 +80,7 @@ def event_type_report(classified: DataFrame) -> DataFrame:
     nothing = F.lit(None)
     strings = ["topic", "version", "timestamp_unit", "schema_hash"]
     pairs = F.explode(F.array(
-        F.struct(message_digest(F.col("value")).alias("digest"), *[nothing.cast("string").alias(c) for c in strings],
+        F.struct(digest_of(classified).alias("digest"), *[nothing.cast("string").alias(c) for c in strings],
                  nothing.cast("boolean").alias("is_avro")),
         F.struct(nothing.cast("binary").alias("digest"), F.col("topic").alias("topic"),
                  F.coalesce("version", F.lit(ABSENT)).alias("version"), F.col("timestamp_unit").alias("timestamp_unit"),
@@ -94,12 +102,12 @@ def event_type_report(classified: DataFrame) -> DataFrame:
     return report.select(
         "*", consistent.alias("is_consistent"),
         F.array_compact(F.array(
-            F.when(F.col("n_events") < 2, "Not enough events to check consistency"),
-            F.when(F.size("versions") > 1, "Mixed Schema Versions"),
-            F.when(F.size("avro_flags") > 1, "Mixed Avro and plain JSON"),
-            F.when(F.size("schema_hashes") > 1, "Mixed Avro schemas"),
-            F.when(F.size("timestamp_units") > 1, "Mixed timestamp types"),
-            F.when(seconds, "Timestamp in seconds instead of milliseconds"),
+            F.when(F.col("n_events") < 2, "a single event says nothing about consistency"),
+            F.when(F.size("versions") > 1, "several schema versions in use"),
+            F.when(F.size("avro_flags") > 1, "Avro and JSON bodies side by side"),
+            F.when(F.size("schema_hashes") > 1, "several Avro schemas in use"),
+            F.when(F.size("timestamp_units") > 1, "timestamps in different units"),
+            F.when(seconds, "timestamps count seconds"),
         )).alias("messages"),
     )
 
@@ -115,8 +123,8 @@ def example_event(classified: DataFrame) -> DataFrame:
     first = firsts.where("event_type is not null").groupBy("event_type").agg(
         F.min_by(F.struct("topic", "first"), "topic").alias("pick"))
     picks = sized(first.select(F.col("pick.topic").alias("topic"), F.col("pick.first").alias("_place")))
-    placed = classified.withColumn("_place", position())
-    return placed.join(picks, ["topic", "_place"], "left_semi").drop("_place")
+    places = picks.select("topic", "_place.partition", "_place.offset")
+    return classified.join(places, ["topic", "partition", "offset"], "left_semi").select(*classified.columns)
 
 
 def too_few_events(event_types: DataFrame, topics_seen: DataFrame, topics: DataFrame | None = None) -> DataFrame:

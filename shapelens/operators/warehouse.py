@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shapelens.functions import types as t
 from shapelens.functions.naming import split_path, unescape, warehouse_column
-from shapelens.operators.views import ColumnClash, variant_path
+from shapelens.operators.views import ColumnClash, variant_at
 
 # Bounds of a load and the index-0 entry of every mapping.
 FIRST_MARK_SUFFIX = "-0"
@@ -73,7 +73,7 @@ def load_warehouse_increment(landed: DataFrame, structure: DataFrame, event_type
     rows = rows.select("rowkey", F.try_parse_json("json").alias("event"))
     created = created if created is not None else F.current_timestamp()
     typed = [
-        F.try_variant_get("event", variant_path(split_path(leaf.path)), t.WAREHOUSE_SPARK_TYPE[leaf.primitive or "TEXT"])
+        variant_at(F.col("event"), split_path(leaf.path)).try_cast(t.WAREHOUSE_SPARK_TYPE[leaf.primitive or "TEXT"])
         .alias(leaf.column_name) for leaf in leaves
     ]
     return rows.select(

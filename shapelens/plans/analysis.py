@@ -2,51 +2,90 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shapelens.functions.messages import message_digest, parse_json
+
 from shapelens.operators import drift, reports
 from shapelens.operators.avro import avro_paths, avro_structures
-from shapelens.operators.decode import classify_events, decode_messages
+from shapelens.operators.decode import avro_available, classify_events, decode_avro, decode_messages
 from shapelens.operators.paths import json_paths
 from shapelens.operators.structure import from_registry, merge_structures
-from shapelens.operators.views import create_views, day_count
+from shapelens.operators.views import count_views, create_all_views
+from shapelens.session import sized
 from shapelens.sources.registry import schema_conflicts
 from shapelens.sources.topics import topic_selected
 
 
-def learn_structures(messages: DataFrame, registry: DataFrame | None = None, previous: DataFrame | None = None,
-                     sticky: bool = False) -> DataFrame:
-    """Merged structure of all messages, the Avro schemas they use and the last run."""
-    events = classify_events(decode_messages(messages, registry))
+def classify(messages: DataFrame, registry: DataFrame | None = None, decoder: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """Decoded and classified messages. Avro bodies are decoded where a decoder is given or the session has spark-avro."""
+    decoded = decode_messages(messages, registry)
+    if registry is not None and (decoder is not None or avro_available(messages.sparkSession)):
+        decoded = decode_avro(decoded, decoder=decoder)
+    return classify_events(decoded)
+
+
+def structures_of(events: DataFrame, registry: DataFrame | None = None, previous: DataFrame | None = None,
+                  sticky: bool = False, used: DataFrame | None = None) -> DataFrame:
+    """Merged structure of classified events, the Avro schemas they use and the last run.
+
+    Which schema belongs to which event type is taken from the decoded events; where bodies stay undecoded, `used`
+    says it: `(event_type, schema_hash)`.
+    """
     sources = [json_paths(events)]
     if registry is not None:
-        used = events.where("is_avro and event_type is not null").select("event_type", "schema_hash")
-        sources.append(avro_structures(avro_paths(registry), used))
+        seen = events.where("is_avro and event_type is not null").select("event_type", "schema_hash").distinct()
+        if used is not None:
+            seen = seen.union(used.select("event_type", "schema_hash")).distinct()
+        seen = sized(seen)
+        in_use = registry.join(seen.select("schema_hash").distinct(), "schema_hash", "left_semi").groupBy("schema_hash").agg(F.min("schema_json").alias("schema_json"))
+        sources.append(avro_structures(avro_paths(in_use), seen))
     if previous is not None:
         sources.append(from_registry(previous))
     return merge_structures(*sources, sticky=sticky)
 
 
+def learn_structures(messages: DataFrame, registry: DataFrame | None = None, previous: DataFrame | None = None,
+                     sticky: bool = False, used: DataFrame | None = None, decoder: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """`structures_of` the messages."""
+    return structures_of(classify(messages, registry, decoder), registry, previous, sticky, used)
+
+
 def analyse(messages: DataFrame, landed: DataFrame, registry: DataFrame | None = None, previous: DataFrame | None = None,
-            as_of: datetime | None = None, whitelist: list[str] | None = None) -> dict[str, DataFrame]:
-    """Reports by name: `topics, event_types, structures, day_counts, drift, changes`. Also creates the session views."""
+            as_of: datetime | None = None, whitelist: list[str] | None = None, used: DataFrame | None = None,
+            decoder: Callable[[Column, Column], Column] | None = None) -> dict[str, DataFrame]:
+    """Reports by name: `topics, event_types, structures, day_counts, drift, changes`. Also creates the session views.
+
+    The source is read once: the classified messages, without their bytes, are written to the shared folder, and every
+    report reads what it needs of them. A type whose views cannot be built is a warning in `changes`; the others go on.
+    """
     spark = messages.sparkSession
     chosen = messages.where(topic_selected(F.col("topic"), whitelist))
-    events = classify_events(decode_messages(chosen, registry))
-    topics, types = reports.topic_report(events), reports.event_type_report(events)
-    structure = learn_structures(chosen, registry, previous)
-    names = [r.event_type for r in structure.where("path = ''").select("event_type").orderBy("event_type").collect()]
-    for name in names:
-        create_views(spark, landed, structure, name, as_of)
+    events = stored(classify(chosen, registry, decoder))
+    topics, types = sized(reports.topic_report(events)), sized(reports.event_type_report(events))
+    structure = sized(structures_of(events, registry, previous, used=used))
+    names, failed = create_all_views(spark, landed, structure, as_of)
     columns = drift.column_list(structure)
     before = drift.column_list(previous) if previous is not None else columns.where("false")
-    changed = drift.view_drift(columns, before)
+    changed = sized(drift.view_drift(columns, before))
     conflicts = schema_conflicts(registry) if registry is not None else None
+    problems = spark.createDataFrame([(f"event type {name}", reason) for name, reason in failed.items()], "subject string, message string")
+    few = reports.too_few_events(types, topics).unionByName(problems)
     return {
         "topics": topics, "event_types": types, "structures": structure,
-        "day_counts": day_count(landed, names, "day", as_of), "drift": changed,
-        "changes": drift.change_log(changed, topics, types, reports.too_few_events(types, topics), conflicts),
+        "day_counts": count_views(spark, names, "day"), "drift": changed,
+        "changes": drift.change_log(changed, topics, types, few, conflicts),
     }
+
+
+def stored(classified: DataFrame) -> DataFrame:
+    """Classified events written once: the digest in place of the bytes, the JSON text in place of the parsed event."""
+    narrow = classified.select(
+        "topic", "partition", "offset", "is_avro", "schema_hash", "broken_reason", "invalid_reason", "undecoded", "event_type", "version",
+        "timestamp_text", "timestamp_unit", message_digest(F.col("value")).alias("digest"),
+        F.when(F.col("event_type").isNotNull(), F.col("event_text")).alias("event_text"))
+    return sized(narrow).withColumn("event", parse_json(F.col("event_text")))

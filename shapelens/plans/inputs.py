@@ -8,11 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapelens.session import configure, spread
+from shapelens.session import configure
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(configure(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
+    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _millis(column):
@@ -144,3 +144,27 @@ def avro_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.select(
         F.lit("accounts").alias("topic"), (F.col("c_custkey") % 4).cast("int").alias("partition"),
         F.col("c_custkey").alias("offset"), F.concat(hash_text.cast("binary"), F.unhex(F.hex("c_custkey"))).alias("value"))
+
+
+def account_body() -> Column:
+    return F.to_json(F.struct(
+        F.col("c_custkey").alias("id"), (F.col("c_custkey") * 1000 + 1704067200000).alias("timestamp"),
+        F.concat(F.lit("account_"), (F.col("c_nationkey") % 3).cast("string")).alias("eventType"), F.lit("1").alias("version"), F.col("c_acctbal").alias("balance")))
+
+
+def account_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as messages of three types: type 0 all JSON, type 1 Avro under a registered schema, type 2 both; every
+    tenth Avro message of type 1 has an unregistered hash, every twentieth an unreadable body."""
+    customers = table(spark, sf_dir, "customer")
+    kind, key = F.col("c_nationkey") % 3, F.col("c_custkey")
+    avro = (kind == 1) | ((kind == 2) & (key % 2 == 0))
+    hash_text = F.when((kind == 1) & (key % 10 == 0), F.md5(F.col("c_name"))).otherwise(F.md5(schema_text()))
+    body = F.when((kind == 1) & (key % 20 == 1), F.lit("#")).otherwise(account_body())
+    return customers.select(
+        F.concat(F.lit("accounts_"), (key % 2).cast("string")).alias("topic"), (key % 4).cast("int").alias("partition"), key.alias("offset"),
+        F.when(avro, F.concat(hash_text, body)).otherwise(body).cast("binary").alias("value"))
+
+
+def json_body(body: Column, schema_hash: Column) -> Column:
+    """Decoder of bodies in Avro's JSON encoding."""
+    return body.cast("string")

@@ -115,6 +115,16 @@ avro AS (
     avro_item_types, avro_item_names, avro_map_value_types
   FROM schemas, shape WHERE owing OR path NOT LIKE '%.owing')"""
 
+# Customers as messages: which are Avro, under which hash, and whether their body can be read.
+_ACCOUNTS = f"""
+accounts AS (
+  SELECT *, event_ok AND (NOT avro OR registered) AS decoded FROM (
+    SELECT 'accounts_' || (c_custkey % 2) AS topic, c_custkey AS "offset", 'account_' || (c_nationkey % 3) AS event_type,
+      c_nationkey % 3 = 1 OR (c_nationkey % 3 = 2 AND c_custkey % 2 = 0) AS avro, NOT (c_nationkey % 3 = 1 AND c_custkey % 10 = 0) AS registered,
+      NOT (c_nationkey % 3 = 1 AND c_custkey % 20 = 1) AS event_ok,
+      CASE WHEN c_nationkey % 3 = 1 AND c_custkey % 10 = 0 THEN md5(c_name) ELSE md5({_SCHEMA_TEXT}) END AS schema_hash
+    FROM customer))"""
+
 _TOPICS = """
 per_message AS (SELECT topic, value, broken_reason, invalid_reason, event_type, "partition" FROM dirty),
 readable AS (SELECT DISTINCT topic, value, invalid_reason, event_type FROM per_message WHERE broken_reason IS NULL),
@@ -264,11 +274,28 @@ ORACLE: dict[str, str] = {
           WHEN c.branches LIKE 'DOUBLE%' THEN 'DOUBLE' END AS primitive,
         CASE WHEN c.items = 'STRING' THEN 'TEXT' END AS item_primitive, c.avro_enum_symbols
       FROM counted c LEFT JOIN counted p ON p.path = CASE WHEN c.path = '' THEN NULL WHEN c.path LIKE '%.%' THEN split_part(c.path, '.', 1) ELSE '' END""",
+    "a4_avro_mix_of_accounts": _with(_ACCOUNTS) + """SELECT event_type, count(*) AS n_events, string_agg(DISTINCT avro::VARCHAR, '|' ORDER BY avro::VARCHAR) AS avro_flags,
+        count(DISTINCT schema_hash) FILTER (avro) AS n_schemas,
+        count(DISTINCT avro) = 1 AND count(DISTINCT schema_hash) FILTER (avro) <= 1 AS is_consistent FROM accounts WHERE decoded GROUP BY event_type""",
+    "a9_topic_report_of_accounts": _with(_ACCOUNTS) + """SELECT topic, count(*) FILTER (decoded) AS n_events, 0::BIGINT AS n_invalid, 0::BIGINT AS n_undecoded,
+        count(*) FILTER (NOT decoded) AS n_broken, string_agg(DISTINCT event_type, '|' ORDER BY event_type) FILTER (decoded) AS event_types,
+        count(DISTINCT event_type) FILTER (decoded) = 1 AND count(*) FILTER (NOT decoded) = 0 AS is_consistent FROM accounts GROUP BY topic""",
+    "a9_topic_report_of_undecoded_accounts": _with(_ACCOUNTS) + """SELECT topic, count(*) FILTER (NOT avro OR registered) AS n_events, 0::BIGINT AS n_invalid,
+        count(*) FILTER (avro AND registered) AS n_undecoded, count(*) FILTER (NOT registered) AS n_broken FROM accounts GROUP BY topic""",
+    "f6_undecoded": _with(_ACCOUNTS) + """SELECT topic, "offset", CASE WHEN NOT registered THEN 'unknown schema' END AS broken_reason, NULL::VARCHAR AS invalid_reason,
+        avro AND registered AS undecoded, CASE WHEN NOT avro THEN event_type END AS event_type FROM accounts""",
+    "a7_learned_from_accounts": _with(_ACCOUNTS, _AVRO) + """,
+      event_paths(path, json_types) AS (VALUES ('', 'OBJECT'), ('id', 'INTEGER'), ('timestamp', 'INTEGER'), ('eventType', 'TEXTUAL'), ('version', 'TEXTUAL'), ('balance', 'FLOAT')),
+      of_events AS (SELECT event_type, path, json_types, count(*) AS n FROM accounts, event_paths WHERE decoded GROUP BY ALL),
+      in_use AS (SELECT DISTINCT event_type, schema_hash FROM accounts WHERE decoded AND avro),
+      of_schemas AS (SELECT event_type, path, max(avro_types) AS avro_types, count(*) AS n FROM in_use JOIN avro USING (schema_hash) GROUP BY ALL)
+      SELECT event_type, path, coalesce(e.n, 0) + coalesce(s.n, 0) AS n_trees, coalesce(s.avro_types, '') AS avro_types, coalesce(e.json_types, '') AS json_types
+      FROM of_events e FULL JOIN of_schemas s USING (event_type, path)""".replace(",\n      event_paths", ", event_paths", 1),
     "a8_resolve_primitive": _with(_SHIP_DOCS) + "SELECT event_type, path, primitive, item_primitive FROM typed WHERE is_leaf",
     "a9_topic_report": _with(_DIRTY, _TOPICS) + "SELECT * FROM topic_facts",
-    "a10_event_type_report": _with(_DIRTY, _TYPES) + """SELECT *, concat_ws('|', CASE WHEN n_events < 2 THEN 'Not enough events to check consistency' END,
-        CASE WHEN versions LIKE '%|%' THEN 'Mixed Schema Versions' END, CASE WHEN timestamp_units LIKE '%|%' THEN 'Mixed timestamp types' END,
-        CASE WHEN timestamp_units LIKE '%|SECONDS' OR timestamp_units = 'SECONDS' THEN 'Timestamp in seconds instead of milliseconds' END) AS messages FROM type_report""",
+    "a10_event_type_report": _with(_DIRTY, _TYPES) + """SELECT *, concat_ws('|', CASE WHEN n_events < 2 THEN 'a single event says nothing about consistency' END,
+        CASE WHEN versions LIKE '%|%' THEN 'several schema versions in use' END, CASE WHEN timestamp_units LIKE '%|%' THEN 'timestamps in different units' END,
+        CASE WHEN timestamp_units LIKE '%|SECONDS' OR timestamp_units = 'SECONDS' THEN 'timestamps count seconds' END) AS messages FROM type_report""",
     "a11_day_count": """SELECT event_type, count(*) FILTER (floor(epoch(ts)) >= epoch(TIMESTAMP '2024-01-31') - 86400) AS day_count FROM events GROUP BY event_type""",
     "a12_pivot_parameters": """SELECT c_name AS param_filter, lower(c_mktsegment) AS targetname, 'nation_' || c_nationkey AS sourcename,
         CAST(NULL AS VARCHAR) AS deltatype, upper(c_mktsegment) || '-0' AS strvalue FROM customer""",
@@ -284,9 +311,9 @@ ORACLE: dict[str, str] = {
     "d1_view_drift": _with(_DRIFT) + "SELECT * FROM drift",
     "d2_schema_conflicts": "SELECT md5(c_mktsegment) AS schema_hash, count(*) AS n_schemas FROM customer GROUP BY c_mktsegment HAVING count(*) > 1",
     "d3_change_log": _with(_DRIFT, _TOPICS, _TYPES) + """SELECT 'change' AS kind, 'event type ' || event_type AS subject,
-        CASE WHEN status = 'new' THEN 'generating new view' ELSE 'view changed' END AS message FROM drift WHERE status <> 'unchanged'
-      UNION ALL SELECT 'warning', 'topic ' || topic, 'inconsistencies detected' FROM topic_facts WHERE NOT is_consistent AND n_events > 0
-      UNION ALL SELECT 'warning', 'event type ' || event_type, 'inconsistencies detected' FROM type_report WHERE NOT is_consistent""",
+        CASE WHEN status = 'new' THEN 'view is new' ELSE 'view changed' END AS message FROM drift WHERE status <> 'unchanged'
+      UNION ALL SELECT 'warning', 'topic ' || topic, 'report shows inconsistencies' FROM topic_facts WHERE NOT is_consistent AND n_events > 0
+      UNION ALL SELECT 'warning', 'event type ' || event_type, 'report shows inconsistencies' FROM type_report WHERE NOT is_consistent""",
     "d4_structure_lineage": _with(_SHIP_DOCS) + """,
       kinds AS (SELECT DISTINCT event_type, doc, path, item, jtype FROM nodes),
       trees AS (SELECT event_type, doc, string_agg(path || item || jtype, '|' ORDER BY path, item, jtype) AS nodes FROM kinds GROUP BY ALL)

@@ -14,17 +14,16 @@ from shapelens.functions.json_types import types_in
 from shapelens.functions.naming import rowkey_timestamp
 from shapelens.operators import drift, reports, views, warehouse
 from shapelens.operators.avro import avro_paths
-from shapelens.operators.decode import classify_events, decode_messages, distinct_events, split_broken, split_invalid
+from shapelens.operators.decode import classify_events, decode_messages, distinct_events, distinct_positions, split_broken, split_invalid
 from shapelens.operators.paths import event_structures, json_paths
 from shapelens.operators.structure import merge_structures, structure_lineage
 from shapelens.plans import inputs
-from shapelens.plans.analysis import learn_structures
+from shapelens.plans.analysis import classify, learn_structures
 from shapelens.session import configure, shared_dir
 from shapelens.sources import landed, registry, topics
-from shapelens.streaming.structures import stream_structures
+from shapelens.streaming.structures import latest_structures, stream_structures
 
 AS_OF = datetime(2024, 1, 31)
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,14 +109,14 @@ def s8_structure_registry(spark, sf_dir):
 
 @query
 def s9_create_views(spark, sf_dir):
+    """All types' views in all scopes, with the rows of each from one scan."""
     structure = learn_structures(inputs.messages(spark, sf_dir))
     rows = inputs.landed_events(spark, sf_dir)
-    names = [n for t in EVENT_TYPES for n in views.create_views(spark, rows, structure, t, AS_OF)]
-    counts = [spark.table(n).agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("view_name"), "n_rows") for n in names]
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
-    return out
+    names, _ = views.create_all_views(spark, rows, structure, AS_OF)
+    counts = views.scope_counts(rows, list(names), list(landed.SCOPE_SECONDS), AS_OF)
+    listed = spark.createDataFrame(list(names.items()), "event_type string, view_name string")
+    suffix = F.when(F.col("scope") == "all", "").otherwise(F.concat(F.lit("_last_"), "scope"))
+    return counts.join(listed, "event_type").select(F.concat("view_name", suffix).alias("view_name"), "n_rows")
 
 
 @query
@@ -289,13 +288,13 @@ def p15_next_mark(spark, sf_dir):
 
 @query
 def a1_distinct_events(spark, sf_dir):
-    return distinct_events(inputs.dirty_messages(spark, sf_dir).where("value is not null")).select("topic", "partition", "offset")
+    return distinct_positions(inputs.dirty_messages(spark, sf_dir).where("value is not null")).select("topic", "partition", "offset")
 
 
 @query
 def a1_distinct_events_of_type(spark, sf_dir):
     valid, _ = split_invalid(_dirty(spark, sf_dir))
-    return distinct_events(valid, ["event_type"]).select("event_type", "topic", "offset")
+    return distinct_positions(valid, ["event_type"]).select("event_type", "topic", "offset")
 
 
 @query
@@ -314,6 +313,44 @@ def a4_avro_mix(spark, sf_dir):
         "event_type", F.size("avro_flags").alias("n_flags"), F.size("schema_hashes").alias("n_schemas"))
 
 
+def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(inputs.account_messages(spark, sf_dir), inputs.schema_registry(spark, sf_dir), inputs.json_body)
+
+
+@query
+def a4_avro_mix_of_accounts(spark, sf_dir):
+    """Types whose messages are JSON, Avro, or both."""
+    return reports.event_type_report(_accounts(spark, sf_dir)).select(
+        "event_type", "n_events", F.array_join(F.transform("avro_flags", lambda f: f.cast("string")), "|").alias("avro_flags"),
+        F.size("schema_hashes").cast("bigint").alias("n_schemas"), "is_consistent")
+
+
+@query
+def a9_topic_report_of_accounts(spark, sf_dir):
+    return reports.topic_report(_accounts(spark, sf_dir)).select(
+        "topic", "n_events", "n_invalid", "n_undecoded", "n_broken", _joined("event_types"), "is_consistent")
+
+
+@query
+def a9_topic_report_of_undecoded_accounts(spark, sf_dir):
+    """Without a decoder, known Avro messages are neither broken nor invalid."""
+    events = classify_events(decode_messages(inputs.account_messages(spark, sf_dir), inputs.schema_registry(spark, sf_dir)))
+    return reports.topic_report(events).select("topic", "n_events", "n_invalid", "n_undecoded", "n_broken")
+
+
+@query
+def f6_undecoded(spark, sf_dir):
+    events = classify_events(decode_messages(inputs.account_messages(spark, sf_dir), inputs.schema_registry(spark, sf_dir)))
+    return events.select("topic", "offset", "broken_reason", "invalid_reason", "undecoded", "event_type")
+
+
+@query
+def a7_learned_from_accounts(spark, sf_dir):
+    """Structure of accounts: the events' own paths and those of the Avro schemas that their messages carry."""
+    learned = learn_structures(inputs.account_messages(spark, sf_dir), inputs.schema_registry(spark, sf_dir), decoder=inputs.json_body)
+    return learned.select("event_type", "path", "n_trees", _joined("avro_types"), F.array_join("json_types", "|").alias("json_types"))
+
+
 @query
 def a5_timestamp_units(spark, sf_dir):
     return reports.event_type_report(_dirty(spark, sf_dir)).select("event_type", _joined("timestamp_units"))
@@ -362,11 +399,12 @@ def a10_event_type_report(spark, sf_dir):
 
 @query
 def a11_day_count(spark, sf_dir):
-    """Messages to structure to typed view to rows of the last day: the whole path."""
+    """Messages to structure to typed views over a landed table to rows of the last day: the whole path."""
+    path = _scratch(spark)
+    landed.write_landed_events(inputs.landed_events(spark, sf_dir), path)
     structure = learn_structures(inputs.messages(spark, sf_dir))
-    rows = inputs.landed_events(spark, sf_dir)
-    names = [r.event_type for r in structure.where("path = ''").select("event_type").orderBy("event_type").collect()]
-    return views.day_count(rows, names, "day", AS_OF)
+    names, _ = views.create_all_views(spark, landed.read_landed_events(spark, path), structure, AS_OF)
+    return views.count_views(spark, names, "day")
 
 
 @query
@@ -447,6 +485,4 @@ def r1_stream_structures(spark, sf_dir):
     rows.repartition(24, "offset").write.parquet(f"{root}/in")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/in")
     stream_structures(stream, f"{root}/registry", f"{root}/checkpoint", availableNow=True).awaitTermination()
-    table = spark.read.parquet(f"{root}/registry")
-    latest = table.agg(F.max("run")).first()[0]
-    return table.where(F.col("run") == latest).select("event_type", "path", "optional", "n_trees")
+    return latest_structures(spark, f"{root}/registry").select("event_type", "path", "optional", "n_trees")

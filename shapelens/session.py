@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SHARED: list[tempfile.TemporaryDirectory] = []
+_ROOTS: dict[str, str] = {}
+_OPEN: list[list[str]] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -22,26 +24,39 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def folder_of(spark: SparkSession, path: str):
+    """File system and path object of a folder, whatever store it is in."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: `spark.checkpoint.dir`, or a temporary one where it is unset (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    if not _LOCAL_SHARED:
-        _LOCAL_SHARED.append(tempfile.TemporaryDirectory(prefix="shapelens-"))
-    return _LOCAL_SHARED[0].name
-
-
-def spread(table: DataFrame) -> DataFrame:
-    """Deal the rows of a table with far fewer splits than the session has cores over all cores.
-
-    Decoding and walking JSON is work for the processor; one row group would keep one core busy. Tables of more
-    splits, which is every large one, are left as they are: no shuffle.
+    """This application's folder for intermediate tables, which every executor can reach.
+
+    It lies in `spark.checkpoint.dir`, or, where that is unset, in the session's warehouse, which a cluster shares as
+    well; and is deleted when the driver's JVM ends.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if 2 * table.rdd.getNumPartitions() < cores else table
+    application = spark.sparkContext.applicationId
+    if application not in _ROOTS:
+        parent = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
+        root = f"{parent}/shapelens-{uuid.uuid4().hex}"
+        store, path = folder_of(spark, root)
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _ROOTS[application] = root
+    return _ROOTS[application]
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that `sized` writes inside the block when it ends: for streams, which would pile them up."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for written in _OPEN.pop():
+            store, path = folder_of(spark, written)
+            store.delete(path, True)
 
 
 def sized(df: DataFrame) -> DataFrame:
@@ -54,5 +69,7 @@ def sized(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sized-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,40 +2,63 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shapelens.operators.decode import classify_events, decode_messages
 from shapelens.operators.paths import json_paths
 from shapelens.operators.structure import from_registry, merge_structures
+from shapelens.session import folder_of, intermediates
 from shapelens.sources.registry import write_structure_registry
 
 
-def _before(spark, path: str, batch_id: int) -> DataFrame | None:
-    """Snapshot of the latest batch before this one."""
-    try:
-        table = spark.read.parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return None
-        raise
-    earlier = table.where(F.col("run") < batch_id)
-    latest = earlier.agg(F.max("run")).first()[0]
-    return None if latest is None else table.where(F.col("run") == latest).drop("run")
+def _snapshots(spark, path: str) -> list[tuple[int, str, int, str]]:
+    """(sequence, query, batch, folder) of all snapshots, by sequence. Folder names tell: no data is read."""
+    store, root = folder_of(spark, path)
+    found = []
+    for status in store.listStatus(root) if store.exists(root) else []:
+        parts = re.fullmatch(r"run=(\d+)-(.+)-(\d+)", status.getPath().getName())
+        if parts:
+            found.append((int(parts[1]), parts[2], int(parts[3]), status.getPath().toString()))
+    return sorted(found)
+
+
+def latest_structures(spark, path: str) -> DataFrame | None:
+    """The structures of the latest snapshot of any query; None before the first."""
+    found = _snapshots(spark, path)
+    return spark.read.parquet(found[-1][3]) if found else None
 
 
-def merge_batch(messages: DataFrame, batch_id: int, path: str, sticky: bool = False) -> None:
-    """Merge one micro-batch into the registry. A batch that is run again starts from the same earlier snapshot and
-    replaces its own, so counts are added once."""
-    paths = json_paths(classify_events(decode_messages(messages)))
-    previous = _before(messages.sparkSession, path, batch_id)
-    sources = [paths] if previous is None else [paths, from_registry(previous)]
-    write_structure_registry(merge_structures(*sources, sticky=sticky), path, str(batch_id))
+def merge_batch(messages: DataFrame, batch_id: int, path: str, query: str, sticky: bool = False, keep: int = 3) -> None:
+    """Merge one micro-batch into the registry.
+
+    A snapshot is named by a running number, its query and its batch. A batch that is run again starts from the same
+    earlier snapshot and replaces its own, so counts are added once; a query with a new checkpoint goes on from the
+    latest snapshot of the queries before it. The last `keep` snapshots stay.
+    """
+    spark = messages.sparkSession
+    with intermediates(spark):
+        found = _snapshots(spark, path)
+        own = [s for s in found if s[1:3] == (query, batch_id)]
+        before = [s for s in found if not own or s[0] < own[0][0]]
+        number = own[0][0] if own else (before[-1][0] + 1 if before else 0)
+        paths = json_paths(classify_events(decode_messages(messages)))
+        sources = [paths, from_registry(spark.read.parquet(before[-1][3]))] if before else [paths]
+        write_structure_registry(merge_structures(*sources, sticky=sticky), path, f"{number}-{query}-{batch_id}")
+        for _, _, _, folder in before[: max(0, len(before) - keep + 1)]:
+            store, old = folder_of(spark, folder)
+            store.delete(old, True)
 
 
 def stream_structures(messages: DataFrame, path: str, checkpoint: str, sticky: bool = False, **trigger) -> StreamingQuery:
-    """Start a query that keeps the structure registry at `path` up to date with a stream of Kafka rows."""
+    """Start a query that keeps the structure registry at `path` up to date with a stream of Kafka rows.
+
+    The checkpoint is what makes batches of one query, also over restarts.
+    """
+    query = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, batch_id: merge_batch(batch, batch_id, path, sticky))
+        lambda batch, batch_id: merge_batch(batch, batch_id, path, query, sticky))
     return (writer.trigger(**trigger) if trigger else writer).start()

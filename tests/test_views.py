@@ -11,10 +11,12 @@ from shapelens.operators.avro import avro_paths, avro_structures
 from shapelens.operators.decode import classify_events, decode_messages
 from shapelens.operators.paths import json_paths
 from shapelens.operators.structure import merge_structures
+from shapelens.operators.views import ColumnClash
 from shapelens.plans.analysis import analyse, learn_structures
 from shapelens.sources.landed import rowkey_range, write_landed_events
 from shapelens.sources.registry import read_structure_registry, write_structure_registry
-from shapelens.streaming.structures import merge_batch, stream_structures
+from shapelens.session import shared_dir
+from shapelens.streaming.structures import latest_structures, merge_batch, stream_structures
 
 DOCUMENTS = [
     {"id": 1, "timestamp": 1704067207179, "eventType": "t", "p": {"a": 1, "odd-name": "x"}, "arr": [{"d": 1}, {"d": "x"}], "tags": ["u", "v"]},
@@ -172,16 +174,71 @@ def test_stream_equals_batch(spark, tmp_path):
         messages(spark, [d]).coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema(messages(spark, documents).schema).option("maxFilesPerTrigger", 2).parquet(source)
     stream_structures(stream, path, str(tmp_path / "checkpoint"), availableNow=True).awaitTermination()
-    runs = spark.read.parquet(path).select("run").distinct().count()
     batch = result(merge_structures(json_paths(classify_events(decode_messages(messages(spark, documents))))))
-    assert runs == 2 and result(read_structure_registry(spark, path)) == batch
-    # the last batch again: same snapshot, nothing counted twice
-    before = spark.read.parquet(path).where("run = 0")
-    assert before.count() > 0
-    merge_batch(messages(spark, documents[:1]), 5, path)
-    once = result(read_structure_registry(spark, path, "5"))
-    merge_batch(messages(spark, documents[:1]), 5, path)
-    assert result(read_structure_registry(spark, path, "5")) == once
+    assert result(latest_structures(spark, path)) == batch
+    # a batch again: same snapshot, nothing counted twice
+    merge_batch(messages(spark, documents[:1]), 5, path, "q")
+    once = result(latest_structures(spark, path))
+    merge_batch(messages(spark, documents[:1]), 5, path, "q")
+    assert result(latest_structures(spark, path)) == once != batch
+
+
+def test_stream_with_a_new_checkpoint_goes_on(spark, tmp_path):
+    path, batches = str(tmp_path / "registry"), [[d] for d in DOCUMENTS]
+    for i, documents in enumerate(batches):
+        merge_batch(messages(spark, documents), i % 2, path, f"query{i // 2}", keep=2)
+    batch = result(merge_structures(json_paths(classify_events(decode_messages(messages(spark, DOCUMENTS))))))
+    assert result(latest_structures(spark, path)) == batch
+    assert len(list((tmp_path / "registry").glob("run=*"))) == 2
+    assert not list(__import__("pathlib").Path(shared_dir(spark).removeprefix("file:")).glob("sized-*/_temporary"))
+
+
+ODD = {"it's": 1, 'say "it\'s"': {"x": 2}, "x": "low", "X": "high", "a": [{"b": [{"c": "1"}, {"c": 2}], "q": "s"}, {"b": []}], "a_b": 1, "a-b": 2}
+
+
+def test_odd_keys_in_views(spark):
+    documents = [{"id": 1, "timestamp": 1704067200000, "eventType": "t", **ODD}]
+    structure = merge_structures(json_paths(classify_events(decode_messages(messages(spark, documents)))))
+    landed = land(spark, documents)
+    for build in (views.flatten_typed, views.flatten_untyped, views.json_tuple_view):
+        with pytest.raises(ColumnClash):
+            build(landed, structure, "t").count()
+    typed = views.flatten_typed(landed, structure, "t", on_clash="suffix").first().asDict()
+    assert (typed["its"], typed["say its_x"], {v for k, v in typed.items() if k.lower() in ("x", "x_2")}) == (1, 2, {"low", "high"})
+    loose = views.flatten_untyped(landed, structure, "t", on_clash="suffix")
+    assert loose.select(F.col("`say its_x`").cast("int"), F.col("its").cast("int")).first() == (2, 1)
+    assert len(set(map(str.lower, views.json_tuple_view(landed, structure, "t", on_clash="suffix").columns))) == len(views.json_tuple_view(landed, structure, "t", on_clash="suffix").columns)
+    nested = views.explode_arrays(landed, structure, "t", "a.b")
+    assert [tuple(r)[1:] for r in nested.orderBy("a_array_index", "a_b_array_index").collect()] == [(0, 0, "1"), (0, 1, "2"), (1, None, None)]
+    assert [tuple(r)[1:3] for r in views.explode_arrays(landed, structure, "t", "a").select("rowkey", "a_array_index", "a_q").orderBy("a_array_index").collect()] == [(0, "s"), (1, None)]
+    with pytest.raises(LookupError):
+        views.explode_arrays(landed, structure, "t", "id")
+
+
+def test_one_bad_type_leaves_the_others(spark):
+    documents = [{"id": i, "timestamp": 1704067200000, "eventType": t, **extra} for i, (t, extra) in enumerate(
+        [("good", {"v": 1}), ("bad", {"a_b": 1, "a": {"b": 2}}), (12, {}), ("", {}), ("a-b", {}), ("a_b", {})])]
+    reports = analyse(messages(spark, documents), land(spark, documents), as_of=datetime(2024, 1, 1, 1))
+    assert {r.event_type: r.day_count for r in reports["day_counts"].collect()}.keys() == {"good", "12", "", "a-b", "a_b"}
+    assert ("warning", "event type bad", "no view: ColumnClash") in {tuple(r) for r in reports["changes"].collect()}
+    names = views.view_names(["a-b", "a_b", "good"])
+    assert len(set(names.values())) == 3 and names["good"] == "good"
+    again = analyse(messages(spark, documents), land(spark, documents), previous=reports["structures"], as_of=datetime(2024, 1, 1, 1))
+    assert {r.status for r in again["drift"].collect()} <= {"unchanged"}
+
+
+def test_run_reads_its_source_once(spark, tmp_path):
+    messages(spark, DOCUMENTS).write.parquet(str(tmp_path / "in"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = spark.read.parquet(str(tmp_path / "in"))
+    analyse(source.mapInArrow(count, source.schema), land(spark, DOCUMENTS), as_of=datetime(2024, 1, 31, 12))["changes"].collect()
+    assert seen.value == len(DOCUMENTS)
 
 
 def test_registry_round_trip(spark, structure, tmp_path):
