@@ -2,8 +2,8 @@
 
 The shape of an event is its JSON text with a stand-in for every value that keeps the value's JSON type. The count per
 shape shrinks map-side to one row per shape and task, so the cost behind it follows the number of shapes and not of
-events, and an event's rows never travel. The small table of shapes is written once; an event nested deeper than
-expected repeats the walk over the shapes, not the pass over the source.
+events, and an event's rows never travel. The small table of shapes is written once; what is nested deeper than one
+turn of the walk opens goes on from there, without another pass over anything else.
 
 In the walk every level of nesting is one `explode` over the entries of a variant, inside code generation.
 
@@ -15,6 +15,8 @@ distinct count on (path, event) instead.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -120,53 +122,43 @@ def _name(column: str) -> str:
 
 
 def walk(shapes: DataFrame, keys: list[str], levels: int = 6) -> DataFrame:
-    """Rows `(keys, event_no, n, path, role, item, mask, unfinished)` of all nodes of `(keys, event, n)` down to `levels`."""
+    """Rows `(keys, event_no, n, path, role, item, mask)` of all nodes of `(keys, event, n)`, however deep.
+
+    A turn opens `levels` levels and is written; the next one goes on from the containers that are still closed.
+    """
     names = [_name(k) for k in keys]
-    rows = shapes.selectExpr(
-        *names, "monotonically_increasing_id() as event_no", "n", "'' as path", "false as item", f"{_PLAIN} as role",
-        "cast(null as string) as type", "event as value")
-    for _ in range(levels):
-        rows = _descend(rows, keys)
-    rows = rows.selectExpr(*names, "event_no", "n", "path", "role", "item", "type is null as last",
-                           "coalesce(type, schema_of_variant(value)) as type")
+    kept = [*names, "event_no", "n", "path", "item", "role"]
     bit = json_type_bit("type")
-    return rows.where("type is not null").selectExpr(
-        *names, "event_no", "n", "path", "role", "item",
-        f"case when role = {_PRESENCE} then 0 when item then shiftleft({bit}, {ITEM_SHIFT}) else {bit} end as mask",
-        """last and ((startswith(type, 'OBJECT<') and type <> 'OBJECT<>') or (startswith(type, 'ARRAY<') and not item))
-           as unfinished""")
+    todo = shapes.selectExpr(*names, "monotonically_increasing_id() as event_no", "n", "'' as path", "false as item", f"{_PLAIN} as role",
+                             "cast(null as string) as type", "event as value")
+    found = []
+    while True:
+        rows = todo
+        for _ in range(levels):
+            rows = _descend(rows, keys)
+        rows = rows.selectExpr(*kept, "type is null as last", "coalesce(type, schema_of_variant(value)) as type", "value")
+        rows = sized(rows.where("type is not null").selectExpr(
+            *kept, f"case when role = {_PRESENCE} then 0 when item then shiftleft({bit}, {ITEM_SHIFT}) else {bit} end as mask",
+            """last and ((startswith(type, 'OBJECT<') and type <> 'OBJECT<>') or (startswith(type, 'ARRAY<') and not item)) as closed""", "value"))
+        found.append(rows.where("not closed").drop("closed", "value"))
+        todo = rows.where("closed").selectExpr(*kept, "cast(null as string) as type", "value")
+        if todo.isEmpty():
+            return reduce(DataFrame.unionByName, found)
 
 
-def count_paths(shapes: DataFrame, keys: list[str], levels: int = 6) -> DataFrame:
-    """`(keys, path, mask, n_trees, unfinished)`; lazy, complete when no row is `unfinished`.
+def json_paths(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 6) -> DataFrame:
+    """Path counts per key, whatever the nesting: `(keys, path, mask, n_trees, optional)`.
 
     An event counts once per path: outside arrays and in merged array schemas it has one row there, otherwise its rows
-    are first brought together by event.
+    are first brought together by event. `optional` is the flag of the events themselves (a JSON null was seen).
     """
-    rows = walk(shapes, keys, levels)
+    keys = keys or ["event_type"]
+    rows = walk(count_shapes(events, keys, event), keys, levels)
     per_event = rows.groupBy(*keys, "path", F.expr(f"if(role = {_DISTINCT} and not item, event_no, null)").alias("event_no")).agg(
         F.expr("bit_or(mask) as mask"),
         F.expr(f"sum(if(role in ({_PLAIN}, {_PRESENCE}) and not item, n, 0L)) as n_trees"),
-        F.expr(f"max(if(role = {_DISTINCT} and not item, n, 0L)) as n_once"),
-        F.expr("bool_or(unfinished) as unfinished"),
-    )
-    return per_event.groupBy(*keys, "path").agg(
-        F.expr("bit_or(mask) as mask"), F.expr("sum(n_trees + n_once) as n_trees"), F.expr("bool_or(unfinished) as unfinished"))
-
-
-def json_paths(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 6) -> DataFrame:
-    """Path counts per key, whatever the nesting: `(keys, path, mask, n_trees, optional)`.
-
-    Shapes nested deeper than `levels` cause one more walk over the shapes with twice the levels. `optional` is the
-    flag of the events themselves (a JSON null was seen).
-    """
-    keys = keys or ["event_type"]
-    shapes = count_shapes(events, keys, event)
-    while True:
-        counts = sized(count_paths(shapes, keys, levels))
-        if counts.where("unfinished").isEmpty():
-            break
-        levels *= 2
+        F.expr(f"max(if(role = {_DISTINCT} and not item, n, 0L)) as n_once"))
+    counts = sized(per_event.groupBy(*keys, "path").agg(F.expr("bit_or(mask) as mask"), F.expr("sum(n_trees + n_once) as n_trees")))
     return counts.where(F.col(keys[0]).isNotNull()).select(
         *keys, "path", "mask", "n_trees",
         (F.col("mask").bitwiseAND(F.lit(BIT["NULL"])) != 0).alias("optional"),
@@ -180,17 +172,11 @@ def event_structures(events: DataFrame, keys: list[str] | None = None, event: st
     per shape; shapes of one set add up.
     """
     keys = keys or ["event_type"]
-    shapes = count_shapes(events, keys, event)
-    while True:
-        rows = walk(shapes, keys, levels).where(f"role <> {_PRESENCE}")
-        # bits first, so that the text of a node cannot be read in two ways; sorted natively, decoded once per tree
-        per_event = rows.groupBy(*keys, "event_no").agg(
-            F.expr("max(n) as n"), F.expr("sort_array(collect_set(concat(mask, ':', path))) as encoded"), F.expr("bool_or(unfinished) as unfinished"))
-        trees = sized(per_event.groupBy(*keys, "encoded").agg(
-            F.sum("n").alias("n_events"), F.expr("bool_or(unfinished) as unfinished")))
-        if trees.where("unfinished").isEmpty():
-            break
-        levels *= 2
+    rows = walk(count_shapes(events, keys, event), keys, levels).where(f"role <> {_PRESENCE}")
+    # bits first, so that the text of a node cannot be read in two ways; sorted natively, decoded once per tree
+    per_event = rows.groupBy(*keys, "event_no").agg(
+        F.expr("max(n) as n"), F.expr("sort_array(collect_set(concat(mask, ':', path))) as encoded"))
+    trees = sized(per_event.groupBy(*keys, "encoded").agg(F.sum("n").alias("n_events")))
     trees = trees.where(F.col(keys[0]).isNotNull()).withColumn("nodes", F.expr("""array_sort(transform(encoded, n -> struct(
         substring(n, instr(n, ':') + 1) as path, cast(substring_index(n, ':', 1) as int) as mask)))"""))
     return trees.select(*keys, F.sha2(F.to_json("nodes"), 256).alias("structure_id"), "nodes", "n_events")

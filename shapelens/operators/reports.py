@@ -1,8 +1,8 @@
 """Consistency reports per topic and per event type.
 
-Counting distinct events needs their digests; the sets beside the counts (types, versions, units, …) do not. Each
-message therefore gives one row with its digest and one with its attributes: the first kind is the only data
-shuffled per event (a narrow one), the second collapses map-side.
+Counting distinct events shuffles their digests, and nothing else per message. What messages carry beside (types,
+versions, units, schemas, partitions) is counted per value, which collapses map-side; consistency follows from the
+numbers of values, so no row grows with what message fields hold.
 """
 
 from __future__ import annotations
@@ -23,22 +23,21 @@ def digest_of(classified: DataFrame) -> Column:
     return F.col("digest") if "digest" in classified.columns else message_digest(F.col("value"))
 
 
-def topic_report(classified: DataFrame) -> DataFrame:
-    """Per topic: distinct events, invalid and undecoded ones, broken messages, types, partitions, consistency and messages."""
+def topic_event_types(classified: DataFrame) -> DataFrame:
+    """`(topic, event_type, n_messages)`, however many types a topic has."""
+    return classified.groupBy("topic", "event_type").agg(F.count("*").alias("n_messages")).where("event_type is not null")
+
+
+def topic_report(classified: DataFrame, values: bool = True) -> DataFrame:
+    """Per topic: distinct events, invalid and undecoded ones, broken messages, types, partitions, consistency and messages.
+
+    With `values` the event types stand beside their number as an array; see `topic_event_types` for a table.
+    """
     rows = classified.select(
-        "topic", "partition", "event_type", digest_of(classified).alias("digest"),
+        "topic", digest_of(classified).alias("digest"),
         F.coalesce("broken_reason", "invalid_reason", F.when(F.col("undecoded"), UNDECODED)).alias("reason"), F.col("broken_reason").isNotNull().alias("broken"))
-    nothing = F.lit(None)
-    pairs = F.explode(F.array(
-        F.struct(F.lit(True).alias("counts"), F.col("digest").alias("digest"), F.col("reason").alias("reason"),
-                 F.col("broken").alias("broken"), nothing.cast("string").alias("event_type"), nothing.cast("int").alias("partition")),
-        F.struct(F.lit(False).alias("counts"), nothing.cast("binary").alias("digest"), nothing.cast("string").alias("reason"),
-                 nothing.cast("boolean").alias("broken"), F.col("event_type").alias("event_type"),
-                 F.col("partition").cast("int").alias("partition")),
-    )).alias("p")
-    distinct = rows.select("topic", pairs).select("topic", "p.*").groupBy(
-        "topic", "counts", "digest", "reason", "broken", "event_type", "partition").agg(F.count("*").alias("copies"))
-    readable = F.col("counts") & ~F.col("broken")
+    distinct = rows.groupBy("topic", "digest", "reason", "broken").agg(F.count("*").alias("copies"))
+    readable = ~F.col("broken")
     undecoded = readable & (F.col("reason") == UNDECODED)
     invalid = readable & (F.col("reason") != UNDECODED)
 
@@ -50,19 +49,22 @@ def topic_report(classified: DataFrame) -> DataFrame:
         total(invalid & (F.col("reason") == NO_EVENT_TYPE)).alias("n_without_type"),
         total(invalid & (F.col("reason") == NO_TIMESTAMP)).alias("n_without_timestamp"),
         total(undecoded).alias("n_undecoded"),
-        total(F.col("counts") & F.col("broken"), F.col("copies")).alias("n_broken"),
-        total(F.col("counts") & (F.col("reason") == NULL_MESSAGE), F.col("copies")).alias("n_null"),
-        F.array_sort(F.collect_set("event_type")).alias("event_types"),
-        F.size(F.collect_set("partition")).alias("n_partitions"),
+        total(F.col("broken"), F.col("copies")).alias("n_broken"),
+        total(F.col("reason") == NULL_MESSAGE, F.col("copies")).alias("n_null"),
     )
-    types = F.size("event_types")
-    return counted.select(
-        "*", ((types == 1) & (F.col("n_invalid") == 0) & (F.col("n_broken") == 0)).alias("is_consistent"),
+    partitions = classified.groupBy("topic", "partition").agg(F.lit(1).alias("one")).groupBy("topic").agg(F.count("*").cast("int").alias("n_partitions"))
+    seen = sized(topic_event_types(classified))
+    types = seen.groupBy("topic").agg(F.count("*").alias("n_types"), *([F.array_sort(F.collect_list("event_type")).alias("event_types")] if values else []))
+    report = counted.join(partitions, "topic").join(types, "topic", "left").withColumn("n_types", F.coalesce("n_types", F.lit(0)))
+    if values:
+        report = report.withColumn("event_types", F.coalesce("event_types", F.array().cast("array<string>")))
+    return report.select(
+        "*", ((F.col("n_types") == 1) & (F.col("n_invalid") == 0) & (F.col("n_broken") == 0)).alias("is_consistent"),
         F.array_compact(F.array(
             F.when(F.col("n_invalid") > 0, "some events are invalid"),
             F.when(F.col("n_without_type") > 0, "some events have no type"),
             F.when(F.col("n_without_timestamp") > 0, "some events have no timestamp"),
-            F.when(types > 1, "the topic carries several event types"),
+            F.when(F.col("n_types") > 1, "the topic carries several event types"),
             F.when(F.col("n_broken") > F.col("n_null"), "some messages could not be read"),
             F.when(F.col("n_null") > 0, "some messages are empty (null)"),
         )).alias("messages"),
@@ -75,39 +77,47 @@ def broken_messages(classified: DataFrame) -> DataFrame:
         "topic", "partition", "offset", "broken_reason", message_text(F.col("value")).alias("text"))
 
 
-def event_type_report(classified: DataFrame) -> DataFrame:
-    """Per event type: distinct events over all topics, source topics, versions, units, Avro use, consistency."""
-    nothing = F.lit(None)
-    strings = ["topic", "version", "timestamp_unit", "schema_hash"]
-    pairs = F.explode(F.array(
-        F.struct(digest_of(classified).alias("digest"), *[nothing.cast("string").alias(c) for c in strings],
-                 nothing.cast("boolean").alias("is_avro")),
-        F.struct(nothing.cast("binary").alias("digest"), F.col("topic").alias("topic"),
-                 F.coalesce("version", F.lit(ABSENT)).alias("version"), F.col("timestamp_unit").alias("timestamp_unit"),
-                 F.col("schema_hash").alias("schema_hash"), F.col("is_avro").alias("is_avro")),
-    )).alias("p")
-    keys = ["event_type", "digest", *strings, "is_avro"]
-    distinct = classified.select("event_type", pairs).select("event_type", "p.*").groupBy(*keys).agg(F.lit(1).alias("one"))
-    report = distinct.where("event_type is not null").groupBy("event_type").agg(
-        F.count("digest").alias("n_events"),
-        F.array_sort(F.collect_set("topic")).alias("topics"),
-        F.array_sort(F.collect_set("version")).alias("versions"),
-        F.array_sort(F.collect_set("timestamp_unit")).alias("timestamp_units"),
-        F.array_sort(F.collect_set("schema_hash")).alias("schema_hashes"),
-        F.array_sort(F.collect_set("is_avro")).alias("avro_flags"),
-    )
-    seconds = F.array_contains("timestamp_units", "SECONDS")
-    consistent = ((F.size("avro_flags") == 1) & (F.size("schema_hashes") <= 1) & (F.size("versions") == 1)
-                  & (F.size("timestamp_units") == 1) & ~seconds)
+#: Attributes of an event type, in the order of the arrays below.
+ATTRIBUTES = {"topic": "topics", "version": "versions", "timestamp_unit": "timestamp_units", "schema_hash": "schema_hashes", "is_avro": "avro_flags"}
+
+
+def event_type_attributes(classified: DataFrame) -> DataFrame:
+    """`(event_type, attribute, value, n_messages)`: what the messages of each type carry, however many values there are."""
+    values = {"topic": F.col("topic"), "version": F.coalesce("version", F.lit(ABSENT)), "timestamp_unit": F.col("timestamp_unit"),
+              "schema_hash": F.col("schema_hash"), "is_avro": F.col("is_avro").cast("string")}
+    pairs = F.explode(F.array(*[F.struct(F.lit(a).alias("attribute"), v.alias("value")) for a, v in values.items()])).alias("p")
+    return classified.select("event_type", pairs).select("event_type", "p.*").groupBy("event_type", "attribute", "value").agg(
+        F.count("*").alias("n_messages")).where("event_type is not null and value is not null")
+
+
+def event_type_report(classified: DataFrame, values: bool = True) -> DataFrame:
+    """Per event type: distinct events over all topics, number of topics, versions, units, schemas, consistency.
+
+    With `values` the values stand beside their numbers as arrays, which are as long as there are values: for a field
+    that every message fills anew take `event_type_attributes` instead.
+    """
+    events = classified.select("event_type", digest_of(classified).alias("digest")).groupBy("event_type", "digest").agg(F.lit(1).alias("one"))
+    counted = events.where("event_type is not null").groupBy("event_type").agg(F.count("digest").alias("n_events"))
+    seen = sized(event_type_attributes(classified))
+    numbers = seen.groupBy("event_type").agg(
+        *[F.count(F.when(F.col("attribute") == a, 1)).alias(f"n_{name}") for a, name in ATTRIBUTES.items()],
+        F.coalesce(F.bool_or((F.col("attribute") == "timestamp_unit") & (F.col("value") == "SECONDS")), F.lit(False)).alias("has_seconds"))
+    report = counted.join(numbers, "event_type")
+    if values:
+        sets = seen.groupBy("event_type").agg(
+            *[F.array_sort(F.collect_list(F.when(F.col("attribute") == a, F.col("value")))).alias(name) for a, name in ATTRIBUTES.items()])
+        report = report.join(sets.withColumn("avro_flags", F.transform("avro_flags", lambda f: f.cast("boolean"))), "event_type")
+    consistent = ((F.col("n_avro_flags") == 1) & (F.col("n_schema_hashes") <= 1) & (F.col("n_versions") == 1)
+                  & (F.col("n_timestamp_units") == 1) & ~F.col("has_seconds"))
     return report.select(
         "*", consistent.alias("is_consistent"),
         F.array_compact(F.array(
             F.when(F.col("n_events") < 2, "a single event says nothing about consistency"),
-            F.when(F.size("versions") > 1, "several schema versions in use"),
-            F.when(F.size("avro_flags") > 1, "Avro and JSON bodies side by side"),
-            F.when(F.size("schema_hashes") > 1, "several Avro schemas in use"),
-            F.when(F.size("timestamp_units") > 1, "timestamps in different units"),
-            F.when(seconds, "timestamps count seconds"),
+            F.when(F.col("n_versions") > 1, "several schema versions in use"),
+            F.when(F.col("n_avro_flags") > 1, "Avro and JSON bodies side by side"),
+            F.when(F.col("n_schema_hashes") > 1, "several Avro schemas in use"),
+            F.when(F.col("n_timestamp_units") > 1, "timestamps in different units"),
+            F.when(F.col("has_seconds"), "timestamps count seconds"),
         )).alias("messages"),
     )
 

@@ -66,7 +66,7 @@ def analyse(messages: DataFrame, landed: DataFrame, registry: DataFrame | None =
     spark = messages.sparkSession
     chosen = messages.where(topic_selected(F.col("topic"), whitelist))
     events = stored(classify(chosen, registry, decoder))
-    topics, types = sized(reports.topic_report(events)), sized(reports.event_type_report(events))
+    topics, types = sized(reports.topic_report(events, values=False)), sized(reports.event_type_report(events, values=False))
     structure = sized(structures_of(events, registry, previous, used=used))
     names, failed = create_all_views(spark, landed, structure, as_of)
     columns = drift.column_list(structure)

@@ -193,7 +193,8 @@ ORACLE: dict[str, str] = {
     "s5_read_landed_events": _with(_LANDED) + "SELECT rowkey, md5(json) AS digest FROM landed",
     "s6_schema_registry_lookup": f"""SELECT c_custkey AS "offset", CASE WHEN c_acctbal < -500 THEN md5(c_name) ELSE md5({_SCHEMA_TEXT}) END AS schema_hash,
         CASE WHEN c_acctbal < -500 THEN 'unknown schema' END AS broken_reason,
-        CASE WHEN c_acctbal >= -500 THEN length({_SCHEMA_TEXT}) END AS schema_length FROM customer""",
+        CASE WHEN c_acctbal >= -500 THEN sha256({_SCHEMA_TEXT}) END AS schema_digest FROM customer""",
+    "s6_registry_from_base64": f"""SELECT md5({_SCHEMA_TEXT}) AS schema_hash, sha256({_SCHEMA_TEXT}) AS schema_digest FROM customer""",
     "s7_write_samples": _with(_DIRTY) + """SELECT event_type, event_id AS id FROM (
         SELECT event_type, event_id, topic, "partition", "offset" FROM dirty WHERE event_type IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY event_type, value ORDER BY topic, "partition", "offset") = 1)
@@ -246,6 +247,9 @@ ORACLE: dict[str, str] = {
         replace(path, '.', '_') AS target_column, '$.' || path AS source_path, CASE primitive WHEN 'BIGINT' THEN 'Integer' WHEN 'DOUBLE' THEN 'Number'
         WHEN 'BOOLEAN' THEN 'Boolean' ELSE 'String' END AS data_type FROM typed WHERE is_leaf
         UNION ALL SELECT DISTINCT event_type, 0, 'meta_CreateProcessID', '_RUN_ID', 'Integer' FROM typed""",
+    "p15_append_increment": _with(_SHIP) + """, top AS (SELECT max(rowkey) AS mark FROM ship WHERE event_type = 'return')
+      SELECT rowkey, CASE WHEN rowkey < 'RETURN-0800000000' THEN 1 ELSE 2 END AS run, l_orderkey || '-' || l_linenumber AS id, mark
+      FROM ship, top WHERE event_type = 'return'""",
     "p15_load_warehouse_increment": _with(_SHIP) + """SELECT rowkey, 7 AS "meta_CreateProcessID", '["' || l_returnflag || '",' || l_linenumber || ']' AS codes,
         event_type AS "eventType", l_orderkey || '-' || l_linenumber AS id, l_partkey AS item_part, l_suppkey AS item_supplier_id,
         CASE WHEN l_returnflag = 'A' THEN 'ok' END AS note, CAST(l_extendedprice AS DECIMAL(18, 5))::VARCHAR AS price, (epoch_us(l_shipdate) // 1000) AS timestamp

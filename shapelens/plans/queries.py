@@ -49,6 +49,13 @@ def _scratch(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/query-{uuid.uuid4().hex}"
 
 
+def _landed_table(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """The rows written as a landed table and read back, so that key ranges reach the scan."""
+    path = _scratch(spark)
+    landed.write_landed_events(rows, path)
+    return landed.read_landed_events(spark, path)
+
+
 def _shipment_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn_structures(inputs.shipment_messages(spark, sf_dir))
 
@@ -87,7 +94,15 @@ def s5_read_landed_events(spark, sf_dir):
 @query
 def s6_schema_registry_lookup(spark, sf_dir):
     decoded = decode_messages(inputs.avro_messages(spark, sf_dir), inputs.schema_registry(spark, sf_dir))
-    return decoded.select("offset", "schema_hash", "broken_reason", F.length("schema_json").alias("schema_length"))
+    return decoded.select("offset", "schema_hash", "broken_reason", F.sha2("schema_json", 256).alias("schema_digest"))
+
+
+@query
+def s6_registry_from_base64(spark, sf_dir):
+    """A key-value export with base64 texts becomes the registry."""
+    export = inputs.schema_registry(spark, sf_dir).select(
+        F.concat(F.lit("schemas/"), "schema_hash").alias("key"), F.base64(F.col("schema_json").cast("binary")).alias("value"))
+    return registry.registry_from_base64(export).select("schema_hash", F.sha2("schema_json", 256).alias("schema_digest"))
 
 
 @query
@@ -162,12 +177,12 @@ def f6_split_invalid(spark, sf_dir):
 
 @query
 def f7_rowkey_range_all(spark, sf_dir):
-    return landed.rowkey_range(inputs.landed_events(spark, sf_dir), "click").select("rowkey", F.md5("json").alias("digest"))
+    return landed.rowkey_range(_landed_table(spark, inputs.landed_events(spark, sf_dir)), "click").select("rowkey", F.md5("json").alias("digest"))
 
 
 @query
 def f8_rowkey_range_week(spark, sf_dir):
-    return landed.rowkey_range(inputs.landed_events(spark, sf_dir), "purchase", "week", AS_OF).select(
+    return landed.rowkey_range(_landed_table(spark, inputs.landed_events(spark, sf_dir)), "purchase", "week", AS_OF).select(
         "rowkey", F.md5("json").alias("digest"))
 
 
@@ -270,7 +285,7 @@ def p14_load_mapping(spark, sf_dir):
 @query
 def p15_load_warehouse_increment(spark, sf_dir):
     rows = warehouse.load_warehouse_increment(
-        inputs.landed_shipments(spark, sf_dir), _shipment_structure(spark, sf_dir), "shipment", "SHIPMENT-0900000000", 7)
+        _landed_table(spark, inputs.landed_shipments(spark, sf_dir)), _shipment_structure(spark, sf_dir), "shipment", "SHIPMENT-0900000000", 7)
     return rows.select(
         "rowkey", "meta_CreateProcessID", "codes", "eventType", "id", "item_part", "item_supplier_id", "note",
         F.col("price").cast("string").alias("price"), "timestamp")
@@ -284,6 +299,17 @@ def p15_next_mark(spark, sf_dir):
     return rows.groupBy(kind.alias("event_type")).agg(F.max("rowkey").alias("mark"))
 
 
+@query
+def p15_append_increment(spark, sf_dir):
+    """Two increments appended to one table, the second from the mark of the first."""
+    path, rows, structure = _scratch(spark), _landed_table(spark, inputs.landed_shipments(spark, sf_dir)), _shipment_structure(spark, sf_dir)
+    early = rows.where("rowkey < 'RETURN-0800000000'")
+    mark = warehouse.append_increment(early, structure, "return", path, run_id=1)
+    mark = warehouse.append_increment(rows, structure, "return", path, mark, run_id=2)
+    loaded = spark.read.parquet(path)
+    return loaded.select("rowkey", F.col("meta_CreateProcessID").alias("run"), "id", F.lit(mark).alias("mark"))
+
+
 # --- aggregations -----------------------------------------------------------------------------------------------
 
 @query
@@ -400,10 +426,8 @@ def a10_event_type_report(spark, sf_dir):
 @query
 def a11_day_count(spark, sf_dir):
     """Messages to structure to typed views over a landed table to rows of the last day: the whole path."""
-    path = _scratch(spark)
-    landed.write_landed_events(inputs.landed_events(spark, sf_dir), path)
-    structure = learn_structures(inputs.messages(spark, sf_dir))
-    names, _ = views.create_all_views(spark, landed.read_landed_events(spark, path), structure, AS_OF)
+    rows = _landed_table(spark, inputs.landed_events(spark, sf_dir))
+    names, _ = views.create_all_views(spark, rows, learn_structures(inputs.messages(spark, sf_dir)), AS_OF)
     return views.count_views(spark, names, "day")
 
 

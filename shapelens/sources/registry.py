@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shapelens.session import sized
 
 
+#: Error conditions of Spark for a folder without data.
+NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def registry_from_base64(table: DataFrame) -> DataFrame:
     """Key-value export `(key, value)` with base64 schema text to `(schema_hash, schema_json)`."""
     return table.select(
@@ -43,8 +48,8 @@ def read_structure_registry(spark: SparkSession, path: str, run: str | None = No
     """Structures of `run`, or of the latest run; None before the first one."""
     try:
         table = spark.read.parquet(path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+    except AnalysisException as error:
+        if error.getCondition() in NOTHING_THERE:
             return None
         raise
     # numbers compare as numbers: run 10 follows run 9
@@ -60,8 +65,8 @@ def write_samples(events: DataFrame, path: str, k: int = 10) -> None:
     try:
         have = spark.read.text(path).groupBy("event_type").count().where(F.col("count") >= k).select("event_type")
         events = events.join(sized(have), "event_type", "left_anti")
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() not in NOTHING_THERE:
             raise
     picked = first_per_key(events, ["event_type"], ["topic", "partition", "offset"], k)
     picked = sized(picked.select("event_type", F.to_json("event").alias("value")))

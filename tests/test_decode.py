@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from shapelens.functions import messages as m
 from shapelens.functions.naming import last_name, parent_path, path_depth, rowkey_timestamp, sanitize, split_path
-from shapelens.operators.decode import AvroUnavailable, classify_events, decode_avro, decode_messages, distinct_events, split_broken
+from shapelens.operators.decode import (
+    AvroUnavailable, classify_events, decode_avro, decode_messages, distinct_events, distinct_positions, split_broken, used_schemas)
 from shapelens.operators.reports import broken_messages, event_type_report, example_event, topic_report
+from shapelens.plans.analysis import classify, learn_structures
 from shapelens.sources.registry import registry_from_base64, schema_conflicts, write_samples
 from shapelens.sources.topics import sample_topics, select_topics, topic_partition_count
 
@@ -137,3 +139,46 @@ def test_names(spark):
     assert sanitize("a-b.c$ dé") == "ab.c$ d"
     key = spark.createDataFrame([("T-1704067207-1",), ("nokey",)], "k string").select(rowkey_timestamp(F.col("k")).cast("string")).collect()
     assert [r[0] for r in key] == ["2024-01-01 00:00:07", None]
+
+
+def test_undecoded_avro_is_neither_broken_nor_invalid(spark):
+    known, unknown = "k" * 32, "u" * 32
+    registry = spark.createDataFrame([(known, '{"type":"record","name":"R","fields":[{"name":"x","type":"long"}]}'), ("n" * 32, '"long"')], "schema_hash string, schema_json string")
+    body = b'{"eventType":"a","timestamp":1704067207179,"x":1}'
+    mixed = rows(spark, [known.encode() + body, unknown.encode() + body, body, known.encode() + b"#"])
+    got = classify_events(decode_messages(mixed, registry)).orderBy("offset").collect()
+    assert [(r.broken_reason, r.invalid_reason, r.undecoded, r.event_type) for r in got] == [
+        (None, None, True, None), ("unknown schema", None, False, None), (None, None, False, "a"), (None, None, True, None)]
+    assert used_schemas(decode_messages(mixed, registry)).keys() == {known}
+    read = classify(mixed, registry, lambda value, _: value.cast("string"))
+    assert [(r.broken_reason, r.event_type) for r in read.orderBy("offset").collect()] == [
+        (None, "a"), ("unknown schema", None), (None, "a"), ("unparsable message", None)]
+    assert read.where("is_avro and invalid_reason is not null").count() == 0
+    report = event_type_report(read).first()
+    assert report.avro_flags == [False, True] and report.schema_hashes == [known]
+    learned = {r.path: r.n_trees for r in learn_structures(mixed, registry, decoder=lambda value, _: value.cast("string")).collect()}
+    assert learned["x"] == 3 and learned["eventType"] == 2  # two events, and the schema that one of them carries
+    told = learn_structures(mixed, registry, used=spark.createDataFrame([("a", known)], "event_type string, schema_hash string"))
+    assert {r.path: r.n_trees for r in told.collect()}["x"] == 2  # undecoded: the JSON event and the schema
+
+
+def test_samples_of_any_size(spark):
+    messages = spark.createDataFrame([("t", i % 3, i + 2**47, b"x") for i in range(3000)] + [("u", 0, 1, b"x")], LAYOUT)
+    got = sample_topics(messages, 1001)
+    assert got.count() == 1002 and got.where("topic = 't'").agg(F.max("partition")).first()[0] == 1
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "offset" in plan  # ranked tuples come from their table, rows by a range of positions
+
+
+def test_positions_of_large_offsets(spark):
+    same = b'{"eventType":"a","timestamp":1704067207179}'
+    messages = spark.createDataFrame([("t", 0, 2**47 + 5, same), ("t", 1, 5, same), ("t", 1, 4, b"x"), ("t", 1, 3, None), ("t", 1, 2, None)], LAYOUT)
+    assert sorted((r.partition, r.offset) for r in distinct_positions(messages).collect()) == [(0, 2**47 + 5), (1, 2), (1, 3), (1, 4)]
+    assert (0, 2**47 + 5) in {(r.partition, r.offset) for r in distinct_events(messages).collect()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = distinct_positions(messages)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shapelens.functions.json_types import BIT, types_in
-from shapelens.operators.paths import count_paths, event_structures, json_paths
+from shapelens.operators.paths import count_shapes, event_structures, json_paths
 from shapelens.operators.structure import merge_structures
 
 NAMES = {str: "TEXTUAL", int: "INTEGER", float: "FLOAT", bool: "BOOLEAN", type(None): "NULL", dict: "OBJECT", list: "ARRAY"}
@@ -17,7 +17,7 @@ NAMES = {str: "TEXTUAL", int: "INTEGER", float: "FLOAT", bool: "BOOLEAN", type(N
 def frame(spark, documents):
     rows = [("t", d if isinstance(d, str) else json.dumps(d)) for d in documents]
     return spark.createDataFrame(rows, "event_type string, json string").select(
-        "event_type", F.try_parse_json("json").alias("event"))
+        "event_type", F.try_parse_json("json").alias("event"), F.col("json").alias("event_text"))
 
 
 def paths(spark, documents, **options):
@@ -26,6 +26,36 @@ def paths(spark, documents, **options):
     return {r.path: (set(r.types), set(r["items"]), r.n_trees) for r in rows.collect()}
 
 
+SHAPES = [
+    '{"a":"x\\"y:1,","b":[1,2,3],"c":"z"}', '{ "a" : "p" ,\n "b" : [ 10 , -2 ] , "c" : "{\\"q\\":1}" }', '{"a":1.50,"b":[],"c":true}', '{"a":2.0,"b":[false,true],"c":null}',
+    '{"a":1e5,"b":[{"k":1},{"k":2}],"c":12345678901234567890}', '{"a":-0.0,"b":[{"k":"s"}],"c":12345678901234567890.0}', '{"a:5,":1,"b":"x","a\\"":"y"}',
+    '{"a":1234567890.0,"é":"x","b":["s","t",1,1,1.5]}', '{"a":"","b":[[1],[1]],"c":1E-3}', '{"a":"x","a":1}', '[1,"x"]', '"a"', '7',
+]
+
+
+def test_shapes_change_nothing(spark):
+    """Every JSON type, in odd texts: by shapes and one by one."""
+    events = frame(spark, SHAPES * 3)
+    for levels in (2, 6):
+        by_shape, one_by_one = (sorted(map(repr, json_paths(e, levels=levels).collect())) for e in (events, events.drop("event_text")))
+        assert by_shape == one_by_one
+    trees = [sorted(map(repr, event_structures(e).collect())) for e in (events, events.drop("event_text"))]
+    assert trees[0] == trees[1]
+
+
+def test_equal_shapes_are_walked_once(spark):
+    events = frame(spark, [{"id": i, "name": f"n{i}", "v": i / 7 + 0.5, "tags": ["a"] * (i % 5 + 1), "items": [{"k": i}] * (i % 3 + 1)} for i in range(200)])
+    assert count_shapes(events, ["event_type"]).count() <= 4
+
+
+def test_one_deep_event_beside_flat_ones(spark):
+    deep = {"x": 1}
+    for _ in range(40):
+        deep = {"d": deep}
+    got = paths(spark, [{"x": 1}] * 50 + [deep])
+    assert got["x"][2] == 50 and max(p.count(".") for p in got) == 40
+
+
 def escape(name):
     return "\\0" if name == "" else name.replace("\\", "\\\\").replace(".", "\\.")
 

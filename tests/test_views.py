@@ -215,6 +215,14 @@ def test_odd_keys_in_views(spark):
         views.explode_arrays(landed, structure, "t", "id")
 
 
+def test_recursive_schema_beside_a_good_one(spark):
+    node = {"type": "record", "name": "Node", "fields": [{"name": "v", "type": "int"}, {"name": "next", "type": ["null", "Node"]}, {"name": "all", "type": {"type": "array", "items": "Node"}}]}
+    registry = spark.createDataFrame([("r", json.dumps(node)), ("g", json.dumps({"type": "record", "name": "G", "fields": [{"name": "x", "type": "long"}]}))], "schema_hash string, schema_json string")
+    rows = {(r.schema_hash, r.path): r for r in avro_paths(registry).collect()}
+    assert set(rows) == {("r", ""), ("r", "v"), ("r", "next"), ("r", "all"), ("g", ""), ("g", "x")}
+    assert rows["r", "next"].recursive and rows["r", "next"].avro_union_types == ["NULL", "RECORD"] and not rows["r", "v"].recursive
+
+
 def test_one_bad_type_leaves_the_others(spark):
     documents = [{"id": i, "timestamp": 1704067200000, "eventType": t, **extra} for i, (t, extra) in enumerate(
         [("good", {"v": 1}), ("bad", {"a_b": 1, "a": {"b": 2}}), (12, {}), ("", {}), ("a-b", {}), ("a_b", {})])]
