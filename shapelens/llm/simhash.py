@@ -112,8 +112,9 @@ def print_with_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     quarter = F.floor(F.length("text") / 4).cast("int")
     next_ = sized(followers(texts, "id", quarter, parts))
+    # Outer joins on both sides: an inner one would filter null ids first, and the texts would be shuffled once for each.
     starts = (
-        texts.join(next_.select(F.col("next_id").alias("id"), F.col("id").alias("to"), "need"), "id")
+        texts.join(next_.select(F.col("next_id").alias("id"), F.col("id").alias("to"), "need"), "id", "left")
         .groupBy("to").agg(F.min(F.left("text", F.col("need"))).alias("start"))
     )
     whole = texts.join(starts, texts["id"] == starts["to"], "left").select(
