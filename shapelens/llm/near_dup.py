@@ -10,10 +10,11 @@ size does not depend on the data, reaches the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shapelens.llm.texts import WordHashes, mix, slices, utf8
@@ -25,11 +26,23 @@ BANDS, ROWS = 16, 4
 #: Cells of the table of document counts. It resolves shingles that stand in more than about a 500th of documents,
 #: whatever their number is, as both the counts and the noise of shared cells grow with it. Rarer ones count as rare.
 CELLS_LOG2 = 18
-#: Weight of a shingle: its count in the text times 1 + DAMP log10(documents / documents that hold it). So a group of
-#: copies that is a large part of all documents does not lose what its members share.
-DAMP = 0.1
-#: Members of a bucket that are compared with each other directly; beyond it they must share a second band.
-DIRECT = 64
+#: Weight of a shingle: its count in the text times FLOOR + log10(documents / documents that hold it). In similarity
+#: that logarithm is damped, so that copies that are a large part of all documents do not lose what they share; the
+#: samples take it in full, so that documents with a common passage rarely have a band from it.
+FLOOR, DAMP = 0.3, 0.1
+#: One in so many documents is as rare as a shingle can be: the noise of the table would hide more.
+RAREST = 1000
+#: Documents added to the number of documents, so that in a few documents nothing counts as common.
+PRIOR = 200
+#: Standard errors by which the share of equal samples may fall short of what a similar pair must have at least: a
+#: pair at the threshold falls lower once in 2,000 times.
+ERRORS = 3.3
+#: Bits of the bitmap of ids whose texts are looked at again.
+SLOTS_LOG2 = 23
+#: Nodes that buckets connect are compared in blocks of so many, if there are no more than MOST of them.
+BLOCK, MOST = 256, 8192
+#: Largest weight of a shingle in samples, over that in comparisons.
+_RATIO = (FLOOR + 3) / (1 + DAMP * 3)  # log10(RAREST) is 3
 
 _LOW = np.uint64((1 << 44) - 1)
 _STEPS = [np.uint64(pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) | 1) for i in range(SHINGLE)]
@@ -81,10 +94,15 @@ class Frequencies:
     documents: int
     cells: np.ndarray
 
-    def weights(self, found: Shingles) -> np.ndarray:
+    def _rare(self, found: Shingles) -> np.ndarray:
         held = self.cells[(found.hashes >> np.uint64(44 - CELLS_LOG2)).astype(np.int64)]
-        rare = np.log10(max(self.documents, 1) / np.clip(held, 1, max(self.documents, 1)))
-        return found.counts * (1 + DAMP * rare)
+        return np.log10((self.documents + PRIOR) / np.clip(held, max(1, (self.documents + PRIOR) / RAREST), self.documents + PRIOR))
+
+    def to_sample(self, found: Shingles) -> np.ndarray:
+        return found.counts * (FLOOR + self._rare(found))
+
+    def to_compare(self, found: Shingles) -> np.ndarray:
+        return found.counts * (1 + DAMP * self._rare(found))
 
 
 def count_shingles(docs: DataFrame, text: str = "text") -> Frequencies:
@@ -169,26 +187,33 @@ def _content(found: Shingles, column: pa.Array) -> list[bytes | None]:
 
 
 def sketch(docs: DataFrame, frequencies: Frequencies, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, node (content, null for null texts), bands (null without words) of each document."""
+    """id, node (content; null for null texts), samples (null without words), and the sums of both kinds of weights."""
     shared = docs.sparkSession.sparkContext.broadcast(frequencies)
 
     def run(batches):
         shingler, sampler = Shingler(), Sampler()
-        salt = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
         for part in slices(batches, "text", PIECE):
             column = part.column("text")
             found = shingler(column)
-            samples = sampler(found, shared.value.weights(found))
-            bands = salt + np.zeros((len(samples), 1), np.uint64)
-            for i in range(ROWS):
-                bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + samples[:, i::ROWS])
-            rows, listed = iter(bands.astype(np.int64).tolist()), np.diff(found.starts) > 0
+            has = np.diff(found.starts) > 0
+            to_sample, to_compare = shared.value.to_sample(found), shared.value.to_compare(found)
+            rows = iter((sampler(found, to_sample) >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            starts = found.starts[:-1][has]
+            sums = [np.zeros(len(has)), np.zeros(len(has))]
+            for total, weights in zip(sums, (to_sample, to_compare), strict=True):
+                if len(starts):
+                    total[has] = np.add.reduceat(weights, starts)
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(_content(found, column), pa.binary()), pa.array([next(rows) if has else None for has in listed], pa.list_(pa.int64()))],
-                names=["id", "node", "bands"])
+                [part.column("id"), pa.array(_content(found, column), pa.binary()), pa.array([next(rows) if h else None for h in has], pa.list_(pa.int32())),
+                 pa.array(sums[0], pa.float64()), pa.array(sums[1], pa.float64())], names=["id", "node", "samples", "sampled", "compared"])
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, node binary, bands array<long>")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, node binary, samples array<int>, sampled double, compared double")
+
+
+def bands() -> Column:
+    """Hashes of the bands of `samples`."""
+    return F.array(*[F.xxhash64(F.lit(i), *[F.get("samples", F.lit(j)) for j in range(i, BANDS * ROWS, BANDS)]) for i in range(BANDS)])
 
 
 def similar(pairs: DataFrame, texts: DataFrame, frequencies: Frequencies, least: float) -> DataFrame:
@@ -200,7 +225,7 @@ def similar(pairs: DataFrame, texts: DataFrame, frequencies: Frequencies, least:
         for part in slices(batches, "a_text", PIECE):
             keep = []
             one, two = shingler(part.column("a_text")), shingler(part.column("b_text"))
-            w1, w2 = shared.value.weights(one), shared.value.weights(two)
+            w1, w2 = shared.value.to_compare(one), shared.value.to_compare(two)
             for d in range(part.num_rows):
                 s1, s2 = slice(one.starts[d], one.starts[d + 1]), slice(two.starts[d], two.starts[d + 1])
                 _, i, j = np.intersect1d(one.hashes[s1], two.hashes[s2], assume_unique=True, return_indices=True)
@@ -235,9 +260,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     """id, class_id: documents with non-null id, and the least id of their class.
 
     A class is what links of at least `least` weighted Jaccard similarity connect. Each band's bucket is first
-    compared with its least node only, which settles groups of copies without building their pairs. Then nodes of
-    one bucket that are in different classes are compared: all of them in buckets of up to DIRECT classes' members, in
-    larger ones those that share another band too, which a pair at the threshold does but for 1 in 400.
+    compared with one node only, which settles groups of copies without building their pairs. What buckets connect
+    but links do not is then compared in full: in blocks that emit links only, or, where buckets connect more than MOST
+    nodes, pair by pair within buckets after a bound on equal samples.
 
     Texts without words are alike only if equal; a null text is alone. Rows without id are left out; rows of one id
     are in the class of the least class id among them. Empty tables give empty tables; other columns are ignored.
@@ -245,25 +270,28 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     named = docs.where(F.col(id_column).isNotNull())
     frequencies = count_shingles(named, text)
     rows = sized(sketch(named, frequencies, id_column, text))
-    nodes = sized(rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands")))
-
-    keys = nodes.where(F.col("bands").isNotNull()).select("node", F.posexplode("bands").alias("band", "key"))
-    shared = keys.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
-    members = sized(keys.join(shared, "key").select("key", "band", "node", "head", "n"))
+    nodes = sized(rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("samples", "sampled", "compared")]))
+
+    keys = nodes.where(F.col("samples").isNotNull()).select("node", F.posexplode(bands()).alias("band", "key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = sized(keys.join(shared, "key").select("key", "band", "node", "n"))
+    # What copies were made from is in the largest bucket of every band, so it is the likeliest to be near all of them.
+    central = sized(members.groupBy("node").agg(F.sum("n").alias("company")))
+    heads = members.join(central, "node").groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("head"))
+    members = sized(members.join(heads, "key"))
     stars = members.where(F.col("node") != F.col("head")).select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     stars = sized(stars)
 
     used = sized(members.select("node").distinct().join(nodes.select("node", "id"), "node"))
-    # An id may have several texts, so the text must have the node's content.
-    wanted = named.select(F.col(id_column).alias("id"), F.col(text).alias("text")).join(used, "id")
-    texts = sized(_of_content(wanted))
+    texts = sized(_texts(named.select(F.col(id_column).alias("id"), F.col(text).alias("text")), used))
 
     links = sized(similar(stars, texts, frequencies, least))
     labels = components(links)
-    across = sized(_across(members, nodes, labels))
-    more = sized(similar(across, texts, frequencies, least))
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    crowds = _crowds(components(stars), labels)
+    inside = sized(_blockwise(crowds.where(F.col("size") <= MOST), texts, frequencies, least))
+    rest = sized(_across(members.join(crowds.where(F.col("size") > MOST).select("node"), "node"), nodes, labels, least))
+    more = inside.union(sized(similar(rest, texts, frequencies, least)))
+    labels = components(links.union(more))
     classes = nodes.select("node", "id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = classes.groupBy("label").agg(F.min("id").alias("class_id"))
     by_node = sized(classes.join(names, "label").select("node", "class_id"))
@@ -272,35 +300,112 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"), F.col("id").alias(id_column), "class_id").drop("copy")
 
 
-def _of_content(wanted: DataFrame) -> DataFrame:
-    """node, text: one row per node, of a text that has its content."""
+def _texts(rows: DataFrame, used: DataFrame) -> DataFrame:
+    """node, text: one row for each node in `used` (node, id).
+
+    Most documents are near no other, so before anything is shuffled their texts are left out by a bitmap of id hashes.
+    Its size is fixed: where more ids are used than it tells apart it lets more pass, and the join decides. An id may
+    have several texts, so a text must have its node's content.
+    """
+    slot = (F.pmod(F.xxhash64("id"), F.lit(1 << SLOTS_LOG2)) + 1).alias("slot")
+    bits = used.select(slot).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    wanted = np.zeros(1 << SLOTS_LOG2, bool)
+    for bucket, found in bits.collect():
+        part = np.unpackbits(np.frombuffer(found, np.uint8), bitorder="little").astype(bool)
+        wanted[(bucket - 1) * len(part): bucket * len(part)] = part
+    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+
     def run(batches):
-        shingler = Shingler()
-        for part in slices(batches, "text", PIECE):
-            column = part.column("text")
-            same = [a == b for a, b in zip(_content(shingler(column), column), part.column("node").to_pylist(), strict=True)]
-            yield part.select(["node", "text"]).filter(pa.array(same, pa.bool_()))
+        shingler, wanted = Shingler(), np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            chosen = batch.filter(pa.array(wanted[batch.column("slot").to_numpy() - 1]))
+            for part in slices([chosen], "text", PIECE):
+                column = part.column("text")
+                yield pa.RecordBatch.from_arrays([pa.array(_content(shingler(column), column), pa.binary()), column], names=["node", "text"])
+
+    found = rows.select(slot, "text").mapInArrow(run, "node binary, text string").where("node is not null")
+    return found.join(used.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
-    return wanted.select("node", "text").mapInArrow(run, "node binary, text string").dropDuplicates(["node"])
 
+def _crowds(crowd: DataFrame, labels: DataFrame) -> DataFrame:
+    """node, crowd, size, minors, minor: nodes of crowds (what buckets connect) of several classes; minor ones are not in the largest."""
+    rows = sized(crowd.withColumnRenamed("label", "crowd").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    parts = rows.groupBy("crowd", "label").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("crowd").agg(F.sum("n").alias("size"), F.count("*").alias("parts"), F.max(F.struct("n", "label")).alias("main")).where("parts > 1")
+    return sized(rows.join(mixed, "crowd").select("node", "crowd", "size", (F.col("size") - F.col("main.n")).alias("minors"), (F.col("label") != F.col("main.label")).alias("minor")))
 
-def _across(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different classes that no star has tried."""
+
+def _blockwise(crowds: DataFrame, texts: DataFrame, frequencies: Frequencies, least: float) -> DataFrame:
+    """Links (a, b) of minor nodes to any node of their crowd.
+
+    A crowd is dealt into blocks and its minor nodes once more; each pair of blocks meets in one group, which indexes
+    the shingles of its residents and emits links only. So memory and output do not grow with the number of pairs.
+    """
+    shared = crowds.sparkSession.sparkContext.broadcast(frequencies)
+    here, there = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil(F.col("minors") / BLOCK).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    home = crowds.select("node", "crowd", F.lit(False).alias("visits"), place(here).alias("block"), every(there).alias("other"))
+    visits = crowds.where("minor").select("node", "crowd", F.lit(True).alias("visits"), every(here).alias("block"), place(there).alias("other"))
+    dealt = home.union(visits).join(texts, "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        shingler, a, b = Shingler(), [], []
+        visiting = np.array(table.column("visits").to_pylist(), bool)
+        residents = [_weighed(part, shingler, shared.value) for part in slices(table.filter(pa.array(~visiting)).select(["node", "text"]).to_batches(), "text", PIECE)]
+        if residents:
+            names = [n for r in residents for n in r[0]]
+            at = np.concatenate([[0], np.cumsum([len(r[0]) for r in residents])])
+            hashes = np.concatenate([r[1] for r in residents])
+            weights = np.concatenate([r[2] for r in residents])
+            owner = np.concatenate([r[3] + at[i] for i, r in enumerate(residents)])
+            total = np.bincount(owner, weights, len(names))
+            order = np.argsort(hashes, kind="stable")
+            hashes, weights, owner = hashes[order], weights[order], owner[order]
+            for part in slices(table.filter(pa.array(visiting)).select(["node", "text"]).to_batches(), "text", PIECE):
+                nodes, h, w, of = _weighed(part, shingler, shared.value)
+                low, high = np.searchsorted(hashes, h), np.searchsorted(hashes, h, "right")
+                for d, node in enumerate(nodes):
+                    mine = of == d
+                    n = (high - low)[mine]
+                    met = np.repeat(low[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                    both = np.bincount(owner[met], np.minimum(weights[met], np.repeat(w[mine], n)), len(names))
+                    for k in np.flatnonzero(both >= (least - 1e-9) * (total + w[mine].sum() - both)):
+                        if names[k] != node:
+                            a.append(min(names[k], node))
+                            b.append(max(names[k], node))
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return dealt.groupBy("crowd", "block", "other").applyInArrow(compare, "a binary, b binary").distinct()
+
+
+def _weighed(part: pa.RecordBatch, shingler: Shingler, frequencies: Frequencies):
+    """Nodes, and the hash, weight and owner of each of their shingles."""
+    found = shingler(part.column("text"))
+    return part.column("node").to_pylist(), found.hashes, frequencies.to_compare(found), np.repeat(np.arange(part.num_rows), np.diff(found.starts))
+
+
+def _across(members: DataFrame, nodes: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+    """Pairs of one bucket in different classes that no star has tried, each once: by the first band they share.
+
+    A pair is built only if enough of its samples are equal. Two texts of at least the similarity differ in comparison
+    weights of at most d = 2 (1 - least) / (1 + least) of their mean, so in sampling weights of at most _RATIO d, which
+    bounds their similarity in samples from below.
+    """
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low < high").select("key", "size")
-    open_ = sized(labelled.join(mixed, "key").where("size > 2").select("key", "band", "node", "head", "label", "size"))
-    few = open_.where(F.col("size") <= DIRECT).select("key", F.lit(0).cast("long").alias("second"), "node", "head", "label")
-    many = (
-        open_.where(F.col("size") > DIRECT).join(nodes.select("node", "bands"), "node")
-        .select("key", "band", "node", "head", "label", F.posexplode("bands").alias("other", "second")).where(F.col("other") != F.col("band")).select("key", "second", "node", "head", "label")
-    )
-
-    def met(rows: DataFrame) -> DataFrame:
-        a, b = rows.alias("x"), rows.alias("y")
-        return a.join(b, (F.col("x.key") == F.col("y.key")) & (F.col("x.second") == F.col("y.second")) & (F.col("x.node") < F.col("y.node"))
-                      & (F.col("x.label") != F.col("y.label")) & (F.col("x.node") != F.col("x.head"))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-
-    return met(few).union(met(many)).distinct()
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low < high and size > 2").select("key")
+    sampled = nodes.withColumn("bands", bands()).select("node", "samples", "sampled", "compared", "bands")
+    open_ = sized(labelled.join(mixed, "key").join(sampled, "node").select("key", "band", "node", "head", "label", "samples", "sampled", "compared", "bands"))
+    a, b = open_.alias("x"), open_.alias("y")
+    first = F.coalesce(*[F.when(F.get("x.bands", F.lit(i)) == F.get("y.bands", F.lit(i)), F.lit(i)) for i in range(BANDS)])
+    equal = reduce(lambda p, q: p + q, [(F.get("x.samples", F.lit(i)) == F.get("y.samples", F.lit(i))).cast("int") for i in range(BANDS * ROWS)])
+    both = F.col("x.sampled") + F.col("y.sampled")
+    apart = F.lit(_RATIO * (1 - least) / (1 + least)) * (F.col("x.compared") + F.col("y.compared"))
+    share = F.greatest((both - apart) / (both + apart), F.lit(0.0))
+    enough = F.lit(float(BANDS * ROWS)) * share - F.lit(ERRORS) * F.sqrt(F.lit(float(BANDS * ROWS)) * share * (1 - share))
+    met = a.join(b, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
+                 & (F.col("x.node") != F.col("x.head")) & (F.col("y.node") != F.col("x.head")) & (first == F.col("x.band")) & (equal >= enough))
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def near_duplicate_report(docs: DataFrame) -> DataFrame:
