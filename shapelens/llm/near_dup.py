@@ -10,7 +10,6 @@ size does not depend on the data, reaches the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +33,12 @@ FLOOR, DAMP = 0.3, 0.1
 RAREST = 1000
 #: Documents added to the number of documents, so that in a few documents nothing counts as common.
 PRIOR = 200
-#: Standard errors by which the share of equal samples may fall short of what a similar pair must have at least: a
-#: pair at the threshold falls lower once in 2,000 times.
-ERRORS = 3.3
 #: Bits of the bitmap of ids whose texts are looked at again.
 SLOTS_LOG2 = 23
-#: Nodes that buckets connect are compared in blocks of so many, if there are no more than MOST of them.
-BLOCK, MOST = 256, 8192
-#: Largest weight of a shingle in samples, over that in comparisons.
-_RATIO = (FLOOR + 3) / (1 + DAMP * 3)  # log10(RAREST) is 3
+#: Nodes of a crowd are compared in blocks of so many.
+BLOCK = 256
+#: The nodes of one rare shingle are dealt over so many groups before these are connected.
+SALTS = 16
 
 _LOW = np.uint64((1 << 44) - 1)
 _STEPS = [np.uint64(pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) | 1) for i in range(SHINGLE)]
@@ -94,14 +90,16 @@ class Frequencies:
     documents: int
     cells: np.ndarray
 
+    def held(self, found: Shingles) -> np.ndarray:
+        return self.cells[(found.hashes >> np.uint64(44 - CELLS_LOG2)).astype(np.int64)]
+
     def _rare(self, found: Shingles) -> np.ndarray:
-        held = self.cells[(found.hashes >> np.uint64(44 - CELLS_LOG2)).astype(np.int64)]
-        return np.log10((self.documents + PRIOR) / np.clip(held, max(1, (self.documents + PRIOR) / RAREST), self.documents + PRIOR))
+        return np.log10((self.documents + PRIOR) / np.clip(self.held(found), max(1, (self.documents + PRIOR) / RAREST), self.documents + PRIOR))
 
     def to_sample(self, found: Shingles) -> np.ndarray:
         return found.counts * (FLOOR + self._rare(found))
 
-    def to_compare(self, found: Shingles) -> np.ndarray:
+    def weights(self, found: Shingles) -> np.ndarray:
         return found.counts * (1 + DAMP * self._rare(found))
 
 
@@ -187,7 +185,7 @@ def _content(found: Shingles, column: pa.Array) -> list[bytes | None]:
 
 
 def sketch(docs: DataFrame, frequencies: Frequencies, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, node (content; null for null texts), samples (null without words), and the sums of both kinds of weights."""
+    """id, node (content; null for null texts) and samples (null without words)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequencies)
 
     def run(batches):
@@ -196,19 +194,13 @@ def sketch(docs: DataFrame, frequencies: Frequencies, id_column: str = "doc_id",
             column = part.column("text")
             found = shingler(column)
             has = np.diff(found.starts) > 0
-            to_sample, to_compare = shared.value.to_sample(found), shared.value.to_compare(found)
-            rows = iter((sampler(found, to_sample) >> np.uint64(32)).astype(np.uint32).view(np.int32))
-            starts = found.starts[:-1][has]
-            sums = [np.zeros(len(has)), np.zeros(len(has))]
-            for total, weights in zip(sums, (to_sample, to_compare), strict=True):
-                if len(starts):
-                    total[has] = np.add.reduceat(weights, starts)
+            rows = iter((sampler(found, shared.value.to_sample(found)) >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(_content(found, column), pa.binary()), pa.array([next(rows) if h else None for h in has], pa.list_(pa.int32())),
-                 pa.array(sums[0], pa.float64()), pa.array(sums[1], pa.float64())], names=["id", "node", "samples", "sampled", "compared"])
+                [part.column("id"), pa.array(_content(found, column), pa.binary()), pa.array([next(rows) if h else None for h in has], pa.list_(pa.int32()))],
+                names=["id", "node", "samples"])
 
     rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, node binary, samples array<int>, sampled double, compared double")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, node binary, samples array<int>")
 
 
 def bands() -> Column:
@@ -225,7 +217,7 @@ def similar(pairs: DataFrame, texts: DataFrame, frequencies: Frequencies, least:
         for part in slices(batches, "a_text", PIECE):
             keep = []
             one, two = shingler(part.column("a_text")), shingler(part.column("b_text"))
-            w1, w2 = shared.value.to_compare(one), shared.value.to_compare(two)
+            w1, w2 = shared.value.weights(one), shared.value.weights(two)
             for d in range(part.num_rows):
                 s1, s2 = slice(one.starts[d], one.starts[d + 1]), slice(two.starts[d], two.starts[d + 1])
                 _, i, j = np.intersect1d(one.hashes[s1], two.hashes[s2], assume_unique=True, return_indices=True)
@@ -261,8 +253,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     A class is what links of at least `least` weighted Jaccard similarity connect. Each band's bucket is first
     compared with one node only, which settles groups of copies without building their pairs. What buckets connect
-    but links do not is then compared in full: in blocks that emit links only, or, where buckets connect more than MOST
-    nodes, pair by pair within buckets after a bound on equal samples.
+    but links do not is parted by what similar texts must share and then compared in full, in blocks that emit links
+    only. This is one way for crowds of any size.
 
     Texts without words are alike only if equal; a null text is alone. Rows without id are left out; rows of one id
     are in the class of the least class id among them. Empty tables give empty tables; other columns are ignored.
@@ -270,7 +262,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     named = docs.where(F.col(id_column).isNotNull())
     frequencies = count_shingles(named, text)
     rows = sized(sketch(named, frequencies, id_column, text))
-    nodes = sized(rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("samples", "sampled", "compared")]))
+    nodes = sized(rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("id"), F.first("samples").alias("samples")))
 
     keys = nodes.where(F.col("samples").isNotNull()).select("node", F.posexplode(bands()).alias("band", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -288,10 +280,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     links = sized(similar(stars, texts, frequencies, least))
     labels = components(links)
     crowds = _crowds(components(stars), labels)
-    inside = sized(_blockwise(crowds.where(F.col("size") <= MOST), texts, frequencies, least))
-    rest = sized(_across(members.join(crowds.where(F.col("size") > MOST).select("node"), "node"), nodes, labels, least))
-    more = inside.union(sized(similar(rest, texts, frequencies, least)))
-    labels = components(links.union(more))
+    parts = _crowds(components(sized(_parted(crowds, texts, frequencies, least))), labels)
+    labels = components(links.union(sized(_blockwise(parts, texts, frequencies, least))))
     classes = nodes.select("node", "id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = classes.groupBy("label").agg(F.min("id").alias("class_id"))
     by_node = sized(classes.join(names, "label").select("node", "class_id"))
@@ -328,11 +318,47 @@ def _texts(rows: DataFrame, used: DataFrame) -> DataFrame:
 
 
 def _crowds(crowd: DataFrame, labels: DataFrame) -> DataFrame:
-    """node, crowd, size, minors, minor: nodes of crowds (what buckets connect) of several classes; minor ones are not in the largest."""
+    """node, label, crowd, size, minors, minor: nodes of crowds (what is connected) of several classes; minor ones are not in the largest."""
     rows = sized(crowd.withColumnRenamed("label", "crowd").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     parts = rows.groupBy("crowd", "label").agg(F.count("*").alias("n"))
     mixed = parts.groupBy("crowd").agg(F.sum("n").alias("size"), F.count("*").alias("parts"), F.max(F.struct("n", "label")).alias("main")).where("parts > 1")
-    return sized(rows.join(mixed, "crowd").select("node", "crowd", "size", (F.col("size") - F.col("main.n")).alias("minors"), (F.col("label") != F.col("main.label")).alias("minor")))
+    return sized(rows.join(mixed, "crowd").select("node", "label", "crowd", "size", (F.col("size") - F.col("main.n")).alias("minors"), (F.col("label") != F.col("main.label")).alias("minor")))
+
+
+def _parted(crowds: DataFrame, texts: DataFrame, frequencies: Frequencies, least: float) -> DataFrame:
+    """Edges (a, b) that connect all nodes of a crowd that can be similar and are of different classes.
+
+    Shingles are ordered by how many documents hold them, rarest first. What two texts of at least the similarity share
+    weighs `least` of either text, so the first shingle they share stands where at least as much is still to come: in
+    the head of both. A passage that many texts share stands at their ends, and connects none that has more of its own
+    than the similarity allows.
+    """
+    shared = crowds.sparkSession.sparkContext.broadcast(frequencies)
+
+    def run(batches):
+        shingler = Shingler()
+        for part in slices(batches, "text", PIECE):
+            found = shingler(part.column("text"))
+            doc = np.repeat(np.arange(part.num_rows), np.diff(found.starts))
+            order = np.lexsort((found.hashes, shared.value.held(found), doc))
+            weights = shared.value.weights(found)[order]
+            sums = np.concatenate([[0.0], np.cumsum(weights)])
+            total = (sums[found.starts[1:]] - sums[found.starts[:-1]])[doc]
+            to_come = sums[found.starts[1:]][doc] - sums[:-1]
+            head = to_come >= (least - 1e-6) * total
+            rows = pa.array(doc[head])
+            yield pa.RecordBatch.from_arrays(
+                [part.column(c).take(rows) for c in ("node", "label", "crowd")] + [pa.array(found.hashes[order][head].astype(np.int64))], names=["node", "label", "crowd", "shingle"])
+
+    dealt = crowds.select("node", "label", "crowd").join(texts, "node").select("node", "label", "crowd", "text")
+    heads = dealt.mapInArrow(run, "node binary, label binary, crowd binary, shingle long").select(
+        "node", "label", F.xxhash64("crowd", "shingle").alias("key"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int").alias("salt"))
+    heads = sized(heads)
+    salted = sized(heads.groupBy("key", "salt").agg(F.min("node").alias("first"), F.min("label").alias("low"), F.max("label").alias("high")))
+    mixed = sized(salted.groupBy("key").agg(F.min("first").alias("least"), F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("key", "least"))
+    firsts = sized(salted.join(mixed, "key").select("key", "salt", "first", "least"))
+    inner = heads.join(firsts, ["key", "salt"]).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    return inner.union(firsts.select(F.col("least").alias("a"), F.col("first").alias("b"))).distinct()
 
 
 def _blockwise(crowds: DataFrame, texts: DataFrame, frequencies: Frequencies, least: float) -> DataFrame:
@@ -382,30 +408,7 @@ def _blockwise(crowds: DataFrame, texts: DataFrame, frequencies: Frequencies, le
 def _weighed(part: pa.RecordBatch, shingler: Shingler, frequencies: Frequencies):
     """Nodes, and the hash, weight and owner of each of their shingles."""
     found = shingler(part.column("text"))
-    return part.column("node").to_pylist(), found.hashes, frequencies.to_compare(found), np.repeat(np.arange(part.num_rows), np.diff(found.starts))
-
-
-def _across(members: DataFrame, nodes: DataFrame, labels: DataFrame, least: float) -> DataFrame:
-    """Pairs of one bucket in different classes that no star has tried, each once: by the first band they share.
-
-    A pair is built only if enough of its samples are equal. Two texts of at least the similarity differ in comparison
-    weights of at most d = 2 (1 - least) / (1 + least) of their mean, so in sampling weights of at most _RATIO d, which
-    bounds their similarity in samples from below.
-    """
-    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low < high and size > 2").select("key")
-    sampled = nodes.withColumn("bands", bands()).select("node", "samples", "sampled", "compared", "bands")
-    open_ = sized(labelled.join(mixed, "key").join(sampled, "node").select("key", "band", "node", "head", "label", "samples", "sampled", "compared", "bands"))
-    a, b = open_.alias("x"), open_.alias("y")
-    first = F.coalesce(*[F.when(F.get("x.bands", F.lit(i)) == F.get("y.bands", F.lit(i)), F.lit(i)) for i in range(BANDS)])
-    equal = reduce(lambda p, q: p + q, [(F.get("x.samples", F.lit(i)) == F.get("y.samples", F.lit(i))).cast("int") for i in range(BANDS * ROWS)])
-    both = F.col("x.sampled") + F.col("y.sampled")
-    apart = F.lit(_RATIO * (1 - least) / (1 + least)) * (F.col("x.compared") + F.col("y.compared"))
-    share = F.greatest((both - apart) / (both + apart), F.lit(0.0))
-    enough = F.lit(float(BANDS * ROWS)) * share - F.lit(ERRORS) * F.sqrt(F.lit(float(BANDS * ROWS)) * share * (1 - share))
-    met = a.join(b, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
-                 & (F.col("x.node") != F.col("x.head")) & (F.col("y.node") != F.col("x.head")) & (first == F.col("x.band")) & (equal >= enough))
-    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    return part.column("node").to_pylist(), found.hashes, frequencies.weights(found), np.repeat(np.arange(part.num_rows), np.diff(found.starts))
 
 
 def near_duplicate_report(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 from shapelens.llm import near_dup
 
 
@@ -83,3 +85,35 @@ def test_odd_rows(odd, make):
     left = near_dup.drop_near_duplicates(docs)
     assert left.columns == docs.columns and sorted(r.doc_id or 0 for r in left.collect()) == [0, 3, 4, 6, 7, 8]
     assert near_dup.near_duplicates(docs.where("false")).count() == 0
+
+
+def test_crowds_of_any_size_go_one_way(make, monkeypatch):
+    """Texts at both sides of the threshold, in one crowd of many classes, by brute force."""
+    monkeypatch.setattr(near_dup, "MOST", 1, raising=False)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    base = [word() for _ in range(104)]
+    rows = list(enumerate(" ".join(base + [word() for _ in range(rng.randrange(8, 40))]) for _ in range(200)))
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(make(rows)).collect()}
+
+    shingler = near_dup.Shingler()
+    weights = near_dup.count_shingles(make(rows))
+    found = shingler(pa.array([t for _, t in rows]))
+    w = weights.weights(found)
+    sets = [dict(zip(found.hashes[s:e].tolist(), w[s:e].tolist())) for s, e in zip(found.starts, found.starts[1:])]
+    parent = list(range(200))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(200):
+        for j in range(i):
+            both = sum(min(v, sets[j].get(k, 0)) for k, v in sets[i].items())
+            if both >= 0.8 * (sum(sets[i].values()) + sum(sets[j].values()) - both):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    want = {i: find(i) for i in range(200)}
+    assert 20 < sum(want[i] == i for i in want) < 180
+    assert got == want
