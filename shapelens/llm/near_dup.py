@@ -3,7 +3,7 @@
 Shingles are five words. A first pass over the texts counts, in a table of fixed width, the documents that hold each
 shingle; a second one samples each document's weighted shingles (Ioffe's ICWS) and emits hashes of bands of samples.
 Documents of one content are one node from there on. Nodes that share a band are candidates, weighted Jaccard
-similarity of the whole texts decides, and connected nodes form a class. Nothing but the table of counts, whose
+similarity of the whole texts, by the weights that samples are drawn with, decides, and connected nodes form a class. Nothing but the table of counts, whose
 size does not depend on the data, reaches the driver.
 """
 
@@ -25,10 +25,10 @@ BANDS, ROWS = 16, 4
 #: Cells of the table of document counts. It resolves shingles that stand in more than about a 500th of documents,
 #: whatever their number is, as both the counts and the noise of shared cells grow with it. Rarer ones count as rare.
 CELLS_LOG2 = 18
-#: Weight of a shingle: its count in the text times FLOOR + log10(documents / documents that hold it). In similarity
-#: that logarithm is damped, so that copies that are a large part of all documents do not lose what they share; the
-#: samples take it in full, so that documents with a common passage rarely have a band from it.
-FLOOR, DAMP = 0.3, 0.1
+#: Weight of a shingle: its count in the text times 1 + DAMP * log10(documents / documents that hold it). The logarithm
+#: is damped, so that copies that are a large part of all documents do not lose what they share. Samples are drawn with
+#: the same weights, so two texts agree in a sample with the probability of their similarity, however large their group.
+DAMP = 0.1
 #: One in so many documents is as rare as a shingle can be: the noise of the table would hide more.
 RAREST = 1000
 #: Documents added to the number of documents, so that in a few documents nothing counts as common.
@@ -96,9 +96,6 @@ class Frequencies:
     def _rare(self, found: Shingles) -> np.ndarray:
         return np.log10((self.documents + PRIOR) / np.clip(self.held(found), max(1, (self.documents + PRIOR) / RAREST), self.documents + PRIOR))
 
-    def to_sample(self, found: Shingles) -> np.ndarray:
-        return found.counts * (FLOOR + self._rare(found))
-
     def weights(self, found: Shingles) -> np.ndarray:
         return found.counts * (1 + DAMP * self._rare(found))
 
@@ -194,7 +191,7 @@ def sketch(docs: DataFrame, frequencies: Frequencies, id_column: str = "doc_id",
             column = part.column("text")
             found = shingler(column)
             has = np.diff(found.starts) > 0
-            rows = iter((sampler(found, shared.value.to_sample(found)) >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            rows = iter((sampler(found, shared.value.weights(found)) >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array(_content(found, column), pa.binary()), pa.array([next(rows) if h else None for h in has], pa.list_(pa.int32()))],
                 names=["id", "node", "samples"])

@@ -87,6 +87,18 @@ def test_odd_rows(odd, make):
     assert near_dup.near_duplicates(docs.where("false")).count() == 0
 
 
+def test_near_copies_in_a_group_of_a_third(make):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    more = lambda n: " ".join(word() for _ in range(n))
+    base = more(104)  # 100 shingles
+    copies = [base] * 560
+    near = [base + " " + more(15 + i % 5) for i in range(60)]  # 0.80 to 0.84 to the base, 0.70 at most to each other
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(make(list(enumerate(copies + near + [more(12) for _ in range(1060)])))).collect()}
+    assert [i for i in range(620) if got[i] != 0] == []
+    assert all(got[i] == i for i in range(620, 1680))
+
+
 def test_crowds_of_any_size_go_one_way(make, monkeypatch):
     """Texts at both sides of the threshold, in one crowd of many classes, by brute force."""
     monkeypatch.setattr(near_dup, "MOST", 1, raising=False)
