@@ -19,8 +19,8 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    """What follows the host up to `?`, `#` or the end."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    """What follows the host up to `?`, `#` or the end. A later `://` does not count, also where no path follows the host."""
+    return F.coalesce(F.regexp_extract(url, r"(?s)^(?:(?!://).)*+://[^/?#]*+(/[^?#]*)", 1), F.lit(""))
 
 
 def _digest(host: Column, path: Column) -> Column:

@@ -36,3 +36,12 @@ def test_rules_of_any_kind(spark):
     none = urls.judge_urls(pages.drop("rule"), rules.where("false"), ["url"], otherwise="block").collect()
     assert {r.verdict for r in none} == {"block"} and len(none) == 4
     assert urls.judge_urls(pages.where("false"), rules, ["url"]).count() == 0
+
+
+def test_a_url_in_the_query_of_a_host_without_path(spark):
+    given = ["http://a.com?u=http://b.com/de/1", "http://a.com#http://b.com/de/1", "http://a.com?u=x://y?z=http://c.com/de/", "http://?http://b.com/de/1",
+             "http://a.com/?u=http://b.com/de/1", "http://a.com/de/?u=http://b.com/fr/", "://a.com?://b/de/", ":://a.com/de/", "http:" * 100_000 + "//a.com/de/"]
+    got = urls.url_report(spark.createDataFrame(list(enumerate(given)), "page_id long, url string")).collect()
+    assert len(got) == len(given)
+    for r in got:
+        assert (r.host, r.path, r.rule, r.verdict) == brute(given[r.page_id], RULES), given[r.page_id][:80]
