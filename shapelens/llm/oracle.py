@@ -1,5 +1,35 @@
 """DuckDB statements for the queries that SQL can express; each takes another way than the operator."""
 
+# CRC-32 of a decimal text, bit by bit: a character's code goes in, then come eight shifts.
+_CRC32 = """xor(list_reduce(flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: list_concat([ascii(x)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[]))),
+    lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+
+def _clusters(rounds: int = 10, k: int = 8) -> str:
+    """Every round written out: distances to all centroids, then floored means."""
+    steps = [f"""
+vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS n, v AS c FROM (SELECT sha256('3:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM vectors) ORDER BY h, v LIMIT {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT row, any_value(vec_id) AS vec_id, any_value(v) AS v, min(d * {k} + n) % {k} AS n, min(d) AS d FROM (
+    SELECT row, vec_id, v, n, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM vectors, c{r}) GROUP BY row)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS MATERIALIZED (
+  SELECT n, list((s - ((s % m) + m) % m) // m ORDER BY i)::BIGINT[] AS c FROM (
+    SELECT n, i, sum(x) AS s, count(*) AS m FROM (SELECT n, unnest(v) AS x, unnest(range(64)) AS i FROM a{r}) GROUP BY n, i) GROUP BY n),
+c{r + 1} AS MATERIALIZED (SELECT n, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (n))""")
+    return "WITH " + ",".join(steps) + f"""
+SELECT vec_id, n::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY n))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (n)"""
+
+
 ORACLE: dict[str, str] = {
     # Sorts every source by hash and sums; the operator only has histograms.
     "op2_mixing": r"""
@@ -56,10 +86,9 @@ FROM words w LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (d
     # Tries every rule on every page.
     "op6_url_rules": r"""
 WITH parts AS (
-  SELECT page_id,
-         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(/[^?#]*)', 1), '') AS path
-  FROM pages),
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         substr(regexp_extract(rest, '^[^?#]*'), length(regexp_extract(rest, '^[^/?#]*')) + 1) AS path
+  FROM (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)),
 rules(rhost, rpath, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
 fits AS (
   SELECT page_id, rhost || rpath AS rule, verdict FROM parts, rules
@@ -77,5 +106,48 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(length(replace(replace(text, '\', '\\'), '<|', '<\|')) + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\' || chr(10))) + 24)::BIGINT AS formatted_chars
 FROM rows GROUP BY conv_id
+""",
+    # All prefixes of all conversations, and joins over them in place of rounds.
+    "op11_prefix_trie": f"""
+WITH turns AS (
+  SELECT conv_id, list(struct_pack(d := d, b := b) ORDER BY turn NULLS FIRST, d, b) AS t FROM (
+    SELECT conv_id, turn, substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS d,
+           octet_length(encode(coalesce(text, '')))::BIGINT AS b
+    FROM conversations WHERE conv_id IS NOT NULL) GROUP BY conv_id),
+numbered AS (SELECT conv_id, t, {_CRC32} % 9 AS h FROM turns),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(o.t[1 : c.h], []), c.t[c.h + 1 :]) AS t
+  FROM numbered c LEFT JOIN turns o ON o.conv_id = c.conv_id - c.conv_id % 5),
+places AS (
+  SELECT conv_id, depth, depth = len(t) AS is_end, CASE WHEN depth > 0 THEN t[depth].b ELSE 0 END AS b,
+         md5(array_to_string(list_transform(t[1 : depth], lambda x: x.d), ',')) AS node,
+         CASE WHEN depth > 0 THEN md5(array_to_string(list_transform(t[1 : depth - 1], lambda x: x.d), ',')) END AS parent
+  FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS depth FROM rebuilt)),
+nodes AS (
+  SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(b) AS b,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+  FROM places GROUP BY node),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+leaves AS (
+  SELECT p.node, count(*) AS n_leaves FROM nodes x JOIN places p ON p.conv_id = x.conv_id AND p.depth <= x.depth
+  WHERE x.node NOT IN (SELECT node FROM children) GROUP BY p.node),
+saved AS (
+  SELECT p.node, sum((x.n_convs - 1) * x.b) AS saved_tokens FROM nodes x JOIN places p ON p.conv_id = x.conv_id AND p.depth <= x.depth GROUP BY p.node)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0)::BIGINT AS n_children, l.n_leaves::BIGINT AS n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.node = n.node JOIN leaves l ON l.node = n.node JOIN saved s ON s.node = n.node
+""",
+    # Compares every vector with every centroid in every round.
+    "op12_centroids": _clusters(),
+    # Scores every pair.
+    "op13_top_k": r"""
+WITH vectors AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.row AS query, q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+  FROM vectors q JOIN vectors x ON q.vec_id % 100 = 0 AND q.row <> x.row),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id NULLS LAST) AS n FROM scores)
+SELECT query_id, n::INT AS rank, vec_id, score FROM ranked WHERE n <= 10
 """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shapelens.llm import chat, decontam, langid, lm, mixing, near_dup, secret_scan, simhash, toxicity, urls
+from shapelens.llm import centroids, chat, decontam, langid, lm, mixing, near_dup, pivot_search, prefix_trie, secret_scan, simhash, toxicity, urls
 from shapelens.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,4 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": lambda spark, d: toxicity.toxicity_report(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_chat_format": lambda spark, d: chat.chat_report(table(spark, d, "conversations")),
     "op10_secrets": lambda spark, d: secret_scan.secret_report(table(spark, d, "documents")),
+    "op11_prefix_trie": lambda spark, d: prefix_trie.trie_report(table(spark, d, "conversations")),
+    "op12_centroids": lambda spark, d: centroids.cluster_report(table(spark, d, "embeddings")),
+    "op13_top_k": lambda spark, d: pivot_search.search_report(table(spark, d, "embeddings")),
 }

@@ -25,4 +25,4 @@ def test_same_rows(spark, duck, sf_dir, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
