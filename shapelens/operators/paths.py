@@ -79,29 +79,33 @@ def _descend(rows: DataFrame, keys: list[str]) -> DataFrame:
         "if(entry.value is null, type, null) as type", "entry.value as value")
 
 
-# Stand-ins keep what `json_type_bit` tells apart. A number of 19 or more digits stays as it is.
-_TEXT_MARK = "\\u0001"
-_KEY_OR_TEXT = r'(?s)("(?:[^"\\]++|\\.)*+"\s*+:)|"(?:[^"\\]++|\\.)*+"'
-_PLAIN_KEY = r'"[A-Za-z0-9_$@-]*+"\s*+:'
-_NUMBERS = {
-    r"(?<=[:\[,])-?\d{1,18}(?=[,\]}])": "0",
-    r"(?<=[:\[,])-?(?:(?=[\d.]{3,18}[,\]}])\d+\.\d+|\d+(?:\.\d+)?[eE][+-]?\d+)(?=[,\]}])": "1.5",
-    r"(?<=[:\[,])(?:true|false)(?=[,\]}])": "true",
-}
-# An item like the one before it changes neither types nor presence.
-_REPEATS = [r'(?<=[\[,])("s"|0|1\.5|true|null)(?:,\1)++(?=[,\]])', r"(?<=[\[,])(\{[^{}\[\]]*+\})(?:,\1)++(?=[,\]])"]
+# A shape is the text with a mark in place of every value. The mark alone is an integer; a dot, `e`, `t` or a quote behind
+# it says fraction, exponent, truth value or text. Keys stay, with a mark before them, and so do numbers of 19 or more
+# digits. No JSON text holds the mark itself, as control characters are escaped there.
+_MARK = "\\u0001"
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_TOKENS = "|".join([
+    rf'({_STRING}\s*+:)', rf'(")(?:[^"\\]++|\\.)*+"', r"-?\d++(?:\.\d++)?(e|E)[+-]?\d++", r"(-?(?=[\d.]{19})\d++(?:\.\d++)?)", r"-?\d++(\.)\d++",
+    r"-?\d++", r"(t)rue|(f)alse"])
+#: An item like the one before it changes neither types nor presence.
+_REPEATS = rf'([\[,]\s*+)({_MARK}[".et]?+|\{{{_MARK}[^{{}}\[\]]*+\}})(?:\s*+,\s*+\2)++(?=\s*+[,\]])'
 
 
 def shape_sql(text: str) -> str:
-    """SQL for the shape of a JSON text. A text with keys of other than plain characters is its own shape."""
-    marked = f"regexp_replace({text}, r'{_KEY_OR_TEXT}', concat('$1', '{_TEXT_MARK}'))"
-    plain = f"not contains(regexp_replace(m, r'{_PLAIN_KEY}', ''), '\"')"
-    shape = rf"replace(replace(regexp_replace(m, r'\s++', ''), ':{_TEXT_MARK}', ':'), '{_TEXT_MARK}', '\"s\"')"
-    for pattern, to in _NUMBERS.items():
-        shape = f"regexp_replace({shape}, r'{pattern}', '{to}')"
-    for pattern in _REPEATS:
-        shape = f"regexp_replace({shape}, r'{pattern}', '$1')"
-    return f"transform(array({marked}), m -> if({plain}, {shape}, {text}))[0]"
+    """SQL for the shape of a JSON text: one pass of a tokenizer, and one more over what has arrays."""
+    marked = rf"regexp_replace({text}, r'(?s)\s*+(?:{_TOKENS})', concat('{_MARK}', '$1$2$3$4$5$6$7'))"
+    alike = f"replace(replace(m, '{_MARK}f', '{_MARK}t'), '{_MARK}E', '{_MARK}e')"
+    short = f"if(contains(m, '['), regexp_replace({alike}, r'{_REPEATS}', '$1$2'), {alike})"
+    return f"transform(array({marked}), m -> {short})[0]"
+
+
+def event_of_shape_sql(shape: str) -> str:
+    """SQL for a JSON text that has a shape: zero, one and a half, true or a text for each value."""
+    keys = rf"""regexp_replace({shape}, r'{_MARK}("(?:[^"\\{_MARK}]++|\\.)*+"\s*+:)', '$1')"""
+    numbers = rf"regexp_replace({keys}, r'{_MARK}(?=-?\d)', '')"
+    for sign, value in {'"': '"s"', ".": "1.5", "e": "1.5", "t": "true", "": "0"}.items():
+        numbers = f"replace({numbers}, '{_MARK}{sign}', '{value}')"
+    return numbers
 
 
 def count_shapes(events: DataFrame, keys: list[str], event: str = "event", text: str = "event_text") -> DataFrame:
@@ -113,8 +117,9 @@ def count_shapes(events: DataFrame, keys: list[str], event: str = "event", text:
     if text not in events.columns:
         return events.selectExpr(*names, f"{_name(event)} as event", "1L as n")
     shaped = events.selectExpr(*names, f"if({_name(event)} is null, null, {shape_sql(_name(text))}) as shape")
-    counted = sized(shaped.groupBy(*keys, "shape").agg(F.count("*").alias("n")).where("shape is not null"))
-    return counted.selectExpr(*names, "parse_json(shape) as event", "n")
+    # The null shape is dropped from what is written: a filter before it would be pushed down with a second copy of the shape.
+    counted = sized(shaped.groupBy(*keys, "shape").agg(F.count("*").alias("n"))).where("shape is not null")
+    return counted.selectExpr(*names, f"parse_json({event_of_shape_sql('shape')}) as event", "n")
 
 
 def _name(column: str) -> str:

@@ -12,7 +12,10 @@ from shapelens.session import configure
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table, dealt to all cores where its files cannot be split into as many tasks (one row group, say)."""
+    rows = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 def _millis(column):

@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
-_OPEN: list[list[str]] = []
+#: Tables written inside `intermediates`, for each thread by itself: a stream's batch runs beside other queries.
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open_intermediates", default=())
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -49,12 +51,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 @contextmanager
 def intermediates(spark: SparkSession) -> Iterator[None]:
-    """Delete the tables that `sized` writes inside the block when it ends: for streams, which would pile them up."""
-    _OPEN.append([])
+    """Delete the tables that `sized` writes inside the block, in this thread, when it ends: for streams, which would pile
+    them up. What other threads write meanwhile is theirs."""
+    own: list[str] = []
+    token = _OPEN.set((*_OPEN.get(), own))
     try:
         yield
     finally:
-        for written in _OPEN.pop():
+        _OPEN.reset(token)
+        for written in own:
             store, path = folder_of(spark, written)
             store.delete(path, True)
 
@@ -69,7 +74,7 @@ def sized(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sized-{uuid.uuid4().hex}"
-    if _OPEN:
-        _OPEN[-1].append(path)
+    if _OPEN.get():
+        _OPEN.get()[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,8 +8,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shapelens.functions.json_types import BIT, types_in
-from shapelens.operators.paths import count_shapes, event_structures, json_paths
+from shapelens.operators.decode import classify_events, decode_messages
+from shapelens.operators.paths import count_shapes, event_structures, json_paths, shape_sql
 from shapelens.operators.structure import merge_structures
+from shapelens.plans import inputs
 
 NAMES = {str: "TEXTUAL", int: "INTEGER", float: "FLOAT", bool: "BOOLEAN", type(None): "NULL", dict: "OBJECT", list: "ARRAY"}
 
@@ -172,3 +174,30 @@ def test_event_structures(spark):
     assert sorted(r.n_events for r in rows) == [1, 2]
     nodes = next(r.nodes for r in rows if r.n_events == 1)
     assert [(n.path, n.mask) for n in nodes] == [("", BIT["OBJECT"]), ("a", BIT["NULL"])]
+
+
+def test_shape_is_computed_once(spark, sf_dir):
+    """The tokenizer stands once in the optimized plan: no filter holds a second copy of it."""
+    events = classify_events(decode_messages(inputs.shipment_messages(spark, sf_dir)))
+    shaped = events.selectExpr("event_type", f"if(event is null, null, {shape_sql('event_text')}) as shape")
+    plan = shaped.groupBy("event_type", "shape").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(t)rue|(f)alse") == 1
+
+
+def test_shape_keeps_structure(spark):
+    """An event and the event made of its shape have the same paths, whatever their keys, numbers and spaces."""
+    texts = [
+        '{"a":1,"b":[1,2,3, 4],"c":{"d":"x\\"y:1","e":1.5},"f":true,"g":false,"h":null,"i":1e5,"j":1.2E-3,"k":12345678901234567890,"l":-12345678901234567.25}',
+        '{"a":[{"x":1},{"x":2},{"x":"3"}],"k,null,null,x":[null,null],"m":[true,false,1],":":"v","":2, ",":[1,1]}', "[ 1, 2 ,3 ]", "5", '"s"', "null",
+        '{"q":["a","b",1,"c"],\n "z": [ {"w": 1, "v": "s"}, {"w": 3, "v": "t"},{} ]}', '{"a": -0.5, "s":"' + "\\n" * 20_000 + '"}',
+        '{"ke\\"y, \\\\":[[1],[2.5]],"u\\u0041":9223372036854775808,"t":-0,"e":[1E4,true],"12":{"34":"56"}}']
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "event_type string, event_text string").selectExpr("*", "parse_json(event_text) as event")
+    by_shape = {tuple(r) for r in json_paths(rows).collect()}
+    one_by_one = {tuple(r) for r in json_paths(rows.drop("event_text")).collect()}
+    assert by_shape == one_by_one and len({r[0] for r in by_shape}) == len(texts)
+
+
+def test_repeated_items_share_a_shape(spark):
+    texts = ['{"a":[%s]}' % ",".join(str(i) for i in range(n)) for n in range(2, 30)] + ['{"a":[{"b": %d}, {"b":%d}]}' % (i, i + 1) for i in range(20)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(f"{shape_sql('t')} as s")
+    assert rows.distinct().count() == 2
