@@ -12,7 +12,7 @@ def column_list(structure: DataFrame) -> DataFrame:
     """Leaf and array columns of each type's view: `(event_type, column_path, column_type)`."""
     kind = translate("if(is_array, item_primitive, primitive)", SPARK_TYPE)
     return structure.where("is_leaf").selectExpr(
-        "event_type", "path as column_path", f"if(is_array, concat('array<', {kind}, '>'), {kind}) as column_type")
+        "event_type", "path as column_path", f"case when is_map then 'map<string,string>' when is_array then concat('array<', {kind}, '>') else {kind} end as column_type")
 
 
 def view_drift(current: DataFrame, previous: DataFrame) -> DataFrame:

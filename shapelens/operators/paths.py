@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shapelens.functions.json_types import BIT, ITEM_SHIFT, json_type_bit
 from shapelens.functions.naming import child_path_sql
+from shapelens.operators.open_keys import FIELD_SHARE, OPEN_FROM, has_wild, opened, with_wild
 from shapelens.session import sized
 
 _OBJECT = "map<string,variant>"
@@ -151,19 +152,36 @@ def walk(shapes: DataFrame, keys: list[str], levels: int = 6) -> DataFrame:
             return reduce(DataFrame.unionByName, found)
 
 
-def json_paths(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 6) -> DataFrame:
+def _count_paths(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """`(keys, path, mask, n_trees)` of walked rows; below open objects and in unlisted arrays an event counts once."""
+    once = f"(role = {_DISTINCT} or ({has_wild('path')} and role in ({_PLAIN}, {_PRESENCE})))"
+    per_event = rows.groupBy(*keys, "path", F.expr(f"if({once} and not item, event_no, null)").alias("event_no")).agg(
+        F.expr("bit_or(mask) as mask"),
+        F.expr(f"sum(if(role in ({_PLAIN}, {_PRESENCE}) and not {once} and not item, n, 0L)) as n_trees"),
+        F.expr(f"max(if({once} and not item, n, 0L)) as n_once"))
+    return sized(per_event.groupBy(*keys, "path").agg(F.expr("bit_or(mask) as mask"), F.expr("sum(n_trees + n_once) as n_trees")))
+
+
+def json_paths(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 6, known: DataFrame | None = None,
+               open_from: int | None = OPEN_FROM, field_share: float = FIELD_SHARE) -> DataFrame:
     """Path counts per key, whatever the nesting: `(keys, path, mask, n_trees, optional)`.
 
     An event counts once per path: outside arrays and in merged array schemas it has one row there, otherwise its rows
     are first brought together by event. `optional` is the flag of the events themselves (a JSON null was seen).
+
+    Objects with more than `open_from` different keys are open (see `open_keys`): their keys become one segment. Each
+    turn opens the least deep ones and looks again at what lies below; nothing is walked anew. `known` are those that
+    earlier runs have opened; `open_from=None` looks for no others.
     """
     keys = keys or ["event_type"]
     rows = walk(count_shapes(events, keys, event), keys, levels)
-    per_event = rows.groupBy(*keys, "path", F.expr(f"if(role = {_DISTINCT} and not item, event_no, null)").alias("event_no")).agg(
-        F.expr("bit_or(mask) as mask"),
-        F.expr(f"sum(if(role in ({_PLAIN}, {_PRESENCE}) and not item, n, 0L)) as n_trees"),
-        F.expr(f"max(if(role = {_DISTINCT} and not item, n, 0L)) as n_once"))
-    counts = sized(per_event.groupBy(*keys, "path").agg(F.expr("bit_or(mask) as mask"), F.expr("sum(n_trees + n_once) as n_trees")))
+    counts = _count_paths(rows if known is None else with_wild(rows, known, keys), keys)
+    while open_from is not None:
+        more = opened(counts, known, keys, open_from, field_share)
+        if more is None:
+            break
+        known = more
+        counts = _count_paths(with_wild(rows, known, keys), keys)
     return counts.where(F.col(keys[0]).isNotNull()).select(
         *keys, "path", "mask", "n_trees",
         (F.col("mask").bitwiseAND(F.lit(BIT["NULL"])) != 0).alias("optional"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shapelens.functions import messages as m
 from shapelens.functions.naming import rowkey_timestamp, sanitize, split_path, view_name
 from shapelens.functions.types import SPARK_TYPE
+from shapelens.operators.open_keys import WILD
 from shapelens.sources.landed import SCOPE_SECONDS, rowkey_bounds, rowkey_range
 
 
@@ -37,9 +38,18 @@ class Node:
     def name(self) -> str:
         return self.parts[-1]
 
+    @property
+    def is_wild(self) -> bool:
+        return self.path == WILD or self.path.endswith("." + WILD)
+
+    @property
+    def values(self) -> "Node | None":
+        """What an open object's keys hold; None where the keys are fields. The root is never one value."""
+        return next((c for c in self.children if c.is_wild), None) if self.path else None
+
     @property
     def is_column(self) -> bool:
-        return self.is_array or not self.children
+        return self.is_array or self.values is not None or not self.children
 
 
 def structure_trees(structure: DataFrame) -> dict[str, Node]:
@@ -68,8 +78,12 @@ def complex_type(node: Node, map_paths: frozenset[str] = frozenset()) -> str:
     """Spark type of a node: structs of structs, arrays of structs or primitives, text where no type is known."""
     if node.path in map_paths:
         return "map<string,string>"
-    if node.children:
-        inner = ",".join(f"{_quoted(c.name)}:{complex_type(c, map_paths)}" for c in node.children)
+    if node.values is not None:
+        # fields beside the keys may have other types
+        inner = complex_type(node.values, map_paths) if len(node.children) == 1 else "string"
+        text = f"map<string,{inner}>"
+    elif node.children:
+        inner = ",".join(f"{_quoted(c.name)}:{complex_type(c, map_paths)}" for c in node.children if not c.is_wild)
         text = f"struct<{inner}>"
     else:
         text = SPARK_TYPE[(node.item_primitive if node.is_array else node.primitive) or "TEXT"]
@@ -96,6 +110,8 @@ def view_columns(tree: Node, map_paths: frozenset[str] = frozenset(), on_clash:
 
     def visit(node: Node, prefix: str) -> None:
         for child in node.children:
+            if child.is_wild:
+                continue
             name = prefix + sanitize(child.name)
             if not child.is_column and child.path not in map_paths:
                 visit(child, name + "_")
@@ -178,7 +194,7 @@ def json_tuple_view(landed: DataFrame, structure: DataFrame | Node, event_type:
 
     def expand(rows: DataFrame, node: Node, source: str, prefix: str) -> DataFrame:
         # an inner object gets a name of its own that no column can have
-        names = [(c, free_name(prefix + sanitize(c.name), taken, on_clash) if c.is_column else f"-{next(inner)}") for c in node.children if not c.is_array]
+        names = [(c, free_name(prefix + sanitize(c.name), taken, on_clash) if c.is_column else f"-{next(inner)}") for c in node.children if not c.is_array and not c.is_wild]
         if not names:
             return rows.drop(source)
         others = [F.col(_quoted(c)) for c in rows.columns if c != source]

@@ -13,6 +13,7 @@ from shapelens.functions.messages import message_digest, parse_json
 from shapelens.operators import drift, reports
 from shapelens.operators.avro import avro_paths, avro_structures
 from shapelens.operators.decode import avro_available, classify_events, decode_avro, decode_messages
+from shapelens.operators.open_keys import open_of
 from shapelens.operators.paths import json_paths
 from shapelens.operators.structure import from_registry, merge_structures
 from shapelens.operators.views import count_views, create_all_views
@@ -36,7 +37,7 @@ def structures_of(events: DataFrame, registry: DataFrame | None = None, previous
     Which schema belongs to which event type is taken from the decoded events; where bodies stay undecoded, `used`
     says it: `(event_type, schema_hash)`.
     """
-    sources = [json_paths(events)]
+    sources = [json_paths(events, known=None if previous is None else open_of(previous))]
     if registry is not None:
         seen = events.where("is_avro and event_type is not null").select("event_type", "schema_hash").distinct()
         if used is not None:

@@ -74,6 +74,21 @@ def dirty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("number") + F.col("copy") * 1000000000).alias("offset"), "value")
 
 
+def keyed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with ids for keys: `seen` has an own key per event beside the field `total`, and what it holds again has
+    an object with an own key."""
+    events = table(spark, sf_dir, "events")
+    number = F.col("event_id").cast("string")
+    text = F.concat(
+        F.lit('{"id":'), number, F.lit(',"timestamp":'), _millis("ts").cast("string"), F.lit(',"eventType":"'), F.col("event_type"), F.lit('","props":'), F.col("props"),
+        F.lit(',"seen":{"total":'), F.col("user_id").cast("string"), F.lit(',"u'), number, F.lit('":{"n":'), F.col("value").cast("string"),
+        F.when(F.col("event_id") % 3 == 0, "").otherwise(F.concat(F.lit(',"by.day":{"d'), (F.col("event_id") * 7).cast("string"), F.lit('":1,"x'), number, F.lit('":"y"}'))),
+        F.lit("}}}"))
+    return events.select(
+        _topic(F.col("event_id")).alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"), text.cast("binary").alias("value"))
+
+
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row key `<TYPE>-<epoch seconds>-<id>` and JSON text."""
     events = table(spark, sf_dir, "events")

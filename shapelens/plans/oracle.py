@@ -295,6 +295,15 @@ ORACLE: dict[str, str] = {
       of_schemas AS (SELECT event_type, path, max(avro_types) AS avro_types, count(*) AS n FROM in_use JOIN avro USING (schema_hash) GROUP BY ALL)
       SELECT event_type, path, coalesce(e.n, 0) + coalesce(s.n, 0) AS n_trees, coalesce(s.avro_types, '') AS avro_types, coalesce(e.json_types, '') AS json_types
       FROM of_events e FULL JOIN of_schemas s USING (event_type, path)""".replace(",\n      event_paths", ", event_paths", 1),
+    "a7_open_keys": r"""WITH docs AS (
+        SELECT event_id AS doc, event_type, event_id % 3 <> 0 AS nested, value FROM events),
+      shape(path, json_types, is_map, is_leaf, deep, parent_deep) AS (VALUES ('', 'OBJECT', false, false, false, false), ('id', 'INTEGER', false, true, false, false),
+        ('timestamp', 'INTEGER', false, true, false, false), ('eventType', 'TEXTUAL', false, true, false, false), ('props', 'OBJECT', false, false, false, false),
+        ('props.k', 'INTEGER', false, true, false, false), ('seen', 'OBJECT', true, true, false, false), ('seen.total', 'INTEGER', false, true, false, false),
+        ('seen.\*', 'OBJECT', false, false, false, false), ('seen.\*.n', 'FLOAT', false, false, false, false), ('seen.\*.by\.day', 'OBJECT', true, false, true, false),
+        ('seen.\*.by\.day.\*', 'INTEGER|TEXTUAL', false, false, true, true))
+      SELECT event_type, path, json_types, count(*) FILTER (nested OR NOT deep) AS n_trees, deep AND NOT parent_deep AS optional, is_map, is_leaf
+      FROM docs, shape GROUP BY ALL""".replace("\\\\", "\\"),
     "a8_resolve_primitive": _with(_SHIP_DOCS) + "SELECT event_type, path, primitive, item_primitive FROM typed WHERE is_leaf",
     "a9_topic_report": _with(_DIRTY, _TOPICS) + "SELECT * FROM topic_facts",
     "a10_event_type_report": _with(_DIRTY, _TYPES) + """SELECT *, concat_ws('|', CASE WHEN n_events < 2 THEN 'a single event says nothing about consistency' END,

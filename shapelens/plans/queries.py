@@ -404,6 +404,14 @@ def a7_merge_with_avro(spark, sf_dir):
         "event_type", "path", "optional", "n_trees", "is_array", "primitive", "item_primitive", _joined("avro_enum_symbols"))
 
 
+@query
+def a7_open_keys(spark, sf_dir):
+    """Structure of events that use ids as keys: one path for all keys of an object."""
+    events = classify_events(decode_messages(inputs.keyed_messages(spark, sf_dir)))
+    structure = merge_structures(json_paths(events, open_from=50), open_from=50)
+    return structure.select("event_type", "path", F.array_join("json_types", "|").alias("json_types"), "n_trees", "optional", "is_map", "is_leaf")
+
+
 @query
 def a8_resolve_primitive(spark, sf_dir):
     return _shipment_structure(spark, sf_dir).where("is_leaf").select("event_type", "path", "primitive", "item_primitive")
