@@ -49,7 +49,8 @@ def decode_messages(messages: DataFrame, registry: DataFrame | None = None,
     ))))
     known = F.lit(False)
     if registry is not None:
-        rows = schema_registry_lookup(rows, registry)
+        carried = messages.select(F.when(m.is_avro_message(value, hash_length), m.schema_hash_of(value, hash_length)).alias("schema_hash"))
+        rows = schema_registry_lookup(rows, registry, carried)
         known = F.col("schema_json").isNotNull()
     reason = (
         F.when(value.isNull(), NULL_MESSAGE)

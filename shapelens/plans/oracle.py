@@ -194,6 +194,9 @@ ORACLE: dict[str, str] = {
     "s6_schema_registry_lookup": f"""SELECT c_custkey AS "offset", CASE WHEN c_acctbal < -500 THEN md5(c_name) ELSE md5({_SCHEMA_TEXT}) END AS schema_hash,
         CASE WHEN c_acctbal < -500 THEN 'unknown schema' END AS broken_reason,
         CASE WHEN c_acctbal >= -500 THEN sha256({_SCHEMA_TEXT}) END AS schema_digest FROM customer""",
+    "s6_hot_schema_lookup": f"""SELECT c_custkey AS "offset",
+        CASE c_custkey % 3 WHEN 0 THEN md5('hot') WHEN 1 THEN md5({_SCHEMA_TEXT}) ELSE md5('x' || c_custkey) END AS schema_hash,
+        CASE c_custkey % 3 WHEN 0 THEN sha256('{{"type":"hot"}}') WHEN 1 THEN sha256({_SCHEMA_TEXT}) END AS schema_digest FROM customer""",
     "s6_registry_from_base64": f"""SELECT md5({_SCHEMA_TEXT}) AS schema_hash, sha256({_SCHEMA_TEXT}) AS schema_digest FROM customer""",
     "s7_write_samples": _with(_DIRTY) + """SELECT event_type, event_id AS id FROM (
         SELECT event_type, event_id, topic, "partition", "offset" FROM dirty WHERE event_type IS NOT NULL
@@ -254,6 +257,11 @@ ORACLE: dict[str, str] = {
         event_type AS "eventType", l_orderkey || '-' || l_linenumber AS id, l_partkey AS item_part, l_suppkey AS item_supplier_id,
         CASE WHEN l_returnflag = 'A' THEN 'ok' END AS note, CAST(l_extendedprice AS DECIMAL(18, 5))::VARCHAR AS price, (epoch_us(l_shipdate) // 1000) AS timestamp
         FROM ship WHERE event_type = 'shipment' AND rowkey > 'SHIPMENT-0900000000'""",
+    "p15_load_ledger": _with(_SHIP) + """,
+      rows AS (SELECT rowkey, l_orderkey || '-' || l_linenumber AS id, CAST(l_extendedprice AS DECIMAL(18, 5))::VARCHAR AS price,
+          rowkey < 'RETURN-0800000000' AND right(rowkey, 1) <> '3' AS early FROM ship WHERE event_type = 'return'),
+      runs AS (SELECT *, CASE WHEN early THEN 1 WHEN rowkey <= (SELECT max(rowkey) FROM rows WHERE early) THEN 3 ELSE 2 END AS run FROM rows)
+      SELECT rowkey, run, id, price, count(*) OVER (PARTITION BY run) AS n_rows FROM runs""".replace(",\n      rows", ", rows", 1),
     "p15_next_mark": _with(_SHIP) + "SELECT upper(event_type) AS event_type, max(rowkey) AS mark FROM ship GROUP BY ALL",
     "a1_distinct_events": _with(_DIRTY) + """SELECT topic, "partition", "offset" FROM dirty WHERE value IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY topic, value ORDER BY "partition", "offset") = 1""",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shapelens.functions import messages as m
 from shapelens.functions.json_types import types_in
 from shapelens.functions.naming import rowkey_timestamp
-from shapelens.operators import drift, reports, views, warehouse
+from shapelens.operators import drift, ledger, reports, views, warehouse
 from shapelens.operators.avro import avro_paths
 from shapelens.operators.decode import classify_events, decode_messages, distinct_events, distinct_positions, split_broken, split_invalid
 from shapelens.operators.paths import event_structures, json_paths
@@ -97,6 +97,18 @@ def s6_schema_registry_lookup(spark, sf_dir):
     return decoded.select("offset", "schema_hash", "broken_reason", F.sha2("schema_json", 256).alias("schema_digest"))
 
 
+@query
+def s6_hot_schema_lookup(spark, sf_dir):
+    """The registry taken for too large to broadcast, and a third of the customers sharing one hash."""
+    customers = inputs.table(spark, sf_dir, "customer")
+    key, text = F.col("c_custkey"), inputs.schema_text()
+    hot = F.when(key % 3 == 0, F.md5(F.lit("hot"))).when(key % 3 == 1, F.md5(text)).otherwise(F.md5(F.concat(F.lit("x"), key.cast("string"))))
+    messages = customers.select(F.lit("accounts").alias("topic"), (key % 4).cast("int").alias("partition"), key.alias("offset"), hot.alias("schema_hash"))
+    schemas = inputs.schema_registry(spark, sf_dir).unionByName(spark.range(1).select(F.md5(F.lit("hot")).alias("schema_hash"), F.lit('{"type":"hot"}').alias("schema_json")))
+    found = registry.schema_registry_lookup(messages, schemas, small=False)
+    return found.select("offset", "schema_hash", F.sha2("schema_json", 256).alias("schema_digest"))
+
+
 @query
 def s6_registry_from_base64(spark, sf_dir):
     """A key-value export with base64 texts becomes the registry."""
@@ -116,8 +128,10 @@ def s7_write_samples(spark, sf_dir):
 
 @query
 def s8_structure_registry(spark, sf_dir):
-    path = _scratch(spark)
-    registry.write_structure_registry(_shipment_structure(spark, sf_dir), path, "1")
+    """Two runs, of which the second is the one that readers see."""
+    path, structure = _scratch(spark), _shipment_structure(spark, sf_dir)
+    registry.write_structure_registry(structure.where("false"), path, "9")
+    registry.write_structure_registry(structure, path, "10")
     saved = registry.read_structure_registry(spark, path)
     return saved.select("event_type", "path", "optional", "n_trees", "is_leaf")
 
@@ -293,10 +307,10 @@ def p15_load_warehouse_increment(spark, sf_dir):
 
 @query
 def p15_next_mark(spark, sf_dir):
-    """Mark per type after a load; one grouped aggregate."""
-    rows = inputs.landed_shipments(spark, sf_dir)
-    kind = F.substring_index("rowkey", "-", 1)
-    return rows.groupBy(kind.alias("event_type")).agg(F.max("rowkey").alias("mark"))
+    """Mark of each type after a load of everything: a pushed key range over a landed table."""
+    rows = _landed_table(spark, inputs.landed_shipments(spark, sf_dir))
+    marks = [(t.upper(), warehouse.next_mark(rows, t)) for t in ("return", "shipment")]
+    return spark.createDataFrame(marks, "event_type string, mark string")
 
 
 @query
@@ -310,6 +324,19 @@ def p15_append_increment(spark, sf_dir):
     return loaded.select("rowkey", F.col("meta_CreateProcessID").alias("run"), "id", F.lit(mark).alias("mark"))
 
 
+@query
+def p15_load_ledger(spark, sf_dir):
+    """Two loads and one of late rows. Nobody carries a mark: what landed early lacks some rows, which the third load finds."""
+    path, rows, structure = _scratch(spark), _landed_table(spark, inputs.landed_shipments(spark, sf_dir)), _shipment_structure(spark, sf_dir)
+    early = rows.where("rowkey < 'RETURN-0800000000' and right(rowkey, 1) <> '3'")
+    ledger.load(early, structure, "return", path, run_id=1)
+    ledger.load(early, structure, "return", path, run_id=1)  # again: replaces its own rows
+    ledger.load(rows, structure, "return", path, run_id=2)
+    ledger.load_late(rows, structure, "return", path, run_id=3)
+    runs = ledger.ledger(spark, path).select(F.col("run_id").alias("run"), "n_rows")
+    return ledger.loaded(spark, path, "return").select("rowkey", F.col("meta_CreateProcessID").alias("run"), "id", F.col("price").cast("string").alias("price")).join(runs, "run")
+
+
 # --- aggregations -----------------------------------------------------------------------------------------------
 
 @query

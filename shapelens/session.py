@@ -78,3 +78,11 @@ def sized(df: DataFrame) -> DataFrame:
         _OPEN.get()[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst's own estimate of a result is below the session's broadcast threshold."""
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit

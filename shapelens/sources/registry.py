@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shapelens.session import sized
+from shapelens.session import fits_broadcast, sized
+from shapelens.sources.snapshots import Snapshot, current, write_snapshot
 
 
 #: Error conditions of Spark for a folder without data.
@@ -21,16 +22,44 @@ def registry_from_base64(table: DataFrame) -> DataFrame:
     )
 
 
-def schema_registry_lookup(messages: DataFrame, registry: DataFrame) -> DataFrame:
+#: A hash that at least this share of the messages carries is hot; so there are at most 1 / HOT_SHARE of them.
+HOT_SHARE = 0.005
+#: Most text of hot schemas that is broadcast, the most frequent first; the rest is joined like others.
+HOT_CHARS = 16_000_000
+
+
+def hot_schemas(hashes: DataFrame, schemas: DataFrame, share: float = HOT_SHARE, chars: int = HOT_CHARS) -> DataFrame:
+    """`(_hash, hot_json)` of the hot hashes in `(schema_hash)`, with null where no schema has such a hash.
+
+    The counts shrink map-side; what is left has at most 1 / share rows and `chars` characters of text.
+    """
+    counts = sized(hashes.where("schema_hash is not null").groupBy(F.col("schema_hash").alias("_hash")).agg(F.count("*").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.where(F.col("n") >= max(1.0, total * share))
+    found = hot.join(schemas.join(F.broadcast(hot.select("_hash")), "_hash", "left_semi"), "_hash", "left")
+    before = Window.orderBy(F.col("n").desc(), "_hash").rowsBetween(Window.unboundedPreceding, 0)
+    return sized(found.withColumn("_chars", F.sum(F.coalesce(F.length("schema_json"), F.lit(0))).over(before)).where(F.col("_chars") <= chars).select(
+        "_hash", F.col("schema_json").alias("hot_json")))
+
+
+def schema_registry_lookup(messages: DataFrame, registry: DataFrame, hashes: DataFrame | None = None, small: bool | None = None) -> DataFrame:
     """Left join `schema_json` by `schema_hash`.
 
-    The registry is broadcast while Catalyst proves it small. Past that size the join shuffles, so the rows without
-    a hash, which can match nothing, get spread keys instead of meeting in one task.
+    A registry that Catalyst broadcasts is joined at once. Beyond that size the join shuffles: schemas of hot hashes are
+    found by counting and broadcast, and rows that have theirs, or no hash at all, get spread keys instead of meeting in
+    one task. `hashes` is where the counting reads `schema_hash` (the messages themselves, unless something cheaper
+    holds it); `small` overrides the look at the registry's size.
     """
-    spread = F.concat(F.lit("{"), F.xxhash64("topic", "partition", "offset").cast("string"))
-    keyed = messages.withColumn("_hash", F.coalesce("schema_hash", spread))
     schemas = registry.groupBy(F.col("schema_hash").alias("_hash")).agg(F.min("schema_json").alias("schema_json"))
-    return keyed.join(schemas, "_hash", "left").drop("_hash")
+    if small is None:
+        small = fits_broadcast(registry)
+    if small:
+        return messages.join(schemas.withColumnRenamed("_hash", "schema_hash"), "schema_hash", "left").select(*messages.columns, "schema_json")
+    hot = hot_schemas(messages.select("schema_hash") if hashes is None else hashes, schemas)
+    first = messages.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), F.col("schema_hash") == F.col("_hash"), "left").drop("_hash")
+    spread = F.concat(F.lit("{"), F.xxhash64("topic", "partition", "offset").cast("string"))
+    keyed = first.withColumn("_hash", F.when(F.col("_hot") | F.col("schema_hash").isNull(), spread).otherwise(F.col("schema_hash")))
+    return keyed.join(schemas, "_hash", "left").withColumn("schema_json", F.coalesce("hot_json", "schema_json")).select(*messages.columns, "schema_json")
 
 
 def schema_conflicts(registry: DataFrame) -> DataFrame:
@@ -39,22 +68,15 @@ def schema_conflicts(registry: DataFrame) -> DataFrame:
     return distinct.groupBy("schema_hash").agg(F.count("*").alias("n_schemas")).where("n_schemas > 1")
 
 
-def write_structure_registry(structure: DataFrame, path: str, run: str) -> None:
-    """Save the merged structures of one run as its own snapshot."""
-    structure.write.mode("overwrite").parquet(f"{path}/run={run}")
+def write_structure_registry(structure: DataFrame, path: str, run: str, after: int | None = None) -> Snapshot:
+    """Save the merged structures of one run as a snapshot (see `snapshots.write_snapshot`)."""
+    return write_snapshot(structure, path, run, after)
 
 
 def read_structure_registry(spark: SparkSession, path: str, run: str | None = None) -> DataFrame | None:
-    """Structures of `run`, or of the latest run; None before the first one."""
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in NOTHING_THERE:
-            return None
-        raise
-    # numbers compare as numbers: run 10 follows run 9
-    chosen = F.col("run") == (F.lit(run) if run is not None else F.lit(table.agg(F.max("run")).first()[0]))
-    return table.where(chosen).drop("run")
+    """Structures of the latest snapshot, or of the latest one of `run`; None if there is none."""
+    snapshot = current(spark, path, run)
+    return snapshot.read(spark) if snapshot else None
 
 
 def write_samples(events: DataFrame, path: str, k: int = 10) -> None:

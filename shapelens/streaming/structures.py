@@ -3,54 +3,43 @@
 from __future__ import annotations
 
 import hashlib
-import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from shapelens.operators.decode import classify_events, decode_messages
+from shapelens.operators.open_keys import open_of
 from shapelens.operators.paths import json_paths
 from shapelens.operators.structure import from_registry, merge_structures
-from shapelens.session import folder_of, intermediates
-from shapelens.sources.registry import write_structure_registry
-
-
-def _snapshots(spark, path: str) -> list[tuple[int, str, int, str]]:
-    """(sequence, query, batch, folder) of all snapshots, by sequence. Folder names tell: no data is read."""
-    store, root = folder_of(spark, path)
-    found = []
-    for status in store.listStatus(root) if store.exists(root) else []:
-        parts = re.fullmatch(r"run=(\d+)-(.+)-(\d+)", status.getPath().getName())
-        if parts:
-            found.append((int(parts[1]), parts[2], int(parts[3]), status.getPath().toString()))
-    return sorted(found)
+from shapelens.session import intermediates
+from shapelens.sources.registry import read_structure_registry, write_structure_registry
+from shapelens.sources.snapshots import expire, last_number, snapshots
 
 
 def latest_structures(spark, path: str) -> DataFrame | None:
     """The structures of the latest snapshot of any query; None before the first."""
-    found = _snapshots(spark, path)
-    return spark.read.parquet(found[-1][3]) if found else None
+    return read_structure_registry(spark, path)
 
 
 def merge_batch(messages: DataFrame, batch_id: int, path: str, query: str, sticky: bool = False, keep: int = 3) -> None:
     """Merge one micro-batch into the registry.
 
-    A snapshot is named by a running number, its query and its batch. A batch that is run again starts from the same
-    earlier snapshot and replaces its own, so counts are added once; a query with a new checkpoint goes on from the
-    latest snapshot of the queries before it. The last `keep` snapshots stay.
+    A snapshot is named by its query and batch. A batch that is run again finds its own snapshot and adds nothing, so
+    counts are added once; a query with a new checkpoint goes on from the latest snapshot of the queries before it, and
+    another query that writes at the same time is a conflict. The last `keep` snapshots stay.
     """
     spark = messages.sparkSession
+    name = f"{query}-{batch_id}"
     with intermediates(spark):
-        found = _snapshots(spark, path)
-        own = [s for s in found if s[1:3] == (query, batch_id)]
-        before = [s for s in found if not own or s[0] < own[0][0]]
-        number = own[0][0] if own else (before[-1][0] + 1 if before else 0)
-        paths = json_paths(classify_events(decode_messages(messages)))
-        sources = [paths, from_registry(spark.read.parquet(before[-1][3]))] if before else [paths]
-        write_structure_registry(merge_structures(*sources, sticky=sticky), path, f"{number}-{query}-{batch_id}")
-        for _, _, _, folder in before[: max(0, len(before) - keep + 1)]:
-            store, old = folder_of(spark, folder)
-            store.delete(old, True)
+        found = snapshots(spark, path)
+        if any(s.run == name for s in found):
+            return
+        after = last_number(spark, path)
+        before = found[-1].read(spark) if found else None
+        paths = json_paths(classify_events(decode_messages(messages)), known=None if before is None else open_of(before))
+        sources = [paths] if before is None else [paths, from_registry(before)]
+        write_structure_registry(merge_structures(*sources, sticky=sticky), path, name, after)
+        expire(spark, path, keep)
 
 
 def stream_structures(messages: DataFrame, path: str, checkpoint: str, sticky: bool = False, **trigger) -> StreamingQuery:

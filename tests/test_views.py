@@ -189,7 +189,7 @@ def test_stream_with_a_new_checkpoint_goes_on(spark, tmp_path):
         merge_batch(messages(spark, documents), i % 2, path, f"query{i // 2}", keep=2)
     batch = result(merge_structures(json_paths(classify_events(decode_messages(messages(spark, DOCUMENTS))))))
     assert result(latest_structures(spark, path)) == batch
-    assert len(list((tmp_path / "registry").glob("run=*"))) == 2
+    assert len(list((tmp_path / "registry" / "data").iterdir())) == 2
     assert not list(__import__("pathlib").Path(shared_dir(spark).removeprefix("file:")).glob("sized-*/_temporary"))
 
 
