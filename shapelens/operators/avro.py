@@ -67,7 +67,42 @@ def _definitions(schemas: DataFrame) -> DataFrame:
     return sized(out)
 
 
+#: Stands for the name of a schema's own record.
+_OWN_NAME = "-"
+
+
+def _nameless(registry: DataFrame) -> DataFrame:
+    """`(schema_hash, tree)`: digest and text of each schema without the name of its own record.
+
+    The name of the outermost record is no part of any path, unless the schema uses it elsewhere or takes a namespace
+    from it; schemas that differ in nothing else have one tree of paths.
+    """
+    name = F.try_variant_get(F.try_parse_json("schema_json"), "$.name", "string")
+    text, quoted = F.col("schema_json"), F.concat(F.lit('"'), name, F.lit('"'))
+    others = F.replace(text, quoted, F.lit(f'"{_OWN_NAME}"'))
+    once = (F.length(text) - F.length(F.replace(text, name, F.lit(""))) == F.length(name)) & (others != text) & ~F.contains(name, F.lit(".")) & (name != "")
+    return registry.select("schema_hash", F.when(once, others).otherwise(text).alias("tree_json")).select("schema_hash", F.sha2("tree_json", 256).alias("tree"), "tree_json")
+
+
 def avro_paths(registry: DataFrame) -> DataFrame:
+    """Paths of every schema in `(schema_hash, schema_json)`: the columns of `tree_paths`.
+
+    Schemas that are alike but for the name of their own record are walked once, so the work behind the first pass over
+    the registry follows the number of different trees. A hash with several texts has the paths of all of them.
+    """
+    named = sized(_nameless(registry))
+    trees = sized(named.groupBy("tree").agg(F.min("tree_json").alias("schema_json")))
+    paths = sized(tree_paths(trees.withColumnRenamed("tree", "schema_hash")))
+    spread = named.select("schema_hash", "tree").distinct().join(paths.withColumnRenamed("schema_hash", "tree"), "tree").drop("tree")
+    several = named.groupBy("schema_hash").agg(F.count_distinct("tree").alias("n")).where("n > 1")
+    if several.isEmpty():
+        return spread.select("schema_hash", *[c for c in paths.columns if c != "schema_hash"])
+    sets = [c for c in paths.columns if c.startswith("avro_")]
+    return spread.groupBy("schema_hash", "path").agg(
+        F.bool_or("optional").alias("optional"), *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in sets], F.bool_or("recursive").alias("recursive"))
+
+
+def tree_paths(registry: DataFrame) -> DataFrame:
     """`(schema_hash, path, optional, avro_types, avro_union_types, avro_enum_symbols, avro_item_types,
     avro_item_names, avro_map_value_types, recursive)` of every schema in `(schema_hash, schema_json)`.
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shapelens.functions import messages as m
+from shapelens.operators.copies import in_shared_cell
 from shapelens.session import sized
 from shapelens.sources.registry import schema_registry_lookup
 
@@ -142,17 +143,18 @@ def position(partition="partition", offset="offset"):
 def distinct_positions(events: DataFrame, by: list[str] | None = None) -> DataFrame:
     """`(by, topic, partition, offset, n_copies)` of the first copy of byte-equal messages within `by` (default: per topic).
 
-    Only digests and positions are shuffled, and groups of copies, however large, shrink to one row map-side. Null
-    messages have no bytes to compare and each stand for themselves.
+    Only messages that may have copies are shuffled, as digests and positions (see `copies`), and groups of copies,
+    however large, shrink to one row map-side. Null messages have no bytes to compare and each stand for themselves.
     """
     by = by or ["topic"]
+    kept = [c for c in by if c != "topic"]
     # topic breaks ties when a group spans topics
     place = F.struct(F.col("topic"), position().alias("position"))
-    digest = F.coalesce(m.message_digest(F.col("value")), F.concat_ws("/", "topic", "partition", "offset").cast("binary"))
-    groups = events.select(*by, digest.alias("_digest"), place.alias("_place")).groupBy(*by, "_digest").agg(
+    marked = in_shared_cell(events.select(*dict.fromkeys([*by, "topic", "partition", "offset", "value"])), by)
+    alone = marked.where("not _shared").select(*kept, "topic", F.col("partition").cast("int").alias("partition"), F.col("offset").cast("bigint").alias("offset"), F.lit(1).cast("bigint").alias("n_copies"))
+    groups = marked.where("_shared").select(*by, m.message_digest(F.col("value")).alias("_digest"), place.alias("_place")).groupBy(*by, "_digest").agg(
         F.min("_place").alias("_first"), F.count("*").alias("n_copies"))
-    return groups.select(
-        *[c for c in by if c != "topic"], F.col("_first.topic").alias("topic"), "_first.position.partition", "_first.position.offset", "n_copies")
+    return alone.unionByName(groups.select(*kept, F.col("_first.topic").alias("topic"), "_first.position.partition", "_first.position.offset", "n_copies"))
 
 
 def distinct_events(events: DataFrame, by: list[str] | None = None) -> DataFrame:

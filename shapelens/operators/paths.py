@@ -162,19 +162,11 @@ def _count_paths(rows: DataFrame, keys: list[str]) -> DataFrame:
     return sized(per_event.groupBy(*keys, "path").agg(F.expr("bit_or(mask) as mask"), F.expr("sum(n_trees + n_once) as n_trees")))
 
 
-def json_paths(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 6, known: DataFrame | None = None,
-               open_from: int | None = OPEN_FROM, field_share: float = FIELD_SHARE) -> DataFrame:
-    """Path counts per key, whatever the nesting: `(keys, path, mask, n_trees, optional)`.
-
-    An event counts once per path: outside arrays and in merged array schemas it has one row there, otherwise its rows
-    are first brought together by event. `optional` is the flag of the events themselves (a JSON null was seen).
-
-    Objects with more than `open_from` different keys are open (see `open_keys`): their keys become one segment. Each
-    turn opens the least deep ones and looks again at what lies below; nothing is walked anew. `known` are those that
-    earlier runs have opened; `open_from=None` looks for no others.
-    """
+def paths_of_shapes(shapes: DataFrame, keys: list[str] | None = None, levels: int = 6, known: DataFrame | None = None,
+                    open_from: int | None = OPEN_FROM, field_share: float = FIELD_SHARE) -> DataFrame:
+    """`json_paths` of what `count_shapes` gives."""
     keys = keys or ["event_type"]
-    rows = walk(count_shapes(events, keys, event), keys, levels)
+    rows = walk(shapes, keys, levels)
     counts = _count_paths(rows if known is None else with_wild(rows, known, keys), keys)
     while open_from is not None:
         more = opened(counts, known, keys, open_from, field_share)
@@ -188,14 +180,24 @@ def json_paths(events: DataFrame, keys: list[str] | None = None, event: str = "e
     )
 
 
-def event_structures(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 6) -> DataFrame:
-    """Distinct trees per key: `(keys, structure_id, nodes, n_events)`.
+def json_paths(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 6, known: DataFrame | None = None,
+               open_from: int | None = OPEN_FROM, field_share: float = FIELD_SHARE) -> DataFrame:
+    """Path counts per key, whatever the nesting: `(keys, path, mask, n_trees, optional)`.
 
-    A tree is the sorted set of (path, type bits) of one event; the optional flag takes no part. The set is built once
-    per shape; shapes of one set add up.
+    An event counts once per path: outside arrays and in merged array schemas it has one row there, otherwise its rows
+    are first brought together by event. `optional` is the flag of the events themselves (a JSON null was seen).
+
+    Objects with more than `open_from` different keys are open (see `open_keys`): their keys become one segment. Each
+    turn opens the least deep ones and looks again at what lies below; nothing is walked anew. `known` are those that
+    earlier runs have opened; `open_from=None` looks for no others.
     """
+    return paths_of_shapes(count_shapes(events, keys or ["event_type"], event), keys, levels, known, open_from, field_share)
+
+
+def structures_of_shapes(shapes: DataFrame, keys: list[str] | None = None, levels: int = 6) -> DataFrame:
+    """`event_structures` of what `count_shapes` gives."""
     keys = keys or ["event_type"]
-    rows = walk(count_shapes(events, keys, event), keys, levels).where(f"role <> {_PRESENCE}")
+    rows = walk(shapes, keys, levels).where(f"role <> {_PRESENCE}")
     # bits first, so that the text of a node cannot be read in two ways; sorted natively, decoded once per tree
     per_event = rows.groupBy(*keys, "event_no").agg(
         F.expr("max(n) as n"), F.expr("sort_array(collect_set(concat(mask, ':', path))) as encoded"))
@@ -203,3 +205,12 @@ def event_structures(events: DataFrame, keys: list[str] | None = None, event: st
     trees = trees.where(F.col(keys[0]).isNotNull()).withColumn("nodes", F.expr("""array_sort(transform(encoded, n -> struct(
         substring(n, instr(n, ':') + 1) as path, cast(substring_index(n, ':', 1) as int) as mask)))"""))
     return trees.select(*keys, F.sha2(F.to_json("nodes"), 256).alias("structure_id"), "nodes", "n_events")
+
+
+def event_structures(events: DataFrame, keys: list[str] | None = None, event: str = "event", levels: int = 6) -> DataFrame:
+    """Distinct trees per key: `(keys, structure_id, nodes, n_events)`.
+
+    A tree is the sorted set of (path, type bits) of one event; the optional flag takes no part. The set is built once
+    per shape; shapes of one set add up.
+    """
+    return structures_of_shapes(count_shapes(events, keys or ["event_type"], event), keys, levels)

@@ -203,7 +203,7 @@ ORACLE: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY event_type, value ORDER BY topic, "partition", "offset") = 1)
         QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY topic, "partition", "offset") <= 10""",
     "s8_structure_registry": _with(_SHIP_DOCS) + "SELECT event_type, path, optional, n_trees, is_leaf FROM structure",
-    "s9_create_views": _with(_LANDED) + _VIEW_SCOPES,
+    "s9_create_views": _with(_LANDED) + "SELECT *, 'unchanged' AS status FROM (" + _VIEW_SCOPES + ")",
     "s11_write_reports": _with(_DIRTY, _TOPICS) + "SELECT topic, n_events, n_invalid, n_broken, is_consistent FROM topic_facts",
     "f1_is_avro_message": _with(_DIRTY) + """SELECT topic, "offset", length(value) >= 32 AND value NOT LIKE '{%' AS is_avro FROM dirty""",
     "f2_schema_hash_of": _with(_DIRTY) + """SELECT topic, "offset", substr(value, 1, 32) AS schema_hash FROM dirty""",
@@ -263,8 +263,8 @@ ORACLE: dict[str, str] = {
       runs AS (SELECT *, CASE WHEN early THEN 1 WHEN rowkey <= (SELECT max(rowkey) FROM rows WHERE early) THEN 3 ELSE 2 END AS run FROM rows)
       SELECT rowkey, run, id, price, count(*) OVER (PARTITION BY run) AS n_rows FROM runs""".replace(",\n      rows", ", rows", 1),
     "p15_next_mark": _with(_SHIP) + "SELECT upper(event_type) AS event_type, max(rowkey) AS mark FROM ship GROUP BY ALL",
-    "a1_distinct_events": _with(_DIRTY) + """SELECT topic, "partition", "offset" FROM dirty WHERE value IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY topic, value ORDER BY "partition", "offset") = 1""",
+    "a1_distinct_events": _with(_DIRTY) + """SELECT topic, "partition", "offset", count(*) OVER (PARTITION BY topic, coalesce(value, "partition" || '/' || "offset" || 'null')) AS n_copies FROM dirty
+        QUALIFY row_number() OVER (PARTITION BY topic, coalesce(value, "partition" || '/' || "offset" || 'null') ORDER BY "partition", "offset") = 1""",
     "a1_distinct_events_of_type": _with(_DIRTY) + """SELECT event_type, topic, "offset" FROM dirty WHERE event_type IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY event_type, value ORDER BY topic, "partition", "offset") = 1""",
     "a2_events_by_type": _with(_DIRTY, _TYPES) + "SELECT event_type, n_events, topics FROM type_report",
@@ -318,6 +318,13 @@ ORACLE: dict[str, str] = {
         CASE WHEN versions LIKE '%|%' THEN 'several schema versions in use' END, CASE WHEN timestamp_units LIKE '%|%' THEN 'timestamps in different units' END,
         CASE WHEN timestamp_units LIKE '%|SECONDS' OR timestamp_units = 'SECONDS' THEN 'timestamps count seconds' END) AS messages FROM type_report""",
     "a11_day_count": """SELECT event_type, count(*) FILTER (floor(epoch(ts)) >= epoch(TIMESTAMP '2024-01-31') - 86400) AS day_count FROM events GROUP BY event_type""",
+    "a11_range_counts": """WITH keys AS (
+        SELECT 'part' || l_partkey AS event_type, 'PART' || l_partkey || '-' || CAST(floor(epoch(l_shipdate)) AS BIGINT) || '-' || l_orderkey || '-' || l_linenumber AS rowkey
+        FROM lineitem WHERE floor(epoch(l_shipdate)) >= 100000000),
+      types AS (SELECT 'part' || p_partkey AS event_type FROM part),
+      scopes(scope, start) AS (VALUES ('all', '0'), ('week', (epoch(TIMESTAMP '1996-06-01') - 604800)::BIGINT::VARCHAR))
+      SELECT t.event_type, s.scope, count(k.rowkey) AS n_rows FROM types t CROSS JOIN scopes s
+      LEFT JOIN keys k ON k.event_type = t.event_type AND k.rowkey >= upper(t.event_type) || '-' || s.start AND k.rowkey < upper(t.event_type) || '-9' GROUP BY ALL""",
     "a12_pivot_parameters": """SELECT c_name AS param_filter, lower(c_mktsegment) AS targetname, 'nation_' || c_nationkey AS sourcename,
         CAST(NULL AS VARCHAR) AS deltatype, upper(c_mktsegment) || '-0' AS strvalue FROM customer""",
     "a13_too_few_events": _with(_DIRTY, _TOPICS, _TYPES) + """SELECT 'event type ' || event_type AS subject, 'not enough events: ' || n_events AS message
@@ -340,4 +347,5 @@ ORACLE: dict[str, str] = {
       trees AS (SELECT event_type, doc, string_agg(path || item || jtype, '|' ORDER BY path, item, jtype) AS nodes FROM kinds GROUP BY ALL)
       SELECT event_type, count(DISTINCT nodes) AS n_sources FROM trees GROUP BY ALL""".replace(",\n      kinds", ", kinds", 1),
     "r1_stream_structures": _with(_SHIP_DOCS) + "SELECT event_type, path, optional, n_trees FROM structure",
+    "r1_stream_shapes": _with(_SHIP_DOCS) + "SELECT event_type, path, optional, n_trees FROM structure",
 }

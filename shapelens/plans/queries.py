@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shapelens.functions import messages as m
 from shapelens.functions.json_types import types_in
 from shapelens.functions.naming import rowkey_timestamp
-from shapelens.operators import drift, ledger, reports, views, warehouse
+from shapelens.operators import catalog, drift, ledger, reports, views, warehouse
 from shapelens.operators.avro import avro_paths
 from shapelens.operators.decode import classify_events, decode_messages, distinct_events, distinct_positions, split_broken, split_invalid
 from shapelens.operators.paths import event_structures, json_paths
@@ -21,7 +21,7 @@ from shapelens.plans import inputs
 from shapelens.plans.analysis import classify, learn_structures
 from shapelens.session import configure, shared_dir
 from shapelens.sources import landed, registry, topics
-from shapelens.streaming.structures import latest_structures, stream_structures
+from shapelens.streaming.structures import latest_structures, stream_shapes, stream_structures
 
 AS_OF = datetime(2024, 1, 31)
 
@@ -138,14 +138,13 @@ def s8_structure_registry(spark, sf_dir):
 
 @query
 def s9_create_views(spark, sf_dir):
-    """All types' views in all scopes, with the rows of each from one scan."""
+    """All types' views in the catalog in all scopes, the rows of each counted through it, and what a second run creates."""
     structure = learn_structures(inputs.messages(spark, sf_dir))
-    rows = inputs.landed_events(spark, sf_dir)
-    names, _ = views.create_all_views(spark, rows, structure, AS_OF)
-    counts = views.scope_counts(rows, list(names), list(landed.SCOPE_SECONDS), AS_OF)
-    listed = spark.createDataFrame(list(names.items()), "event_type string, view_name string")
-    suffix = F.when(F.col("scope") == "all", "").otherwise(F.concat(F.lit("_last_"), "scope"))
-    return counts.join(listed, "event_type").select(F.concat("view_name", suffix).alias("view_name"), "n_rows")
+    path, registry_path = _scratch(spark), _scratch(spark)
+    landed.write_landed_events(inputs.landed_events(spark, sf_dir), path)
+    catalog.sync_views(spark, f"parquet.`{path}`", structure, registry_path, "shapelens", AS_OF)
+    again, _ = catalog.sync_views(spark, f"parquet.`{path}`", structure, registry_path, "shapelens", AS_OF)
+    return catalog.count_catalog_views(spark, again, "shapelens").join(again.select("view_name", "status"), "view_name")
 
 
 @query
@@ -341,7 +340,7 @@ def p15_load_ledger(spark, sf_dir):
 
 @query
 def a1_distinct_events(spark, sf_dir):
-    return distinct_positions(inputs.dirty_messages(spark, sf_dir).where("value is not null")).select("topic", "partition", "offset")
+    return distinct_positions(inputs.dirty_messages(spark, sf_dir)).select("topic", "partition", "offset", "n_copies")
 
 
 @query
@@ -466,6 +465,18 @@ def a11_day_count(spark, sf_dir):
     return views.count_views(spark, names, "day")
 
 
+@query
+def a11_range_counts(spark, sf_dir):
+    """Every part as an event type, counted in two scopes: by the zone map, and in the files that a range cuts."""
+    lines = inputs.table(spark, sf_dir, "lineitem")
+    rowkey = F.concat(F.lit("PART"), F.col("l_partkey").cast("string"), F.lit("-"), F.unix_seconds(F.col("l_shipdate").cast("timestamp")).cast("string"),
+                      F.lit("-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    path = _scratch(spark)
+    landed.write_landed_events(lines.where("unix_seconds(cast(l_shipdate as timestamp)) >= 100000000").select(rowkey.alias("rowkey"), F.lit("{}").alias("json")), path)
+    types = inputs.table(spark, sf_dir, "part").select(F.concat(F.lit("part"), F.col("p_partkey").cast("string")).alias("event_type"))
+    return landed.range_counts(spark, path, types, ["all", "week"], datetime(1996, 6, 1))
+
+
 @query
 def a12_pivot_parameters(spark, sf_dir):
     customers = inputs.table(spark, sf_dir, "customer")
@@ -545,3 +556,15 @@ def r1_stream_structures(spark, sf_dir):
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/in")
     stream_structures(stream, f"{root}/registry", f"{root}/checkpoint", availableNow=True).awaitTermination()
     return latest_structures(spark, f"{root}/registry").select("event_type", "path", "optional", "n_trees")
+
+
+@query
+def r1_stream_shapes(spark, sf_dir):
+    """The same with counts as the stream's state, over a restart: half of the files come after the first run has ended."""
+    root = _scratch(spark)
+    rows = inputs.shipment_messages(spark, sf_dir)
+    for half in range(2):
+        rows.where(F.col("offset") % 2 == half).repartition(4, "offset").write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
+        stream_shapes(stream, f"{root}/registry", f"{root}/checkpoint", availableNow=True).awaitTermination()
+    return latest_structures(spark, f"{root}/registry").select("event_type", "path", "optional", "n_trees")
