@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shapelens.functions.naming import child_path
-from shapelens.session import sized
+from shapelens.session import sized, sized_with
 
 # Avro type names that need no definition, and those that introduce a name.
 PRIMITIVES = ["null", "boolean", "int", "long", "float", "double", "bytes", "string"]
@@ -47,24 +49,38 @@ def _full_name(name: Column, namespace: Column) -> Column:
     return F.when(name.contains(".") | (namespace == ""), name).otherwise(F.concat(namespace, F.lit("."), name))
 
 
+#: Levels of nesting that one pass over the open schemas looks into.
+LEVELS = 3
+
+
+def _inner(schema: Column) -> Column:
+    """The schemas right below a schema: types of fields, items, map values, branches, and a type in a wrapper."""
+    none = F.array().cast(_ARRAY)
+    fields = F.transform(F.try_variant_get(schema, "$.fields", _ARRAY), lambda f: _part(f, "type"))
+    parts = F.array(_part(schema, "items"), _part(schema, "values"), _part(schema, "type"))
+    below = F.when(_is(schema, "ARRAY<"), schema.try_cast(_ARRAY)).otherwise(F.concat(F.coalesce(fields, none), parts))
+    return F.filter(below, lambda s: _is(s, "OBJECT<") | _is(s, "ARRAY<"))
+
+
 def _definitions(schemas: DataFrame) -> DataFrame:
     """All named types of all schemas: `(schema_hash, full_name, definition, namespace)`."""
-    level, found = schemas, []
+    rows, found = schemas.withColumn("open", F.lit(True)), []
+    space = _namespace(F.col("schema"), F.col("namespace"))
+    itself = F.array(F.struct(F.col("schema").alias("schema"), F.col("namespace").alias("namespace"), F.lit(False).alias("open")))
+    below = F.transform(_inner(F.col("schema")), lambda s: F.struct(s.alias("schema"), space.alias("namespace"), F.lit(True).alias("open")))
     while True:  # ends: a text is nested finitely
-        level = level.withColumn("namespace", _namespace(F.col("schema"), F.col("namespace")))
-        named = level.where(_is(F.col("schema"), "OBJECT<") & _text(F.col("schema"), "type").isin(*NAMED))
-        found.append(named.select(
-            "schema_hash", _full_name(_text(F.col("schema"), "name"), F.col("namespace")).alias("full_name"),
-            F.col("schema").alias("definition"), F.col("namespace").alias("defined_in")))
-        inner = F.coalesce(F.map_values(F.col("schema").try_cast(_OBJECT)), F.col("schema").try_cast(_ARRAY))
-        level = sized(level.select("schema_hash", "namespace", F.explode(inner).alias("schema"))
-                      .where(_is(F.col("schema"), "OBJECT<") | _is(F.col("schema"), "ARRAY<")))
-        if level.isEmpty():
+        for _ in range(LEVELS):
+            rows = rows.select("schema_hash", F.inline(F.when(F.col("open"), F.concat(itself, below)).otherwise(itself)))
+        rows, left = sized_with(rows, F.sum(F.col("open").cast("int")))
+        found.append(rows.where("not open"))
+        if not left:
             break
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return sized(out)
+        rows = rows.where("open")
+    named = reduce(DataFrame.unionByName, found).where(_is(F.col("schema"), "OBJECT<") & _text(F.col("schema"), "type").isin(*NAMED))
+    named = named.withColumn("namespace", _namespace(F.col("schema"), F.col("namespace")))
+    return sized(named.select(
+        "schema_hash", _full_name(_text(F.col("schema"), "name"), F.col("namespace")).alias("full_name"),
+        F.col("schema").alias("definition"), F.col("namespace").alias("defined_in")))
 
 
 #: Stands for the name of a schema's own record.
@@ -116,14 +132,12 @@ def tree_paths(registry: DataFrame) -> DataFrame:
     pending = start.select("schema_hash", F.lit("").alias("path"), "schema", "namespace", F.lit("root").alias("place"), F.array().cast("array<string>").alias("open"))
     facts = [pending.select("schema_hash", "path", F.lit("ROOT").alias("fact"), F.lit("").alias("value"))]
     while True:  # ends: a name is entered once on a path
-        facts_now, pending = _expand(sized(_resolve(pending, definitions)))
-        pending = sized(pending)
-        facts.append(facts_now)
-        if pending.isEmpty():
+        level, below = sized_with(_expand(_resolve(pending, definitions)), F.sum(F.size("below")))
+        facts.append(level.select("schema_hash", "path", F.inline("facts")))
+        if not below:
             break
-    rows = facts[0]
-    for more in facts[1:]:
-        rows = rows.unionByName(more)
+        pending = level.select("schema_hash", "namespace", "open", F.inline("below"))
+    rows = reduce(DataFrame.unionByName, facts)
 
     def values(fact: str, name: str) -> Column:
         return F.array_sort(F.collect_set(F.when(F.col("fact") == fact, F.col("value")))).alias(name)
@@ -153,8 +167,8 @@ def _resolve(pending: DataFrame, definitions: DataFrame) -> DataFrame:
         "own", F.when(F.col("type") == "record", _full_name(_text(schema, "name"), F.col("namespace"))))
 
 
-def _expand(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Facts about the node a schema stands for, and the schemas below it."""
+def _expand(rows: DataFrame) -> DataFrame:
+    """`facts` about the node a schema stands for, and the schemas `below` it."""
     schema, kind, place = F.col("schema"), F.col("type"), F.col("place")
     upper = F.upper(kind)
     fact = F.when(place == "field", "TYPE").when(place == "union", "UNION").when(place == "item", "ITEM")
@@ -174,7 +188,7 @@ def _expand(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.array(F.upper(_type_name(map_values))), F.transform(branches, lambda b: F.upper(_type_name(b))))))).otherwise(none)
     again = F.coalesce(F.array_contains("open", F.col("own")), F.lit(False))
     recursive = F.when(again, entries(F.lit("RECURSIVE"), F.array("own"))).otherwise(none)
-    facts = rows.select("schema_hash", "path", F.inline(F.concat(own, symbols, item_name, map_types, recursive)))
+    facts = F.concat(own, symbols, item_name, map_types, recursive).alias("facts")
 
     below = "array<struct<path:string,schema:variant,place:string>>"
     nothing = F.array().cast(below)
@@ -189,7 +203,7 @@ def _expand(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(place == "field", "item").otherwise("nested").alias("place")))
     following = F.when(again, nothing).when(kind == "record", fields).when(kind == "union", union).when(kind == "array", item).otherwise(nothing)
     opened = F.when(F.col("own").isNotNull(), F.array_append("open", F.col("own"))).otherwise(F.col("open")).alias("open")
-    return facts, rows.select("schema_hash", "namespace", opened, F.inline(following))
+    return rows.select("schema_hash", "path", "namespace", opened, facts, F.coalesce(following, nothing).alias("below"))
 
 
 def avro_structures(paths: DataFrame, used: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _ROOTS: dict[str, str] = {}
 #: Tables written inside `intermediates`, for each thread by itself: a stream's batch runs beside other queries.
@@ -80,6 +80,13 @@ def sized(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized_with(df: DataFrame, total: Column) -> tuple[DataFrame, int]:
+    """`sized`, and the value of an aggregate over the rows, taken while they are written; for loops that end on it."""
+    seen = Observation()
+    table = sized(df.observe(seen, total.alias("total")))
+    return table, int(seen.get["total"] or 0)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst's own estimate of a result is below the session's broadcast threshold."""
     spark = df.sparkSession
