@@ -157,11 +157,12 @@ def distinct_positions(events: DataFrame, by: list[str] | None = None) -> DataFr
     return alone.unionByName(groups.select(*kept, F.col("_first.topic").alias("topic"), "_first.position.partition", "_first.position.offset", "n_copies"))
 
 
-def distinct_events(events: DataFrame, by: list[str] | None = None) -> DataFrame:
+def distinct_events(events: DataFrame, by: list[str] | None = None, digest: str | None = None) -> DataFrame:
     """The first copies with all their columns. Where positions are enough, take `distinct_positions`: this one has to
-    bring whole rows together with the groups that have copies, once these are more than a broadcast holds."""
+    bring whole rows together with the groups that have copies, once these are more than a broadcast holds. `digest` names
+    a column that has the messages' digests already."""
     by = by or ["topic"]
-    keyed = events.withColumn("_digest", m.message_digest(F.col("value"))).withColumn("_place", F.struct(F.col("topic"), position().alias("position")))
+    keyed = events.withColumn("_digest", m.message_digest(F.col("value")) if digest is None else F.col(digest)).withColumn("_place", F.struct(F.col("topic"), position().alias("position")))
     groups = keyed.groupBy(*by, "_digest").agg(F.count("*").alias("_copies"), F.min("_place").alias("_first"))
     repeated = sized(groups.where("_copies > 1").drop("_copies"))
     joined = keyed.join(repeated, [*by, "_digest"], "left")

@@ -341,11 +341,39 @@ ORACLE: dict[str, str] = {
     "d3_change_log": _with(_DRIFT, _TOPICS, _TYPES) + """SELECT 'change' AS kind, 'event type ' || event_type AS subject,
         CASE WHEN status = 'new' THEN 'view is new' ELSE 'view changed' END AS message FROM drift WHERE status <> 'unchanged'
       UNION ALL SELECT 'warning', 'topic ' || topic, 'report shows inconsistencies' FROM topic_facts WHERE NOT is_consistent AND n_events > 0
-      UNION ALL SELECT 'warning', 'event type ' || event_type, 'report shows inconsistencies' FROM type_report WHERE NOT is_consistent""",
+      UNION ALL SELECT 'warning', 'event type ' || event_type, 'report shows inconsistencies' FROM type_report WHERE NOT is_consistent
+      UNION ALL SELECT 'warning', 'event type ' || event_type, 'not enough events: ' || n_events FROM type_report WHERE n_events < 2
+      UNION ALL SELECT 'warning', 'topic silent', 'no events received'
+      UNION ALL SELECT 'change', 'schema ' || md5(c_mktsegment), 'more than one schema for this hash' FROM customer GROUP BY c_mktsegment HAVING count(*) > 1""",
     "d4_structure_lineage": _with(_SHIP_DOCS) + """,
       kinds AS (SELECT DISTINCT event_type, doc, path, item, jtype FROM nodes),
       trees AS (SELECT event_type, doc, string_agg(path || item || jtype, '|' ORDER BY path, item, jtype) AS nodes FROM kinds GROUP BY ALL)
       SELECT event_type, count(DISTINCT nodes) AS n_sources FROM trees GROUP BY ALL""".replace(",\n      kinds", ", kinds", 1),
     "r1_stream_structures": _with(_SHIP_DOCS) + "SELECT event_type, path, optional, n_trees FROM structure",
     "r1_stream_shapes": _with(_SHIP_DOCS) + "SELECT event_type, path, optional, n_trees FROM structure",
+    "s11_schema_report": _with(_ACCOUNTS, _AVRO) + """,
+      carried AS (SELECT schema_hash, event_type, count(*) AS n FROM accounts WHERE avro AND registered AND event_ok GROUP BY ALL),
+      named AS (SELECT md5(""" + _SCHEMA_TEXT + """) AS schema_hash, 'Account' || c_custkey AS name FROM customer),
+      sizes AS (SELECT schema_hash, count(*) AS n_nodes FROM avro GROUP BY schema_hash)
+      SELECT schema_hash, name, 'shop.' || name AS full_name, '1' AS versions, string_agg(event_type, '|' ORDER BY event_type) AS event_types, sum(n)::BIGINT AS n_messages, n_nodes
+      FROM carried JOIN named USING (schema_hash) JOIN sizes USING (schema_hash) GROUP BY ALL""".replace(",\n      carried", ", carried", 1),
+    "s11_structure_report": _with(_SHIP_DOCS) + """,
+      kinds AS (SELECT DISTINCT event_type, doc, path, item, jtype FROM nodes),
+      trees AS (SELECT event_type, doc, string_agg(path || item || jtype, '|' ORDER BY path, item, jtype) AS tree, count(DISTINCT path) AS n_nodes FROM kinds GROUP BY ALL)
+      SELECT event_type, 'EVENT' AS source, count(*) AS n_events, any_value(n_nodes) AS n_nodes FROM trees GROUP BY event_type, tree
+      UNION ALL SELECT event_type, 'MERGE', max(n_trees), count(*) FROM structure GROUP BY event_type""".replace(",\n      kinds", ", kinds", 1),
+    "d4_lineage_over_runs": _with(_SHIP) + """, docs AS (SELECT row_number() OVER () AS doc, event_type, json, l_orderkey % 3 AS run FROM ship),""" + _NODES + """,
+      kinds AS (SELECT DISTINCT event_type, doc, path, item, jtype FROM nodes),
+      trees AS (SELECT event_type, doc, string_agg(path || item || jtype, '|' ORDER BY path, item, jtype) AS tree FROM kinds GROUP BY ALL),
+      firsts AS (SELECT t.event_type, t.tree, min(d.run) AS run FROM trees t JOIN docs d USING (doc) GROUP BY ALL)
+      SELECT event_type, 'EVENT' AS source, run, count(*) AS n_structures FROM firsts GROUP BY ALL""".replace(",\n      kinds", ", kinds", 1),
+    "s2_sample_by_offset_index": _with(_DIRTY) + """,
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY "partition", "offset") AS in_topic, row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS r FROM dirty),
+      parts AS (SELECT topic, "partition", count(*) AS taken FROM ranked WHERE r <= 100 GROUP BY ALL),
+      opened AS (SELECT topic, "partition", coalesce(sum(taken) OVER (PARTITION BY topic ORDER BY "partition"
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier FROM parts)
+      SELECT false AS per_partition, topic, "partition", "offset", md5(value) AS digest FROM ranked WHERE in_topic <= 100
+      UNION ALL SELECT true, topic, "partition", "offset", md5(value) FROM ranked JOIN opened USING (topic, "partition") WHERE r <= 100 AND earlier < 100""".replace(",\n      ranked", ", ranked", 1),
+    "s3_partitions_by_offset_index": _with(_DIRTY) + """SELECT topic, 8 AS n_partitions, 8 - count(DISTINCT "partition") AS n_empty, count(*) AS n_messages FROM dirty GROUP BY topic
+      UNION ALL SELECT 'silent', 8, 8, 0""",
 }

@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from shapelens.functions import messages as m
 from shapelens.functions.json_types import types_in
 from shapelens.functions.naming import rowkey_timestamp
-from shapelens.operators import catalog, drift, ledger, reports, views, warehouse
+from shapelens.operators import catalog, drift, ledger, lineage, reports, views, warehouse
 from shapelens.operators.avro import avro_paths
 from shapelens.operators.decode import classify_events, decode_messages, distinct_events, distinct_positions, split_broken, split_invalid
-from shapelens.operators.paths import event_structures, json_paths
-from shapelens.operators.structure import merge_structures, structure_lineage
+from shapelens.operators.paths import count_shapes, event_structures, json_paths, paths_of_shapes, structures_of_shapes
+from shapelens.operators.structure import from_registry, merge_structures, structure_lineage
 from shapelens.plans import inputs
 from shapelens.plans.analysis import classify, learn_structures
-from shapelens.session import configure, shared_dir
-from shapelens.sources import landed, registry, topics
+from shapelens.session import configure, shared_dir, sized
+from shapelens.sources import landed, offsets, registry, topics
 from shapelens.streaming.structures import latest_structures, stream_shapes, stream_structures
 
 AS_OF = datetime(2024, 1, 31)
@@ -154,6 +154,41 @@ def s11_write_reports(spark, sf_dir):
     return spark.read.parquet(f"{path}/topics").select("topic", "n_events", "n_invalid", "n_broken", "is_consistent")
 
 
+@query
+def s11_schema_report(spark, sf_dir):
+    """Every schema that account messages carry."""
+    found = lineage.schema_report(inputs.schema_registry(spark, sf_dir), _accounts(spark, sf_dir))
+    return found.select("schema_hash", "name", "full_name", _joined("versions"), _joined("event_types"), "n_messages", "n_nodes")
+
+
+@query
+def s11_structure_report(spark, sf_dir):
+    """Structures of shipments, of events and merged."""
+    events = classify_events(decode_messages(inputs.shipment_messages(spark, sf_dir)))
+    shapes = count_shapes(events, ["event_type"])
+    found = lineage.structure_report(structures_of_shapes(shapes), merge_structures(paths_of_shapes(shapes)))
+    return found.select("event_type", "source", "n_events", "n_nodes")
+
+
+@query
+def s2_sample_by_offset_index(spark, sf_dir):
+    """Samples of a message table that read the files of the index only, per topic and per partition."""
+    path = _scratch(spark)
+    offsets.write_messages(inputs.dirty_messages(spark, sf_dir), path)
+    return offsets.sample_messages(spark, path, 100).withColumn("per_partition", F.lit(False)).unionByName(
+        offsets.sample_messages(spark, path, 100, per_partition=True).withColumn("per_partition", F.lit(True))).select(
+        "per_partition", "topic", "partition", "offset", F.md5("value").alias("digest"))
+
+
+@query
+def s3_partitions_by_offset_index(spark, sf_dir):
+    """Partitions of each topic with the empty ones: eight are known of each, and of a topic without messages."""
+    path, rows = _scratch(spark), inputs.dirty_messages(spark, sf_dir)
+    known = rows.select("topic").distinct().unionByName(spark.createDataFrame([("silent",)], "topic string")).select("topic", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("partition"))
+    offsets.write_messages(rows, path, known)
+    return offsets.partition_counts(offsets.offsets(spark, path))
+
+
 # --- decoding ---------------------------------------------------------------------------------------------------
 
 @query
@@ -244,7 +279,7 @@ def p5_avro_paths(spark, sf_dir):
 
 @query
 def p6_flatten_untyped(spark, sf_dir):
-    view = views.flatten_untyped(inputs.landed_shipments(spark, sf_dir), _shipment_structure(spark, sf_dir), "shipment")
+    view = views.flatten_untyped(_landed_table(spark, inputs.landed_shipments(spark, sf_dir)), _shipment_structure(spark, sf_dir), "shipment")
     return view.select(
         "row_key", F.col("row_timestamp").cast("string").alias("row_timestamp"), F.col("id").cast("string").alias("id"),
         F.col("item_part").cast("bigint").alias("item_part"), F.col("item_supplier_id").cast("bigint").alias("item_supplier_id"),
@@ -254,7 +289,7 @@ def p6_flatten_untyped(spark, sf_dir):
 
 @query
 def p7_flatten_typed(spark, sf_dir):
-    view = views.flatten_typed(inputs.landed_shipments(spark, sf_dir), _shipment_structure(spark, sf_dir), "shipment")
+    view = views.flatten_typed(_landed_table(spark, inputs.landed_shipments(spark, sf_dir)), _shipment_structure(spark, sf_dir), "shipment")
     return view.select(
         "rowkey", "eventType", "id", "item_part", "item_supplier_id", "note", "price",
         F.col("timestamp").cast("string").alias("event_time"), F.array_join("codes", "|").alias("codes"),
@@ -271,18 +306,18 @@ def p8_cast_event_timestamp(spark, sf_dir):
 @query
 def p11_explode_arrays(spark, sf_dir):
     return views.explode_arrays(
-        inputs.landed_shipments(spark, sf_dir), _shipment_structure(spark, sf_dir), "shipment", "charges")
+        _landed_table(spark, inputs.landed_shipments(spark, sf_dir)), _shipment_structure(spark, sf_dir), "shipment", "charges")
 
 
 @query
 def p11_explode_scalar_arrays(spark, sf_dir):
     return views.explode_arrays(
-        inputs.landed_shipments(spark, sf_dir), _shipment_structure(spark, sf_dir), "return", "codes")
+        _landed_table(spark, inputs.landed_shipments(spark, sf_dir)), _shipment_structure(spark, sf_dir), "return", "codes")
 
 
 @query
 def p12_json_tuple_view(spark, sf_dir):
-    return views.json_tuple_view(inputs.landed_shipments(spark, sf_dir), _shipment_structure(spark, sf_dir), "return")
+    return views.json_tuple_view(_landed_table(spark, inputs.landed_shipments(spark, sf_dir)), _shipment_structure(spark, sf_dir), "return")
 
 
 @query
@@ -534,8 +569,13 @@ def d2_schema_conflicts(spark, sf_dir):
 
 @query
 def d3_change_log(spark, sf_dir):
+    """All five inputs: drift, both reports, what got too few events, and a registry with conflicts."""
     events = _dirty(spark, sf_dir)
-    return drift.change_log(_drift(spark, sf_dir), reports.topic_report(events), reports.event_type_report(events))
+    topics_seen, types = reports.topic_report(events), reports.event_type_report(events)
+    announced = spark.createDataFrame([("silent",), ("shop_0",)], "topic string")
+    customers = inputs.table(spark, sf_dir, "customer")
+    conflicts = registry.schema_conflicts(customers.select(F.md5("c_mktsegment").alias("schema_hash"), inputs.schema_text().alias("schema_json")))
+    return drift.change_log(_drift(spark, sf_dir), topics_seen, types, reports.too_few_events(types, topics_seen, announced), conflicts)
 
 
 @query
@@ -545,6 +585,21 @@ def d4_structure_lineage(spark, sf_dir):
     return structure_lineage(structures).groupBy("event_type").agg(F.count("*").alias("n_sources"))
 
 
+@query
+def d4_lineage_over_runs(spark, sf_dir):
+    """Three runs over a third of the line items each: what fed the structures of the last run, by the run that had it first."""
+    edges, before = None, None
+    for run in range(3):
+        messages = inputs.shipment_messages(spark, sf_dir).where(F.col("offset") % 3 == run)
+        shapes = count_shapes(classify_events(decode_messages(messages)), ["event_type"])
+        paths = paths_of_shapes(shapes)
+        merged = sized(merge_structures(*([paths] if before is None else [paths, from_registry(before)])))
+        new = lineage.lineage_edges(lineage.structure_report(structures_of_shapes(shapes), merged), run, before)
+        edges, before = new if edges is None else edges.unionByName(new), merged
+    last = lineage.merged_trees(before).select("event_type", F.col("structure_id").alias("merged_id"))
+    return lineage.lineage(edges).join(last, ["event_type", "merged_id"]).groupBy("event_type", "source", "run").agg(F.count("*").alias("n_structures"))
+
+
 # --- streaming --------------------------------------------------------------------------------------------------
 
 @query
