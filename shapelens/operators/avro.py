@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -68,9 +69,10 @@ def _definitions(schemas: DataFrame) -> DataFrame:
     space = _namespace(F.col("schema"), F.col("namespace"))
     itself = F.array(F.struct(F.col("schema").alias("schema"), F.col("namespace").alias("namespace"), F.lit(False).alias("open")))
     below = F.transform(_inner(F.col("schema")), lambda s: F.struct(s.alias("schema"), space.alias("namespace"), F.lit(True).alias("open")))
+    step = F.inline(F.when(F.col("open"), F.concat(itself, below)).otherwise(itself))
     while True:  # ends: a text is nested finitely
         for _ in range(LEVELS):
-            rows = rows.select("schema_hash", F.inline(F.when(F.col("open"), F.concat(itself, below)).otherwise(itself)))
+            rows = rows.select("schema_hash", step)
         rows, left = sized_with(rows, F.sum(F.col("open").cast("int")))
         found.append(rows.where("not open"))
         if not left:
@@ -131,8 +133,9 @@ def tree_paths(registry: DataFrame) -> DataFrame:
     definitions = _definitions(start)
     pending = start.select("schema_hash", F.lit("").alias("path"), "schema", "namespace", F.lit("root").alias("place"), F.array().cast("array<string>").alias("open"))
     facts = [pending.select("schema_hash", "path", F.lit("ROOT").alias("fact"), F.lit("").alias("value"))]
+    resolve, expand, total = _resolving(definitions), _expanding(), F.sum(F.size("below"))
     while True:  # ends: a name is entered once on a path
-        level, below = sized_with(_expand(_resolve(pending, definitions)), F.sum(F.size("below")))
+        level, below = sized_with(expand(resolve(pending)), total)
         facts.append(level.select("schema_hash", "path", F.inline("facts")))
         if not below:
             break
@@ -150,25 +153,33 @@ def tree_paths(registry: DataFrame) -> DataFrame:
     )
 
 
-def _resolve(pending: DataFrame, definitions: DataFrame) -> DataFrame:
-    """Unwrap `{"type": {...}}`, then put definitions in place of type names."""
+def _resolving(definitions: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A step that unwraps `{"type": {...}}`, then puts definitions in place of type names.
+
+    Steps are made once and applied at every level: their columns are the same there, and many to build.
+    """
     schema = F.col("schema")
     wrapped = _is(schema, "OBJECT<") & ~_is(_part(schema, "type"), "STRING")
-    rows = pending.withColumn("schema", F.when(wrapped, _part(schema, "type")).otherwise(schema))
+    unwrapped = F.when(wrapped, _part(schema, "type")).otherwise(schema)
     name = F.when(_is(schema, "STRING"), schema.try_cast("string")).when(
         _is(schema, "OBJECT<"), _text(schema, "type"))
     complex_types = [*NAMED, "array", "map"]
     reference = F.when(~name.isin(*PRIMITIVES, *complex_types), _full_name(name, F.col("namespace")))
-    rows = rows.withColumn("full_name", reference)
-    return rows.join(definitions, ["schema_hash", "full_name"], "left").select(
-        "schema_hash", "path", "place", "open",
-        F.coalesce("definition", "schema").alias("schema"), F.coalesce("defined_in", "namespace").alias("namespace"),
-    ).withColumn("namespace", _namespace(schema, F.col("namespace"))).withColumn("type", _type_name(schema)).withColumn(
-        "own", F.when(F.col("type") == "record", _full_name(_text(schema, "name"), F.col("namespace"))))
+    found = ["schema_hash", "path", "place", "open",
+             F.coalesce("definition", "schema").alias("schema"), F.coalesce("defined_in", "namespace").alias("namespace")]
+    namespace, kind = _namespace(schema, F.col("namespace")), _type_name(schema)
+    own = F.when(F.col("type") == "record", _full_name(_text(schema, "name"), F.col("namespace")))
+
+    def step(pending: DataFrame) -> DataFrame:
+        rows = pending.withColumn("schema", unwrapped).withColumn("full_name", reference)
+        rows = rows.join(definitions, ["schema_hash", "full_name"], "left").select(*found)
+        return rows.withColumn("namespace", namespace).withColumn("type", kind).withColumn("own", own)
+
+    return step
 
 
-def _expand(rows: DataFrame) -> DataFrame:
-    """`facts` about the node a schema stands for, and the schemas `below` it."""
+def _expanding() -> Callable[[DataFrame], DataFrame]:
+    """A step that gives `facts` about the node a schema stands for, and the schemas `below` it."""
     schema, kind, place = F.col("schema"), F.col("type"), F.col("place")
     upper = F.upper(kind)
     fact = F.when(place == "field", "TYPE").when(place == "union", "UNION").when(place == "item", "ITEM")
@@ -203,7 +214,8 @@ def _expand(rows: DataFrame) -> DataFrame:
         F.when(place == "field", "item").otherwise("nested").alias("place")))
     following = F.when(again, nothing).when(kind == "record", fields).when(kind == "union", union).when(kind == "array", item).otherwise(nothing)
     opened = F.when(F.col("own").isNotNull(), F.array_append("open", F.col("own"))).otherwise(F.col("open")).alias("open")
-    return rows.select("schema_hash", "path", "namespace", opened, facts, F.coalesce(following, nothing).alias("below"))
+    columns = ["schema_hash", "path", "namespace", opened, facts, F.coalesce(following, nothing).alias("below")]
+    return lambda rows: rows.select(*columns)
 
 
 def avro_structures(paths: DataFrame, used: DataFrame) -> DataFrame:
