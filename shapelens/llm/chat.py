@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TURNS = "array<struct<role string, text string>>"
+#: A text may be as long as a value of Spark can be; a record that is no JSON says so in a field that no record has.
+BAD = "\u0001"
+PARSING = {"maxStringLen": str((1 << 31) - 1), "columnNameOfCorruptRecord": BAD}
 START, END, ESCAPE = "<|im_start|>", "<|im_end|>", "\\"
 
 
@@ -29,9 +32,9 @@ class Layout:
 
     def turns(self, record: Column) -> Column:
         if self.list_field is None:
-            row = F.from_json(record, ", ".join(f"`{name}` string" for name, _ in self.parts))
-            return F.array(*[F.struct(F.lit(role).alias("role"), F.coalesce(row[name], F.lit("")).alias("text")) for name, role in self.parts])
-        row = F.from_json(record, f"`{self.list_field}` array<struct<`{self.role}` string, `{self.text}` string>>")
+            row = F.from_json(record, ", ".join(f"`{name}` string" for name in [*[n for n, _ in self.parts], BAD]), PARSING)
+            return F.when(row[BAD].isNull(), F.array(*[F.struct(F.lit(role).alias("role"), F.coalesce(row[name], F.lit("")).alias("text")) for name, role in self.parts]))
+        row = F.from_json(record, f"`{self.list_field}` array<struct<`{self.role}` string, `{self.text}` string>>, `{BAD}` string", PARSING)
 
         def turn(item: Column) -> Column:
             role = F.coalesce(item[self.role], F.lit(""))
@@ -39,7 +42,7 @@ class Layout:
                 role = F.when(item[self.role] == old, F.lit(new)).otherwise(role)
             return F.struct(role.alias("role"), F.coalesce(item[self.text], F.lit("")).alias("text"))
 
-        return F.transform(row[self.list_field], turn)
+        return F.when(row[BAD].isNull(), F.transform(row[self.list_field], turn))
 
 
 LAYOUTS = [
@@ -51,9 +54,22 @@ LAYOUTS = [
 ]
 
 
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+
+
+def skeleton(record: Column) -> Column:
+    """A JSON text with empty texts for all its texts, and one of each run of alike objects: as long as its layout is."""
+    marked = F.regexp_replace(record, rf"(?s)({_STRING}\s*+:)|{_STRING}", "$1\u0001")
+    empty = F.replace(F.replace(marked, F.lit(":\u0001"), F.lit(":")), F.lit("\u0001"), F.lit('""'))
+    return F.regexp_replace(empty, r"(\{[^{}\[\]]*+\})(?:\s*+,\s*+\1)++", "$1")
+
+
 def field_paths(record: Column) -> Column:
-    """Nested field paths of a JSON text: the schema Spark finds, sorted by name, without types; null if it is no JSON."""
-    shape = F.schema_of_variant(F.try_parse_json(record))
+    """Nested field paths of a JSON text: the schema Spark finds, sorted by name, without types; null if it is no JSON.
+
+    Only the skeleton is parsed, so the length of texts and of the whole record does not matter.
+    """
+    shape = F.schema_of_variant(F.try_parse_json(skeleton(record)))
     for pattern, to in ((r": (STRING|VOID|BIGINT|BOOLEAN|DOUBLE|FLOAT|DATE|TIMESTAMP(_NTZ)?|BINARY|UUID|VARIANT|DECIMAL\(\d+,\d+\))", ""), (r"OBJECT<", "{"), (r"ARRAY<", "["), (r" ", "")):
         shape = F.regexp_replace(shape, pattern, to)
     # Closing brackets follow from the opening ones; only objects and lists of objects have a name for each level.
@@ -87,7 +103,7 @@ def format_chats(records: DataFrame, keep: list[str], record: str = "record", la
     Null texts and roles are empty; records that are null, no JSON, or of an unknown layout keep their fingerprint,
     with null layout, formatted and loss_runs; a list without turns gives an empty text; repeated records are
     formatted one by one; an empty table gives an empty table; columns called like results clash only if kept.
-    Spark's limit for a parsed record (its variant size limit) is the limit for one conversation.
+    One conversation is one value, for which Spark's limit is 2 GB; beyond it a job fails and loses nothing silently.
     """
     names = [f"k{i}" for i in range(len(keep))]
     rows = records.select(*[F.col(k).alias(n) for n, k in zip(names, keep, strict=True)], F.col(record).alias("record"))
@@ -107,7 +123,7 @@ def format_chats(records: DataFrame, keep: list[str], record: str = "record", la
             F.struct(F.when(trained, F.length(head)).otherwise(0).alias("start"), F.when(trained, F.length(body)).otherwise(0).alias("length")).alias("run"))
 
     return (
-        rows.withColumn("layout", layout).withColumn("pieces", F.transform(turns, piece))
+        rows.withColumn("turns", turns).withColumn("layout", F.when(F.col("turns").isNotNull(), layout)).withColumn("pieces", F.transform("turns", piece))
         .select(*[F.col(n).alias(k) for n, k in zip(names, keep, strict=True)], "fingerprint", "layout",
                 F.array_join(F.col("pieces.text"), "").alias("formatted"), F.col("pieces.run").alias("loss_runs"))
     )
@@ -140,7 +156,7 @@ def records_of(conversations: DataFrame) -> DataFrame:
     """conv_id and record: the rows of each conversation, by turn, as a JSON text of the layout that its roles suggest.
 
     A user and an assistant turn become prompt and response, with a system turn before them system, instruction and
-    output; odd ids of known roles the exchange layout, everything else messages.
+    output; odd ids of known roles the exchange layout, everything else messages. Rows without an id are one conversation.
     """
     text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
     grouped = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(F.col("turn"), role.alias("role"), text.alias("text")))).alias("turns"))
@@ -164,8 +180,8 @@ def chat_report(conversations: DataFrame) -> DataFrame:
     """Format all conversations and one that holds control strings, and read the outputs back."""
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    control = conversations.sparkSession.createDataFrame(
-        [(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
+    control = conversations.sparkSession.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL).alias("text"))
     formatted = format_chats(records_of(rows.unionByName(control)), ["conv_id"])
     turns = F.transform(F.col("turns"), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return (

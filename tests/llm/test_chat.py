@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -42,7 +43,24 @@ def test_report_of_odd_rows(spark):
     assert [r.conv_id for r in chat.chat_report(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect()] == [-1]
 
 
-@pytest.mark.parametrize("word", ["Python", "Arrow", "Pandas"])
+def test_very_long_texts(spark):
+    """Beyond the 20,000,000 characters and 128 MiB that Spark's JSON parser and variants take: every turn is kept."""
+    n = 20_000_001
+    rows = spark.range(7).selectExpr("cast(if(id < 5, null, 1) as long) as conv_id", "id as turn", "if(id % 2 = 0, 'assistant', 'user') as role",
+                                     f"repeat(if(id % 2 = 0, 'a', '\"'), {n}) as text")
+    got = {r.conv_id: r for r in chat.chat_report(rows).collect()}
+    assert (got[None].n_turns, got[None].loss_chars) == (5, 3 * n) and (got[1].n_turns, got[1].loss_chars) == (2, n)
+    assert got[1].loss_sha256 == hashlib.sha256(b"a" * n).hexdigest()
+    assert got[1].turns_sha256 == hashlib.sha256(b"user\n" + b'"' * n + b"\nassistant\n" + b"a" * n + b"\n").hexdigest()
+
+
+def test_records_that_only_look_like_json(spark):
+    rows = [(1, '{"prompt": "a\\x", "response": "b"}'), (2, '{"prompt": "a", "response": }'), (3, '{"prompt": "a", "response": "b"'), (4, '{"prompt":{},"response":"{},{}"}')]
+    got = {r.id: r for r in chat.format_chats(spark.createDataFrame(rows, "id int, record string"), ["id"]).collect()}
+    assert all(got[i].layout is None and got[i].formatted is None for i in (1, 2))
+
+
+@pytest.mark.parametrize("word", ["Python", "Arrow", "Pandas", "RDD"])
 def test_native(spark, sf_dir, word):
     plan = chat.chat_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))._jdf.queryExecution().optimizedPlan().toString()
     assert word not in plan
