@@ -45,3 +45,18 @@ def test_a_url_in_the_query_of_a_host_without_path(spark):
     assert len(got) == len(given)
     for r in got:
         assert (r.host, r.path, r.rule, r.verdict) == brute(given[r.page_id], RULES), given[r.page_id][:80]
+
+
+def test_statement_on_urls_inside_urls(spark):
+    """The DuckDB statement and the operator, on URLs that the test tables do not have."""
+    import duckdb
+    import pandas as pd
+
+    from shapelens.llm.oracle import ORACLE
+
+    given = ["http://a.com?u=http://b.com/de/1", "http://a.com#http://b.com/de/1", "http://?http://b.com/de/1", "http://a.com/?u=http://b.com/de/1", "://a.com?://b/de/",
+             ":://a.com/de/", "http://com/de/x?y#z", "none", None, "http://", "http://A.B.ORG/x\ny", "x://y://example.org/es/", "http://example.org/en/17"]
+    pages = pd.DataFrame({"page_id": range(len(given)), "url": given})  # noqa: F841  DuckDB reads it by name
+    want = {r[0]: r[1:] for r in duckdb.sql(f"SELECT page_id, host, path, rule, verdict FROM ({ORACLE['op6_url_rules']})").fetchall()}
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.url_report(spark.createDataFrame(list(enumerate(given)), "page_id long, url string")).collect()}
+    assert got == want
