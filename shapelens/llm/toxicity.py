@@ -1,15 +1,18 @@
 """Toxicity by maximum-scoring segments of token log-odds, calibrated by extreme-value statistics.
 
-A token's score is its log-odds between toxic and other labelled documents under a Dirichlet prior. All maximal
-segments of a text come from one linear scan (Ruzzo and Tompa). A segment of score S in n tokens is expected K n
-exp(-lambda S) times in text of other documents (Karlin and Altschul); what the significant segments of a document
-exceed this by is summed and turned into a probability by a logistic curve.
+Every token has a score: its log-odds between toxic and other labelled documents under a Dirichlet prior, less a cost
+that makes an average token score below zero. All maximal segments of a text come from one linear scan (Ruzzo and
+Tompa). Among other documents the best segment of n tokens exceeds S with probability 1 - exp(-K n exp(-lambda S))
+(Karlin and Altschul); lambda and K are fitted by maximum likelihood to the best segments of other documents that the
+scores were not learnt from. What the significant segments of a document exceed log(K n) by is summed and turned into
+a probability by a logistic curve.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,66 +24,75 @@ from pyspark.sql import types as T
 from shapelens.llm.texts import packed, part_of, slices, words_of
 from shapelens.session import sized
 
-#: Labelled documents that are learnt from at most: those of the lowest hash. More would not change the word list.
+#: Labelled documents that are learnt from at most, half of them toxic if there are as many: those of the lowest hash.
 SAMPLE = 20_000
-#: Bytes of a word that stand for its family, so that rare forms of a toxic word count.
+#: First code points of a word that stand for its family.
 PREFIX = 4
+#: Documents that the Dirichlet prior adds to those that hold a token, shared out as in its family, and to those that hold
+#: a family, shared out as toxic and other documents are.
+PRIOR = 10.0
+#: What each token costs.
+COST = 0.5
+
+
+def family_of(word: bytes) -> bytes | None:
+    """The first code points of a word that has as many."""
+    if len(word) < PREFIX:
+        return None
+    start = word.decode("utf-8", "surrogatepass")[:PREFIX]
+    return start.encode("utf-8", "surrogatepass") if len(start) == PREFIX else None
 
 
 @dataclass
 class Model:
     words: dict[bytes, float] = field(default_factory=dict)
     families: dict[bytes, float] = field(default_factory=dict)
-    gap: float = 0.1
+    cost: float = COST
     rate: float = 1.0      # lambda
     spread: float = 1.0    # K
     curve: tuple[float, ...] = (0.0, 0.0, 0.0)
 
-    def scores(self, words: list[bytes]) -> list[tuple[int, float]]:
-        """Position and score of the tokens that speak for toxicity; all others score -gap."""
-        get, family, out = self.words.get, self.families.get, []
-        for i, word in enumerate(words):
-            score = get(word)
-            if score is None:
-                score = family(word[:PREFIX])
-            if score:
-                out.append((i, score))
-        return out
+    def scores(self, words: list[bytes]) -> np.ndarray:
+        """Score of every token: its own, its family's where it was not seen in two documents, or zero; less the cost."""
+        get, family = self.words.get, self.families.get
+        odds = (family(family_of(word), 0.0) if (score := get(word)) is None else score for word in words)
+        return np.fromiter(odds, float, len(words)) - self.cost
 
 
-def segments(positive: list[tuple[int, float]], gap: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first token, end, score), where tokens that are not listed score -gap.
+def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments (first token, end, score) of tokens with these scores.
 
     Ruzzo and Tompa: a list of disjoint candidates, each with the sum before and after it; a new one is joined with
     the nearest candidate that starts lower, if it ends higher than that one.
     """
     out: list[tuple[int, int, float, float]] = []
-    total, last = 0.0, 0
-    for at, score in positive:
-        total -= gap * (at - last)
-        start, end, low, high = at, at + 1, total, total + score
+    sums = np.cumsum(scores)
+    positive = np.flatnonzero(scores > 0)
+    for at, score, high in zip(positive.tolist(), scores[positive].tolist(), sums[positive].tolist(), strict=True):
+        start, end, low = at, at + 1, high - score
         while True:
             k = len(out) - 1
-            skipped = []
             while k >= 0 and out[k][2] >= low:
-                skipped.append(k)
                 k -= 1
             if k < 0 or out[k][3] >= high:
                 break
             start, low = out[k][0], out[k][2]
             del out[k:]
         out.append((start, end, low, high))
-        total, last = high, at + 1
     return [(s, e, high - low) for s, e, low, high in out]
 
 
+def best_segment(model: Model, words: list[bytes]) -> tuple[float, int]:
+    """Score of the best segment (zero if there is none) and the number of tokens."""
+    return max((score for _, _, score in segments(model.scores(words))), default=0.0), len(words)
+
+
 def evidence(model: Model, words: list[bytes]) -> tuple[float, int, list[tuple[int, int, float]]]:
     """Summed excess of the significant segments, their number, and the segments with their excess."""
-    hits = model.scores(words)
-    if not hits:
+    if not words:
         return 0.0, 0, []
     chance = math.log(max(model.spread * len(words), 1e-9))
-    passages = [(s, e, model.rate * score - chance) for s, e, score in segments(hits, model.gap)]
+    passages = [(s, e, model.rate * score - chance) for s, e, score in segments(model.scores(words))]
     passages = [p for p in passages if p[2] > 0]
     return sum(p[2] for p in passages), len(passages), passages
 
@@ -90,64 +102,51 @@ def probability(model: Model, total: float, n: int) -> float:
     return 1 / (1 + math.exp(-max(-40.0, min(40.0, a + b * math.log1p(total) + c * math.log1p(n)))))
 
 
-def _significant(counts: dict[bytes, tuple[float, float]], n1: float, n0: float, least: float) -> dict[bytes, float]:
-    """Log-odds of tokens by documents that hold them, with half a document per class as prior.
-
-    Only tokens stay whose share of toxic documents would arise by chance in less than about one of all tokens seen:
-    y KL(y1 / y || share of toxic documents) bounds the binomial tail.
-    """
-    out, share, unlikely = {}, n1 / (n1 + n0), math.log(max(len(counts), 1)) + 2
-    for token, (y1, y0) in counts.items():
-        score = math.log((y1 + 0.5) / (n1 - y1 + 0.5)) - math.log((y0 + 0.5) / (n0 - y0 + 0.5))
-        if score >= least and y1 * math.log(y1 / (y1 + y0) / share) + (y0 and y0 * math.log(y0 / (y1 + y0) / (1 - share))) >= unlikely:
-            out[token] = min(score, 8.0)
-    return out
+def extreme_value_fit(best: np.ndarray, tokens: np.ndarray) -> tuple[float, float]:
+    """Lambda and K of largest likelihood for the best segments of documents of so many tokens."""
+    best, tokens = best[tokens > 0], tokens[tokens > 0].astype(float)
+    if len(best) < 2 or best.max() <= best.min():
+        return 1.0, 1.0
+    low, high, least = 1e-3, 50.0, best.min()
+    for _ in range(60):
+        rate = (low + high) / 2
+        weight = tokens * np.exp(-rate * (best - least))
+        low, high = (rate, high) if 1 / rate - best.mean() + (best * weight).sum() / weight.sum() > 0 else (low, rate)
+    return low, float(len(best) / (tokens * np.exp(-low * best)).sum())
 
 
 def _tables(rows: list, halves: tuple[int, ...]) -> Model:
-    """Word scores from the counts of some halves of the sample. rows: kind, token, label, half, n."""
+    """Scores from the counts of some halves of the sample. rows: kind, token, label, half, n."""
     n, by = Counter(), {"word": {}, "family": {}}
-    tokens = Counter()
     for kind, token, label, half, count in rows:
         if half in halves:
             if kind == "docs":
                 n[label] += count
-            elif kind == "tokens":
-                tokens[label] += count
             else:
-                pair = by[kind].setdefault(bytes(token), [0.0, 0.0])
-                pair[1 - label] += count
+                by[kind].setdefault(bytes(token), [0.0, 0.0])[label] += count
     model = Model()
     if n[1] and n[0]:
-        model.words = _significant(by["word"], n[1], n[0], 2.0)
-        model.families = _significant(by["family"], n[1], n[0], 5.0)
-        # lambda: the exponential moment of a token of other documents is 1. Half a count stands for unseen words.
-        seen = [(s, by["word"][w][1]) for w, s in model.words.items()]
-        total = max(tokens[0], 1)
-        positive = [(s, (y + 0.5 / max(1, len(seen))) / total) for s, y in seen] or [(4.0, 0.5 / total)]
-        rest = max(0.0, 1 - sum(p for _, p in positive))
-        low, high = 1e-3, 10.0
-        for _ in range(60):
-            mid = (low + high) / 2
-            moment = sum(p * math.exp(mid * s) for s, p in positive) + rest * math.exp(-mid * model.gap)
-            low, high = (mid, high) if moment < 1 else (low, mid)
-        model.rate = low
-        # K: the expected number of positive tokens per token, each at its own score, matches that of segments.
-        model.spread = sum(p * math.exp(low * s) for s, p in positive)
+        toxic = n[1] / (n[1] + n[0])
+
+        def odds(share: float) -> float:
+            return math.log(share / (1 - share)) - math.log(toxic / (1 - toxic))
+
+        shares = {f: (y1 + PRIOR * toxic) / (y0 + y1 + PRIOR) for f, (y0, y1) in by["family"].items()}
+        model.families = {f: odds(share) for f, share in shares.items()}
+        model.words = {w: odds((y1 + PRIOR * shares.get(family_of(w), toxic)) / (y0 + y1 + PRIOR)) for w, (y0, y1) in by["word"].items()}
     return model
 
 
 def _counts(sample: DataFrame) -> list:
-    """kind, token, label, half, number of documents; only tokens that some toxic documents hold."""
+    """kind, token, label, half, number of documents; tokens that a single document holds are left to their family."""
     def run(batches):
         seen: Counter = Counter()
         for part in slices(batches, "text", 4 << 20):
             for text, label, half in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "half")), strict=True):
-                words = words_of(text)
-                seen.update(("word", w, label, half) for w in set(words))
-                seen.update(("family", w, label, half) for w in {w[:PREFIX] for w in words if len(w) > PREFIX} | {w for w in words if len(w) == PREFIX})
+                words = set(words_of(text))
+                seen.update(("word", w, label, half) for w in words)
+                seen.update(("family", f, label, half) for f in {family_of(w) for w in words} if f)
                 seen["docs", b"", label, half] += 1
-                seen["tokens", b"", label, half] += len(words)
             if len(seen) > 400_000:
                 yield _batch(seen)
                 seen.clear()
@@ -163,52 +162,81 @@ def _counts(sample: DataFrame) -> list:
     counted = sample.mapInArrow(run, "kind string, token binary, toxic int, half int, n long")
     wide = counted.groupBy("kind", "token").agg(
         *[F.sum(F.when((F.col("toxic") == t) & (F.col("half") == h), F.col("n"))).alias(f"n{t}{h}") for t in (0, 1) for h in (0, 1)])
-    held = F.coalesce("n10", F.lit(0)) + F.coalesce("n11", F.lit(0))
-    rows = wide.where(F.col("kind").isin("docs", "tokens") | (held >= 3)).collect()
+    held = sum((F.coalesce(f"n{t}{h}", F.lit(0)) for t in (0, 1) for h in (0, 1)), F.lit(0))
+    rows = wide.where((F.col("kind") == "docs") | (held >= 2)).collect()
     return [(r["kind"], r["token"], t, h, r[f"n{t}{h}"]) for r in rows for t in (0, 1) for h in (0, 1) if r[f"n{t}{h}"]]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> tuple[float, ...]:
-    """Newton steps for a logistic curve with a small penalty on the slopes."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-2) -> tuple[float, ...]:
+    """Newton steps for a logistic curve of weighted rows with a small penalty on the slopes."""
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])
     ridge = np.diag([1e-6] + [penalty] * (x.shape[1] - 1))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weight * (y - p)) - ridge @ w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
     return tuple(float(v) for v in w)
 
 
+def _sample(docs: DataFrame, labels: DataFrame, id_column: str, text: str, part: tuple[int, int], most: int) -> tuple[DataFrame, dict[int, float]]:
+    """Texts, labels and halves of at most `most` labelled documents, and how many documents each one stands for by label.
+
+    Each label gets half of the sample, and what the other one leaves. Of rows with one id the least text counts.
+    """
+    labelled = sized(
+        labels.where(F.col("toxic").isNotNull() & F.col(id_column).isNotNull() & (part_of(F.col(id_column), *part) != part[1]))
+        .groupBy(F.col(id_column).alias("id")).agg((F.max("toxic") > 0).cast("int").alias("toxic")))
+    # Only documents that exist and only their ids: the texts come in once the sample is known.
+    there = sized(docs.select(F.col(id_column).alias("id")).join(labelled, "id").distinct().withColumn("order", F.xxhash64("id")))
+    size = {t: 0 for t in (0, 1)} | {r["toxic"]: r["count"] for r in there.groupBy("toxic").count().collect()}
+    share = {t: min(size[t], max(most // 2, most - size[1 - t])) for t in (0, 1)}
+    first = [there.where(F.col("toxic") == t).orderBy("order", "id").limit(share[t]) for t in (0, 1)]
+    chosen = sized(first[0].unionByName(first[1]))
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
+    rows = rows.groupBy("id", "toxic", "order").agg(F.min("text").alias("text"))
+    rows = sized(rows.select("text", "toxic", F.pmod(F.shiftright("order", 7), F.lit(2)).cast("int").alias("half")))
+    return rows, {t: size[t] / share[t] for t in (0, 1) if share[t]}
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", folds: int = 4, held_out: int = 2,
                  sample: int = SAMPLE) -> Model:
     """Learn from labelled documents outside of the held-out fold, at most `sample` of them.
 
-    Word scores and the curve come from different halves, so the curve is not fitted to what the words were chosen by.
+    Word scores come from one half, lambda, K and the curve from the other, and the other way round, so that nothing is
+    fitted to what the scores were learnt from; the curve gives each document the weight of those it stands for.
     Documents with several labels are toxic if one says so. Without a toxic or without another document the model
     gives every text the share of toxic ones.
     """
-    chosen = (
-        labels.where(F.col("toxic").isNotNull() & F.col(id_column).isNotNull() & (part_of(F.col(id_column), folds, held_out) != held_out))
-        .groupBy(F.col(id_column).alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
-        .withColumn("order", F.xxhash64("id")).orderBy("order", "id").limit(sample))
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).join(F.broadcast(sized(chosen)), "id")
-    rows = sized(rows.select("text", "toxic", F.pmod(F.shiftright("order", 7), F.lit(2)).cast("int").alias("half")))
+    rows, stands_for = _sample(docs, labels, id_column, text, (folds, held_out), sample)
     counts = _counts(rows)
     halves = [_tables(counts, (1,)), _tables(counts, (0,))]  # each half is scored by the other one
 
-    def run(batches):
-        for part in slices(batches, "text", 4 << 20):
-            got = [evidence(halves[h], words_of(t))[:2] for t, h in zip(part.column("text").to_pylist(), part.column("half").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.int32()), part.column("toxic")], names=["total", "n", "toxic"])
-
-    seen = rows.mapInArrow(run, "total double, n int, toxic int").toPandas()
+    def scored(measure: Callable[[Model, list[bytes]], tuple]):
+        """Two numbers of each document of the sample, by the model of the other half."""
+        def run(batches):
+            for part in slices(batches, "text", 4 << 20):
+                got = [measure(halves[h], words_of(t))[:2] for t, h in zip(part.column("text").to_pylist(), part.column("half").to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.int64()), part.column("toxic"), part.column("half")],
+                    names=["x", "n", "toxic", "half"])
+
+        return rows.mapInArrow(run, "x double, n long, toxic int, half int").toPandas()
+
+    best = scored(best_segment)
+    for half, learnt in enumerate(halves):
+        other = best[(best["half"] == half) & (best["toxic"] == 0)]
+        learnt.rate, learnt.spread = extreme_value_fit(other["x"].to_numpy(float), other["n"].to_numpy())
     model = _tables(counts, (0, 1))
+    model.rate = (halves[0].rate + halves[1].rate) / 2
+    model.spread = math.sqrt(halves[0].spread * halves[1].spread)
+    seen = scored(evidence)
     y = seen["toxic"].to_numpy(float)
+    weight = seen["toxic"].map(stands_for).to_numpy(float)
     if len(y) and 0 < y.mean() < 1:
-        model.curve = _logistic(np.log1p(seen[["total", "n"]].to_numpy(float)), y)
+        model.curve = _logistic(np.log1p(seen[["x", "n"]].to_numpy(float)), y, weight / weight.mean())
     else:
         share = float((y.sum() + 0.5) / (len(y) + 1))
         model.curve = (math.log(share / (1 - share)), 0.0, 0.0)

@@ -1,5 +1,8 @@
+import math
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from shapelens.llm import toxicity
@@ -27,14 +30,39 @@ def test_segments_equal_the_definition():
     rng = random.Random(2)
     for _ in range(300):
         n = rng.randint(0, 18)
-        positive = [(i, rng.choice([0.35, 1.27, 2.61, 0.83]) + rng.random() / 100) for i in range(n) if rng.random() < 0.4]
-        scores = [-0.501] * n
-        for i, s in positive:
-            scores[i] = s
-        got = [(s, e, round(x, 6)) for s, e, x in toxicity.segments(positive, 0.501)]
+        scores = [(rng.choice([0.35, 1.27, 2.61, 0.83]) if rng.random() < 0.4 else -rng.choice([0.501, 0.113, 1.7])) + rng.random() / 100 for _ in range(n)]
+        got = [(s, e, round(x, 6)) for s, e, x in toxicity.segments(np.array(scores))]
         assert got == [(s, e, round(x, 6)) for s, e, x in brute_segments(scores)]
 
 
+def test_every_token_has_its_log_odds_under_the_prior():
+    rows = [("docs", b"", 1, 0, 20), ("docs", b"", 0, 0, 80), ("word", b"awful", 1, 0, 9), ("word", b"awful", 0, 0, 1), ("family", b"awfu", 1, 0, 12),
+            ("family", b"awfu", 0, 0, 3), ("word", b"of", 1, 0, 10), ("word", b"of", 0, 0, 40), ("word", b"rare", 0, 0, 2), ("word", b"other", 1, 1, 50)]
+    model = toxicity._tables(rows, (0,))
+    odds = lambda share: math.log(share / (1 - share)) - math.log(0.2 / 0.8)
+    family = (12 + 10 * 0.2) / 25
+    assert model.words == pytest.approx({b"awful": odds((9 + 10 * family) / 20), b"of": 0.0, b"rare": odds(2 / 12)})
+    got = model.scores([b"awfully", b"of", b"nowhere", b"awful", "äöü".encode()])  # a family, itself, neither, itself, three code points
+    assert got == pytest.approx([odds(family) - toxicity.COST, -toxicity.COST, -toxicity.COST, model.words[b"awful"] - toxicity.COST, -toxicity.COST])
+
+
+def test_lambda_and_k_are_found_again():
+    rng = np.random.default_rng(4)
+    tokens = rng.integers(50, 2000, 20_000)
+    best = (np.log(0.03 * tokens) - np.log(rng.exponential(size=len(tokens)))) / 1.7  # the inverse of the distribution
+    rate, spread = toxicity.extreme_value_fit(best, tokens)
+    assert rate == pytest.approx(1.7, rel=0.02) and spread == pytest.approx(0.03, rel=0.1)
+    assert toxicity.extreme_value_fit(np.zeros(0), np.zeros(0)) == (1.0, 1.0)
+
+
+def test_sample_is_drawn_by_label(make, spark):
+    docs = make([(i, f"text {i}") for i in range(300)] + [(0, f"again {i}") for i in range(50)])
+    labels = docs.select("doc_id", (F.col("doc_id") % 30 == 0).cast("int").alias("toxic")).distinct()
+    rows, stands_for = toxicity._sample(docs, labels, "doc_id", "text", (4, 9), 40)
+    assert {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()} == {1: 10, 0: 30}
+    assert stands_for == {1: 1.0, 0: 290 / 30}
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
