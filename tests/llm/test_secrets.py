@@ -33,6 +33,30 @@ def test_novelty():
     assert find("auth " * 50_000 + random_string) == [random_string]
 
 
+def test_size_decides_on_both_sides():
+    find = lambda text: [text[s:e] for s, e, k in secret_scan.spans_of(text, secret_scan.Novelty()) if k == "novel"]
+    prose = "the rules are simple and every change is kept with the name of who made it, whatever others have written or read before. "
+    for secret in ("kTqxQwvLwbZrfNcYumBhpJdF", "4821067395518342".replace("8", "x"), "p7Kd9QzX2mVt4R"):  # letters only, with digits, 14 characters
+        assert find(f"{prose}{secret} is the credential {prose}") == [secret]
+        assert find(f"{prose} the credential is {secret} {prose}") == [secret]
+        assert find(f"{prose}{secret} is the value {prose}") == []
+        assert find(f"{secret} {prose} credential") == []  # too far away
+    for word in ("internationalization", "Datenschutzgrundverordnung", "authentication_required", "getUserAuthenticationStatus"):
+        assert find(f"{prose} the password {word} {prose}") == []
+
+
+def test_candidates_equal_plain_code():
+    rng = random.Random(5)
+    pieces = ["password", "Token", "auth", "pwd", "abcDEF0123456789", "zZ9_", " ", "\n", "x" * 14, "é", ".", " word " * 13]
+    for _ in range(2000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        words = [m.span() for m in secret_scan.SENSITIVE.finditer(text)]
+        inside = {i for s, e in words for i in range(s, e)}
+        runs = [m.span() for m in re.finditer("\x01+", "".join("\x01" if i not in inside and re.match("[A-Za-z0-9+/_=-]", c) else "\x02" for i, c in enumerate(text)))]
+        runs = [r for s, e in runs for r in [(s, e)] if e - s >= 14 and any(0 <= s - b <= 64 or 0 <= a - e <= 64 for a, b in words)]
+        assert [c for c in secret_scan.candidates(text)] == runs, text
+
+
 def test_odd_rows(odd, make):
     rows = secret_scan.secret_report(odd).collect()
     assert len(rows) == odd.count() and {r.spans for r in rows} == {""}
