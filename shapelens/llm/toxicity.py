@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,30 +116,34 @@ def extreme_value_fit(best: np.ndarray, tokens: np.ndarray) -> tuple[float, floa
     return low, float(len(best) / (tokens * np.exp(-low * best)).sum())
 
 
-def _tables(rows: list, halves: tuple[int, ...]) -> Model:
-    """Scores from the counts of some halves of the sample. rows: kind, token, label, half, n."""
-    n, by = Counter(), {"word": {}, "family": {}}
-    for kind, token, label, half, count in rows:
-        if half in halves:
-            if kind == "docs":
-                n[label] += count
-            else:
-                by[kind].setdefault(bytes(token), [0.0, 0.0])[label] += count
-    model = Model()
-    if n[1] and n[0]:
-        toxic = n[1] / (n[1] + n[0])
+def _tables(counts: pa.Table, halves: tuple[int, ...]) -> Model:
+    """Scores from the counts of some halves of the sample: kind, token, and n<label><half>, the documents that hold it."""
+    y0, y1 = (sum(pc.fill_null(counts[f"n{label}{half}"], 0).to_numpy().astype(float) for half in halves) for label in (0, 1))
 
-        def odds(share: float) -> float:
-            return math.log(share / (1 - share)) - math.log(toxic / (1 - toxic))
+    def of(kind: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        here = pc.equal(counts["kind"], kind).to_numpy() & (y0 + y1 > 0)
+        return counts["token"].filter(pa.array(here)).to_pylist(), y0[here], y1[here]
 
-        shares = {f: (y1 + PRIOR * toxic) / (y0 + y1 + PRIOR) for f, (y0, y1) in by["family"].items()}
-        model.families = {f: odds(share) for f, share in shares.items()}
-        model.words = {w: odds((y1 + PRIOR * shares.get(family_of(w), toxic)) / (y0 + y1 + PRIOR)) for w, (y0, y1) in by["word"].items()}
+    _, clean, bad = of("docs")
+    model = Model()
+    if clean.sum() and bad.sum():
+        toxic = bad.sum() / (bad.sum() + clean.sum())
+
+        def odds(share: np.ndarray) -> list[float]:
+            return (np.log(share / (1 - share)) - math.log(toxic / (1 - toxic))).tolist()
+
+        families, f0, f1 = of("family")
+        share = (f1 + PRIOR * toxic) / (f0 + f1 + PRIOR)
+        model.families = dict(zip(families, odds(share), strict=True))
+        of_family = dict(zip(families, share.tolist(), strict=True))
+        words, w0, w1 = of("word")
+        prior = np.fromiter((of_family.get(family_of(w), toxic) for w in words), float, len(words))
+        model.words = dict(zip(words, odds((w1 + PRIOR * prior) / (w0 + w1 + PRIOR)), strict=True))
     return model
 
 
-def _counts(sample: DataFrame) -> list:
-    """kind, token, label, half, number of documents; tokens that a single document holds are left to their family."""
+def _counts(sample: DataFrame) -> pa.Table:
+    """kind, token, and documents by label and half (n00 to n11); tokens that a single document holds are left to their family."""
     def run(batches):
         seen: Counter = Counter()
         for part in slices(batches, "text", 4 << 20):
@@ -163,8 +168,7 @@ def _counts(sample: DataFrame) -> list:
     wide = counted.groupBy("kind", "token").agg(
         *[F.sum(F.when((F.col("toxic") == t) & (F.col("half") == h), F.col("n"))).alias(f"n{t}{h}") for t in (0, 1) for h in (0, 1)])
     held = sum((F.coalesce(f"n{t}{h}", F.lit(0)) for t in (0, 1) for h in (0, 1)), F.lit(0))
-    rows = wide.where((F.col("kind") == "docs") | (held >= 2)).collect()
-    return [(r["kind"], r["token"], t, h, r[f"n{t}{h}"]) for r in rows for t in (0, 1) for h in (0, 1) if r[f"n{t}{h}"]]
+    return wide.where((F.col("kind") == "docs") | (held >= 2)).toArrow()
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-2) -> tuple[float, ...]:
@@ -223,7 +227,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
                     [pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.int64()), part.column("toxic"), part.column("half")],
                     names=["x", "n", "toxic", "half"])
 
-        return rows.mapInArrow(run, "x double, n long, toxic int, half int").toPandas()
+        return rows.mapInArrow(run, "x double, n long, toxic int, half int").toArrow().to_pandas()
 
     best = scored(best_segment)
     for half, learnt in enumerate(halves):

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,9 +37,10 @@ def test_segments_equal_the_definition():
 
 
 def test_every_token_has_its_log_odds_under_the_prior():
-    rows = [("docs", b"", 1, 0, 20), ("docs", b"", 0, 0, 80), ("word", b"awful", 1, 0, 9), ("word", b"awful", 0, 0, 1), ("family", b"awfu", 1, 0, 12),
-            ("family", b"awfu", 0, 0, 3), ("word", b"of", 1, 0, 10), ("word", b"of", 0, 0, 40), ("word", b"rare", 0, 0, 2), ("word", b"other", 1, 1, 50)]
-    model = toxicity._tables(rows, (0,))
+    # kind, token, other documents of both halves, toxic documents of both halves
+    rows = [("docs", b"", 80, 60, 20, 50), ("word", b"awful", 1, None, 9, None), ("family", b"awfu", 3, None, 12, None), ("word", b"of", 40, 7, 10, 9),
+            ("word", b"rare", 2, None, None, None), ("word", b"other", None, None, None, 50)]
+    model = toxicity._tables(pa.table(dict(zip(("kind", "token", "n00", "n01", "n10", "n11"), map(list, zip(*rows, strict=True)), strict=True))), (0,))
     odds = lambda share: math.log(share / (1 - share)) - math.log(0.2 / 0.8)
     family = (12 + 10 * 0.2) / 25
     assert model.words == pytest.approx({b"awful": odds((9 + 10 * family) / 20), b"of": 0.0, b"rare": odds(2 / 12)})
