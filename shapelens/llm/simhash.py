@@ -20,15 +20,18 @@ BITS, HALF = 64, 32
 TERM = 3
 #: Blocks a fingerprint is cut into. With a radius of r, two fingerprints agree in some BLOCKS - r blocks entirely.
 BLOCKS, RADIUS = 6, 3
+#: Fingerprints of a bucket that are compared as they are; larger buckets are cut once more by the bits outside of their key.
+BUCKET = 512
 SPACE = r"[\x20\x09-\x0D]+"
 
 
 def fingerprints(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """keys and `fingerprint` (long) of each text; keys tell rows apart.
+    """keys, `fingerprint` (long) and `copies` of each text; rows that all keys share are one, and copies is their number.
 
     A term is three words in a row, or all words of a shorter text. It weighs 1, and 1 more for each word of over
     three bytes, as short words are mostly grammar. A bit is set if the terms that set it weigh more than half.
-    Null texts and texts without words have fingerprint 0.
+    Null texts and texts without words have fingerprint 0. Rows of equal keys must have equal texts: votes of copies
+    grow alike, so that their number changes no bit.
     """
     words = F.split(F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SPACE, " ")), " ")
     # An outer generator: for an inner one the optimizer adds a filter that splits the text once more.
@@ -40,17 +43,17 @@ def fingerprints(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     long = [F.coalesce((F.octet_length(w) > 3).cast("long"), F.lit(0)) for w in near]
     # A text without words has one empty word, which weighs nothing.
     weight = F.when(F.col("word") == "", F.lit(0).cast("long")).otherwise(reduce(lambda a, b: a + b, long, F.lit(1).cast("long")))
-    terms = terms.select(*keys, F.xxhash64(*near).alias("hash"), weight.alias("weight"))
+    terms = terms.select(*keys, (F.col("i") == 0).alias("begins"), F.xxhash64(*near).alias("hash"), weight.alias("weight"))
     lanes = F.lit((1 << HALF) | 1)
     votes = terms.groupBy(*keys).agg(
-        F.sum("weight").alias("all"), *[F.sum(F.col("weight") * F.shiftright("hash", p).bitwiseAND(lanes)).alias(f"v{p}") for p in range(HALF)])
+        F.count_if("begins").alias("copies"), F.sum("weight").alias("all"), *[F.sum(F.col("weight") * F.shiftright("hash", p).bitwiseAND(lanes)).alias(f"v{p}") for p in range(HALF)])
 
     def bit(votes_for: Column, place: int) -> Column:
         return F.when(2 * votes_for > F.col("all"), F.lit((1 << place) if place < 63 else -(1 << 63))).otherwise(F.lit(0).cast("long"))
 
     low = [bit(F.col(f"v{p}").bitwiseAND(F.lit((1 << HALF) - 1)), p) for p in range(HALF)]
     high = [bit(F.shiftrightunsigned(f"v{p}", HALF), p + HALF) for p in range(HALF)]
-    return votes.select(*keys, reduce(lambda a, b: a.bitwiseOR(b), low + high).alias("fingerprint"))
+    return votes.select(*keys, reduce(lambda a, b: a.bitwiseOR(b), low + high).alias("fingerprint"), "copies")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -66,21 +69,45 @@ def block_masks(blocks: int = BLOCKS, radius: int = RADIUS) -> list[int]:
     return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
-def near_pairs(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def finer_masks(mask: int, pieces: int) -> list[int]:
+    """The bits outside of a mask, cut into as many pieces of consecutive bits, as signed 64-bit numbers."""
+    free = [b for b in range(BITS) if not mask >> b & 1]
+    cuts = [len(free) * i // pieces for i in range(pieces + 1)]
+    masks = [sum(1 << b for b in free[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]
+    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+
+
+def near_pairs(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, bucket: int = BUCKET) -> DataFrame:
     """left, right, distance: all pairs of distinct fingerprints (column `fingerprint`) at most `radius` bits apart, once each.
 
     Permuted block tables: each fingerprint stands in one table per choice of blocks, under the bits in these. Two
     that differ in few bits meet in at least one table, and are reported by the first in which they do. With 6 blocks
-    and radius 3 a key has about 32 bits, so a bucket stays small up to billions of fingerprints.
+    and radius 3 a key has about 32 bits, so a bucket stays small up to billions of fingerprints, but for texts made
+    from one template. Of buckets of more than `bucket` fingerprints the bits outside of the key are cut into
+    radius + 1 pieces: two that differ in `radius` of these bits agree in some piece entirely, so they meet in one
+    of as many smaller buckets, dealt to different tasks, and are reported by the first.
     """
-    masks = F.array(*[F.lit(m) for m in block_masks(blocks, radius)])
+    every = block_masks(blocks, radius)
+    finer = [finer_masks(m, radius + 1) for m in every]
     distinct = sized(prints.select("fingerprint").where(F.col("fingerprint").isNotNull()).distinct())
-    tables = distinct.select("fingerprint", F.posexplode(masks).alias("table", "mask")).withColumn("key", F.col("fingerprint").bitwiseAND(F.col("mask")))
-    a, b = tables.alias("a"), tables.alias("b")
+    tables = distinct.select("fingerprint", F.posexplode(F.array(*[F.lit(m) for m in every])).alias("table", "mask")).select(
+        "fingerprint", "table", F.col("fingerprint").bitwiseAND(F.col("mask")).alias("key"))
+    large = sized(tables.groupBy("table", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).select("table", "key", F.lit(True).alias("large")))
+    # A piece of -1 stands for a whole bucket.
+    pieces = F.array(*[F.array(*[F.lit(m) for m in masks]) for masks in finer])
+    whole = F.array(F.lit(0).cast("long"))
+    dealt = tables.join(large, ["table", "key"], "left").select(
+        "fingerprint", "table", "key", F.coalesce("large", F.lit(False)).alias("large"),
+        F.posexplode(F.when(F.col("large"), F.get(pieces, F.col("table"))).otherwise(whole)).alias("piece", "bits"))
+    dealt = dealt.withColumn("more", F.col("fingerprint").bitwiseAND(F.col("bits")))
+    a, b = dealt.alias("a"), dealt.alias("b")
     differ = F.col("a.fingerprint").bitwiseXOR(F.col("b.fingerprint"))
-    first = F.coalesce(*[F.when(differ.bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(block_masks(blocks, radius))])
-    met = a.join(b, (F.col("a.table") == F.col("b.table")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.fingerprint") < F.col("b.fingerprint"))
-                 & (F.bit_count(differ) <= radius) & (first == F.col("a.table")))
+    first = F.coalesce(*[F.when(differ.bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(every)])
+    agree = F.get(pieces, F.col("a.table"))
+    first_piece = F.coalesce(*[F.when(differ.bitwiseAND(F.get(agree, F.lit(i))) == 0, F.lit(i)) for i in range(radius + 1)])
+    met = a.join(b, (F.col("a.table") == F.col("b.table")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.piece") == F.col("b.piece")) & (F.col("a.more") == F.col("b.more"))
+                 & (F.col("a.fingerprint") < F.col("b.fingerprint")) & (F.bit_count(differ) <= radius) & (first == F.col("a.table"))
+                 & (~F.col("a.large") | (first_piece == F.col("a.piece"))))
     return met.select(F.col("a.fingerprint").alias("left"), F.col("b.fingerprint").alias("right"), F.bit_count(differ).alias("distance"))
 
 
@@ -105,7 +132,7 @@ def print_with_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "te
 
     The edited text has its last quarter replaced by as much of the start of the next document. Texts are shuffled
     once by id, and of each next text the needed start once more. Null texts are empty. Rows of one id are fingerprinted
-    one by one; the next document is then the one with the least text. A null id has no next document and is nobody's
+    by content, and each is returned; the next document is then the one with the least text. A null id has no next document and is nobody's
     next. An empty table gives an empty table; other columns are ignored.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -119,15 +146,17 @@ def print_with_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     )
     whole = texts.join(starts, texts["id"] == starts["to"], "left").select(
         "id", "text", F.concat(F.left("text", F.length("text") - quarter), F.left(F.coalesce("start", F.lit("")), quarter)).alias("edited"))
-    numbered = whole.withColumn("row", F.monotonically_increasing_id())
-    both = numbered.select(
-        "id", "row", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+    # Rows are known by their content, which is the same when a lost task runs again; equal rows are one with a number of copies.
+    keys = ["id", "row", "n_chars", "edited_sha256"]
+    both = whole.select(
+        "id", F.xxhash64("text").alias("row"), F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t"))
-    printed = fingerprints(both.select("id", "row", "n_chars", "edited_sha256", "t.which", "t.text"), ["id", "row", "n_chars", "edited_sha256", "which"], "text")
-    pairs = printed.groupBy("id", "row").agg(
-        F.first("n_chars").alias("n_chars"), F.first("edited_sha256").alias("edited_sha256"),
-        F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited"))
-    return pairs.join(next_.select("id", "next_id"), "id", "left").drop("row")
+    printed = fingerprints(both.select(*keys, "t.which", "t.text"), [*keys, "which"], "text")
+    pairs = printed.groupBy(*keys).agg(
+        F.max(F.when(F.col("which") == 0, F.col("fingerprint"))).alias("fingerprint"), F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited"),
+        F.max("copies").alias("copies"))
+    rows = pairs.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return rows.join(next_.select("id", "next_id"), "id", "left").drop("row", "copies", "copy")
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:

@@ -56,6 +56,30 @@ def test_block_tables_find_all_pairs(spark):
     assert got == want and len(want) > 100
 
 
+def test_large_buckets_lose_and_repeat_no_pair(spark):
+    import random
+
+    rng = random.Random(5)
+    base = rng.getrandbits(64)
+    values = {base}
+    for _ in range(400):  # as if made from one template: most stand in one bucket of some table
+        values.add(base ^ sum({1 << rng.randrange(64) for _ in range(rng.randrange(1, 4))}))
+    values |= {rng.getrandbits(64) for _ in range(50)}
+    prints = spark.createDataFrame([(v - SIGN if v >> 63 else v,) for v in values], "fingerprint long")
+    ordered = sorted(values)
+    want = {(a, b) for i, a in enumerate(ordered) for b in ordered[i + 1:] if (a ^ b).bit_count() <= 3}
+    for bucket in (0, 20, 10_000):
+        got = [tuple(sorted((r.left % SIGN, r.right % SIGN))) for r in simhash.near_pairs(prints, bucket=bucket).collect()]
+        assert len(got) == len(set(got)) and set(got) == want, bucket
+
+
+def test_rows_of_one_id(make):
+    docs = make([(1, "a b c d"), (1, "a b c d"), (1, "a b c d"), (1, "e f g h"), (2, "x y z"), (None, "q"), (None, "q")])
+    got = sorted((r.doc_id or 0, r.fingerprint, r.n_chars) for r in simhash.fingerprint_report(docs).collect())
+    print_of = lambda t: f"{brute(t):016x}"
+    assert got == sorted([(1, print_of("a b c d"), 7)] * 3 + [(1, print_of("e f g h"), 7), (2, print_of("x y z"), 5)] + [(0, print_of("q"), 1)] * 2)
+
+
 def test_odd_rows(odd, make):
     got = simhash.fingerprint_report(odd).collect()
     assert len(got) == odd.count()
