@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shapelens.llm.gru import Adam, Gru
@@ -21,7 +21,7 @@ from shapelens.llm.texts import part_of, slices
 from shapelens.session import sized
 
 STRETCH = 62
-#: Bounds of what is learnt from: documents of the lowest hash, and runs drawn from each.
+#: Bounds of what is learnt from: documents, of all languages alike, and runs drawn from each.
 SAMPLE_DOCS, SAMPLE_RUNS = 3000, 150
 SIZE, STEPS, BATCH = 16, 700, 256
 #: Runs whose labels a task remembers at most.
@@ -124,15 +124,30 @@ def train_tagger(runs: list[bytes], languages: list[str], steps: int = STEPS) ->
     return tagger
 
 
+def _sample(docs: DataFrame, id_column: str, text: str, lang: str, fold: tuple[int, int], most: int) -> DataFrame:
+    """order, lang, text of at most `most` documents.
+
+    Languages take turns, each by the hash of its ids, until all are used or the sample is full: a language with few
+    documents gives all of them, at whatever share of the table. Of rows with one id and language the least text counts.
+    Languages are counted first; then only ids whose hash is so low that about four times as many as can be used
+    remain are ranked.
+    """
+    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id_column).isNotNull() & (part_of(F.col(id_column), *fold) != fold[1]))
+    rows = known.select(F.col(id_column).alias("id"), F.col(lang).alias("lang"), F.xxhash64(id_column).alias("order"), F.col(text).alias("text"))
+    # Distinct ids, estimated: a repeated id counts once. The hash decides on whole ids, so rows of one id go together.
+    sizes = sized(rows.groupBy("lang").agg(F.approx_count_distinct("id", 0.02).alias("n")))
+    low = F.col("order").cast("double") / 2.0**64 + 0.5 < 4.0 * most / F.col("n")
+    ids = rows.select("id", "lang", "order").join(sizes, "lang").where(low).groupBy("lang", "id", "order").agg(F.lit(1).alias("one")).drop("one")
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("order", "id"))
+    chosen = sized(ids.withColumn("turn", turn).where(F.col("turn") <= most).orderBy("turn", "order", "id", "lang").limit(most))
+    found = rows.join(F.broadcast(chosen.select("id", "lang")), ["id", "lang"])  # at most `most` rows
+    return found.groupBy("id", "lang", "order").agg(F.min("text").alias("text")).select("order", "lang", "text")
+
+
 def fit_languages(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 5, held_out: int = 0,
                   sample: int = SAMPLE_DOCS) -> Tagger | None:
     """Learn from text and language of at most `sample` documents outside of the held-out fold; None without any."""
-    chosen = (
-        docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id_column).isNotNull() & (part_of(F.col(id_column), folds, held_out) != held_out))
-        .select(F.col(id_column).alias("id"), F.col(lang).alias("lang")).withColumn("order", F.xxhash64("id")).orderBy("order", "id", "lang").limit(sample))
-    rows = docs.select(F.col(id_column).alias("id"), F.col(lang).alias("l"), F.col(text).alias("text"))
-    chosen = F.broadcast(sized(chosen))
-    rows = rows.join(chosen, (rows["id"] == chosen["id"]) & (rows["l"] == chosen["lang"])).select("order", "lang", "text")
+    rows = _sample(docs, id_column, text, lang, (folds, held_out), sample)
 
     def draw(batches):
         for part in slices(batches, "text", 4 << 20):

@@ -55,6 +55,17 @@ def test_runs_are_computed_alone(make):
     assert b"".join(langid.runs_of("x" * 200)) == b"x" * 200
 
 
+def test_sample_takes_languages_in_turn(make):
+    rows = [(i, f"common {i}", "en") for i in range(400)] + [(400 + i, f"selten {i}", "de") for i in range(6)]
+    rows += [(1000, f"again {i}", "fr") for i in range(50)] + [(1001, None, "fr"), (None, "x", "fr")]
+    chosen = lambda most: langid._sample(make(rows), "doc_id", "text", "lang", (1, 5), most).collect()
+    some = chosen(30)
+    by = {x: sorted(r.text for r in some if r.lang == x) for x in ("en", "de", "fr")}
+    assert by["de"] == [f"selten {i}" for i in range(6)] and by["fr"] == ["again 0"] and len(by["en"]) == 23
+    assert sorted(r.text for r in chosen(30)) == sorted(r.text for r in some)
+    assert len(chosen(10_000)) == 407
+
+
 def test_odd_rows(odd, make):
     docs = odd.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "aa").otherwise(F.lit(None)))
     rows = {r.doc_id: r for r in langid.language_report(docs).collect()}
