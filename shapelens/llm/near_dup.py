@@ -33,12 +33,14 @@ DAMP = 0.1
 RAREST = 1000
 #: Documents added to the number of documents, so that in a few documents nothing counts as common.
 PRIOR = 200
-#: Bits of the bitmap of ids whose texts are looked at again.
+#: Bits of the bitmap of rows whose texts are looked at again.
 SLOTS_LOG2 = 23
 #: Nodes of a crowd are compared in blocks of so many.
 BLOCK = 256
 #: The nodes of one rare shingle are dealt over so many groups before these are connected.
 SALTS = 16
+#: In joins, rows of one value beyond so many are dealt over more tasks.
+SPREAD = 1000
 
 _LOW = np.uint64((1 << 44) - 1)
 _STEPS = [np.uint64(pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) | 1) for i in range(SHINGLE)]
@@ -181,8 +183,14 @@ def _content(found: Shingles, column: pa.Array) -> list[bytes | None]:
     return out
 
 
+def row_key(id_column: str, text: str) -> Column:
+    """16 bytes that rows of equal id and text share, and no others."""
+    named = F.coalesce(F.concat(F.lit("i"), F.col(id_column).cast("string")), F.lit("-"))
+    return F.unhex(F.md5(F.concat(named, F.lit(":"), F.coalesce(F.md5(F.col(text)), F.lit("-")))))
+
+
 def sketch(docs: DataFrame, frequencies: Frequencies, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, node (content; null for null texts) and samples (null without words)."""
+    """row (see `row_key`), id, node (content; null for null texts) and samples (null without words)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequencies)
 
     def run(batches):
@@ -193,11 +201,27 @@ def sketch(docs: DataFrame, frequencies: Frequencies, id_column: str = "doc_id",
             has = np.diff(found.starts) > 0
             rows = iter((sampler(found, shared.value.weights(found)) >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(_content(found, column), pa.binary()), pa.array([next(rows) if h else None for h in has], pa.list_(pa.int32()))],
-                names=["id", "node", "samples"])
+                [part.column("row"), part.column("id"), pa.array(_content(found, column), pa.binary()), pa.array([next(rows) if h else None for h in has], pa.list_(pa.int32()))],
+                names=["row", "id", "node", "samples"])
+
+    rows = docs.select(row_key(id_column, text).alias("row"), F.col(id_column).alias("id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"row binary, id {rows.schema['id'].dataType.simpleString()}, node binary, samples array<int>")
 
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, node binary, samples array<int>")
+
+def join_frequent(rows: DataFrame, few: DataFrame, column: str, how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
+    """`rows` joined with `few`, which has one row per value of the column.
+
+    Values that many rows have are counted first, unless `counts` has the value and `n`; their rows are dealt over as many tasks as they need, and their row
+    of `few` goes to each. Rows are dealt by content, so a task that runs again deals them alike.
+    """
+    counts = rows.groupBy(column).agg(F.count("*").alias("n")) if counts is None else counts
+    frequent = sized(counts.where(F.col("n") > SPREAD).select(column, F.floor(F.col("n") / SPREAD).cast("int").alias("_more")))
+    if frequent.isEmpty():
+        return rows.join(few, column, how)
+    more = F.coalesce("_more", F.lit(0))
+    salted = rows.join(frequent, column, "left").withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), more + 1).cast("int")).drop("_more")
+    copied = few.join(frequent, column, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), more))).drop("_more")
+    return salted.join(copied, [column, "_salt"], how).drop("_salt")
 
 
 def bands() -> Column:
@@ -236,65 +260,80 @@ def components(edges: DataFrame) -> DataFrame:
     around = sized(edges.select("a", "b").union(edges.select("b", "a")).distinct().toDF("node", "other"))
     labels = sized(around.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("label")))
     while True:
-        seen = around.join(labels.select(F.col("node").alias("other"), F.col("label").alias("offer")), "other").groupBy("node").agg(F.min("offer").alias("offer"))
-        lower = labels.join(seen, "node").select("node", F.col("label").alias("old"), F.least("label", "offer").alias("label"))
+        seen = join_frequent(around, labels.select(F.col("node").alias("other"), F.col("label").alias("offer")), "other").groupBy("node").agg(F.min("offer").alias("offer"))
+        lower = sized(labels.join(seen, "node").select("node", F.col("label").alias("old"), F.least("label", "offer").alias("label")))
         jump = lower.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        after = sized(lower.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")))
+        after = sized(join_frequent(lower, jump, "label", "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")))
         labels = after.select("node", "label")
         if after.where(F.col("old") != F.col("label")).isEmpty():
             return labels
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """id, class_id: documents with non-null id, and the least id of their class.
+@dataclass
+class Classes:
+    """rows: row, id, node and n, how often it stands in the table; nodes: node, label; names: label, least (of the class: unnamed, id, row)."""
+
+    rows: DataFrame
+    nodes: DataFrame
+    names: DataFrame
 
-    A class is what links of at least `least` weighted Jaccard similarity connect. Each band's bucket is first
-    compared with one node only, which settles groups of copies without building their pairs. What buckets connect
-    but links do not is parted by what similar texts must share and then compared in full, in blocks that emit links
-    only. This is one way for crowds of any size.
 
-    Texts without words are alike only if equal; a null text is alone. Rows without id are left out; rows of one id
-    are in the class of the least class id among them. Empty tables give empty tables; other columns are ignored.
+def classify(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> Classes:
+    """Classes of documents: what links of at least `least` weighted Jaccard similarity connect.
+
+    Each band's bucket is first compared with one node only, which settles groups of copies without building their
+    pairs. What buckets connect but links do not is parted by what similar texts must share and then compared in full,
+    in blocks that emit links only. This is one way for crowds of any size.
     """
-    named = docs.where(F.col(id_column).isNotNull())
-    frequencies = count_shingles(named, text)
-    rows = sized(sketch(named, frequencies, id_column, text))
-    nodes = sized(rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("id"), F.first("samples").alias("samples")))
+    frequencies = count_shingles(docs, text)
+    rows = sized(sketch(docs, frequencies, id_column, text))
+    known = sized(rows.groupBy("row", "id", "node").agg(F.count("*").alias("n")))
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("least")
+    nodes = sized(rows.where(F.col("node").isNotNull()).groupBy("node").agg(first, F.first("samples").alias("samples")))
 
     keys = nodes.where(F.col("samples").isNotNull()).select("node", F.posexplode(bands()).alias("band", "key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = sized(keys.join(shared, "key").select("key", "band", "node", "n"))
+    shared = sized(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    members = sized(join_frequent(keys, shared, "key", counts=shared).select("key", "band", "node", "n"))
     # What copies were made from is in the largest bucket of every band, so it is the likeliest to be near all of them.
     central = sized(members.groupBy("node").agg(F.sum("n").alias("company")))
-    heads = members.join(central, "node").groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("head"))
-    members = sized(members.join(heads, "key"))
+    heads = sized(members.join(central, "node").groupBy("key").agg(F.max(F.struct("company", "node"))["node"].alias("head")))
+    members = sized(join_frequent(members, heads, "key"))
     stars = members.where(F.col("node") != F.col("head")).select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     stars = sized(stars)
 
-    used = sized(members.select("node").distinct().join(nodes.select("node", "id"), "node"))
-    texts = sized(_texts(named.select(F.col(id_column).alias("id"), F.col(text).alias("text")), used))
+    used = sized(members.select("node").distinct().join(nodes.select("node", F.col("least.row").alias("row")), "node"))
+    texts = sized(_texts(docs.select(row_key(id_column, text).alias("row"), F.col(text).alias("text")), used))
 
     links = sized(similar(stars, texts, frequencies, least))
     labels = components(links)
     crowds = _crowds(components(stars), labels)
     parts = _crowds(components(sized(_parted(crowds, texts, frequencies, least))), labels)
     labels = components(links.union(sized(_blockwise(parts, texts, frequencies, least))))
-    classes = nodes.select("node", "id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    names = classes.groupBy("label").agg(F.min("id").alias("class_id"))
-    by_node = sized(classes.join(names, "label").select("node", "class_id"))
-    named_rows = rows.select("id", "node").join(by_node, "node", "left")
-    return named_rows.groupBy("id").agg(F.min(F.coalesce("class_id", "id")).alias("class_id"), F.count("*").alias("n")).select(
-        F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"), F.col("id").alias(id_column), "class_id").drop("copy")
+    classes = sized(nodes.select("node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    return Classes(known, classes.select("node", "label"), sized(classes.groupBy("label").agg(F.min("least").alias("least"))))
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """id, class_id: one row per document, with the least id of its class.
+
+    Texts without words are alike only if equal; a null text is alone. Rows without id are classed like others, and a
+    class of such rows only has no id. Rows of one id are classed each by its text; if they are the least of several
+    classes, these share a name. Empty tables give empty tables; other columns are ignored.
+    """
+    found = classify(docs, id_column, text, least)
+    by_node = sized(join_frequent(found.nodes, found.names, "label").select("node", F.col("least.id").alias("class_id"), F.lit(True).alias("named")))
+    rows = join_frequent(found.rows, by_node, "node", "left").withColumn("class_id", F.when(F.col("named"), F.col("class_id")).otherwise(F.col("id")))
+    each = rows.select("id", "class_id", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"))
+    return each.select(F.col("id").alias(id_column), "class_id")
 
 
 def _texts(rows: DataFrame, used: DataFrame) -> DataFrame:
-    """node, text: one row for each node in `used` (node, id).
+    """node, text: one row for each node in `used` (node, row), from rows (row, text).
 
-    Most documents are near no other, so before anything is shuffled their texts are left out by a bitmap of id hashes.
-    Its size is fixed: where more ids are used than it tells apart it lets more pass, and the join decides. An id may
-    have several texts, so a text must have its node's content.
+    Most documents are near no other, so before anything is shuffled their texts are left out by a bitmap of row hashes.
+    Its size is fixed: where more rows are used than it tells apart it lets more pass, and the join decides.
     """
-    slot = (F.pmod(F.xxhash64("id"), F.lit(1 << SLOTS_LOG2)) + 1).alias("slot")
+    slot = (F.pmod(F.xxhash64("row"), F.lit(1 << SLOTS_LOG2)) + 1).alias("slot")
     bits = used.select(slot).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
     wanted = np.zeros(1 << SLOTS_LOG2, bool)
     for bucket, found in bits.collect():
@@ -319,7 +358,7 @@ def _crowds(crowd: DataFrame, labels: DataFrame) -> DataFrame:
     rows = sized(crowd.withColumnRenamed("label", "crowd").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     parts = rows.groupBy("crowd", "label").agg(F.count("*").alias("n"))
     mixed = parts.groupBy("crowd").agg(F.sum("n").alias("size"), F.count("*").alias("parts"), F.max(F.struct("n", "label")).alias("main")).where("parts > 1")
-    return sized(rows.join(mixed, "crowd").select("node", "label", "crowd", "size", (F.col("size") - F.col("main.n")).alias("minors"), (F.col("label") != F.col("main.label")).alias("minor")))
+    return sized(join_frequent(rows, sized(mixed), "crowd").select("node", "label", "crowd", "size", (F.col("size") - F.col("main.n")).alias("minors"), (F.col("label") != F.col("main.label")).alias("minor")))
 
 
 def _parted(crowds: DataFrame, texts: DataFrame, frequencies: Frequencies, least: float) -> DataFrame:
@@ -410,13 +449,17 @@ def _weighed(part: pa.RecordBatch, shingler: Shingler, frequencies: Frequencies)
 
 def near_duplicate_report(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, first: whether the document is the one of its class that stays."""
-    return near_duplicates(docs).withColumn("first", F.col("doc_id") == F.col("class_id"))
+    return near_duplicates(docs).withColumn("first", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
-def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """One document of each class: the one of least id. Rows without id can't be told apart and all stay."""
-    classes = near_duplicates(docs, id_column)
-    first = classes.where(F.col(id_column) == F.col("class_id")).select(id_column).distinct()
-    return docs.join(first, id_column, "left_semi").dropDuplicates([id_column]).unionByName(docs.where(F.col(id_column).isNull()))
-
+def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each class: the one of least id, rows without id last, and of those the one of least digest.
 
+    Rows of one id but different texts are different documents; rows of equal id and text are one, also where both
+    are null. Columns stay as they are.
+    """
+    found = classify(docs, id_column, text)
+    stay = found.names.select(F.col("least.row").alias("key")).union(found.rows.where(F.col("node").isNull()).select("row"))
+    # Copies of a row go before the shuffle: there may be any number.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(id_column, text).alias("key")).dropDuplicates(["key"])
+    return whole.join(sized(stay), "key", "left_semi").select("row.*")

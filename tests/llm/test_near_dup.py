@@ -78,13 +78,36 @@ def test_similarity_decides(make):
 
 def test_odd_rows(odd, make):
     got = near_dup.near_duplicates(odd).collect()
-    assert sorted(r.doc_id for r in got) == [1, 2, 3, 4, 4, 5, 6, 7] and all(r.class_id == r.doc_id for r in got)
+    assert sorted(r.doc_id or 0 for r in got) == [0, 1, 2, 3, 4, 4, 5, 6, 7] and all(r.class_id == r.doc_id for r in got)
     docs = make([(9, ""), (8, ""), (7, None), (6, None), (5, "a b"), (4, "A, b!"), (3, "a b c"), (None, "a b"), (5, "a b")], class_id=1, band=2)
     got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(docs).collect()}
-    assert got == {9: 8, 8: 8, 7: 7, 6: 6, 5: 4, 4: 4, 3: 3}
+    assert got == {9: 8, 8: 8, 7: 7, 6: 6, 5: 4, 4: 4, 3: 3, None: 4}
     left = near_dup.drop_near_duplicates(docs)
-    assert left.columns == docs.columns and sorted(r.doc_id or 0 for r in left.collect()) == [0, 3, 4, 6, 7, 8]
-    assert near_dup.near_duplicates(docs.where("false")).count() == 0
+    assert left.columns == docs.columns and sorted(r.doc_id or 0 for r in left.collect()) == [3, 4, 6, 7, 8]
+    assert near_dup.near_duplicates(docs.where("false")).count() == 0 == near_dup.drop_near_duplicates(docs.where("false")).count()
+
+
+def test_rows_are_told_apart_by_id_and_text(make):
+    one, two, three = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    docs = make([(5, one), (5, two), (5, one), (6, two), (None, one), (None, three), (None, three), (None, None), (None, None)])
+    classes = sorted((r.doc_id or 0, r.class_id or 0) for r in near_dup.near_duplicates(docs).collect())
+    assert classes == [(0, 0)] * 4 + [(0, 5)] + [(5, 5)] * 3 + [(6, 5)]
+    left = sorted((r.doc_id or 0, r.text or "") for r in near_dup.drop_near_duplicates(docs).collect())
+    assert left == sorted([(5, one), (5, two), (0, three), (0, "")])
+
+
+def test_frequent_values_are_dealt_and_change_nothing(spark, make, monkeypatch):
+    monkeypatch.setattr(near_dup, "SPREAD", 5)
+    rows = spark.range(200).selectExpr("case when id < 90 then 1 when id < 95 then null else id end as k", "id as v")
+    few = spark.range(150).selectExpr("id as k", "id * 2 as w")
+    for how in ("inner", "left"):
+        got = sorted(near_dup.join_frequent(rows, few, "k", how).select("k", "v", "w").collect(), key=str)
+        assert got == sorted(rows.join(few, "k", how).select("k", "v", "w").collect(), key=str)
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    group = [" ".join(words[:i] + ["x"] + words[i + 1:]) for i in range(60)]
+    got = near_dup.near_duplicates(make(list(enumerate(group + [" ".join(words)] * 30 + ["something else " * 9])))).collect()
+    assert {r.class_id for r in got if r.doc_id < 90} == {0} and len(got) == 91
 
 
 def test_near_copies_in_a_group_of_a_third(make):
