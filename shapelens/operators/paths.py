@@ -19,9 +19,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from shapelens.functions.json_types import BIT, ITEM_SHIFT, json_type_bit
 from shapelens.functions.naming import child_path_sql
+from shapelens.operators import shapes
 from shapelens.operators.open_keys import FIELD_SHARE, OPEN_FROM, has_wild, opened, with_wild
 from shapelens.session import sized
 
@@ -117,10 +119,10 @@ def count_shapes(events: DataFrame, keys: list[str], event: str = "event", text:
     names = [_name(k) for k in keys]
     if text not in events.columns:
         return events.selectExpr(*names, f"{_name(event)} as event", "1L as n")
-    shaped = events.selectExpr(*names, f"if({_name(event)} is null, null, {shape_sql(_name(text))}) as shape")
-    # The null shape is dropped from what is written: a filter before it would be pushed down with a second copy of the shape.
-    counted = sized(shaped.groupBy(*keys, "shape").agg(F.count("*").alias("n"))).where("shape is not null")
-    return counted.selectExpr(*names, f"parse_json({event_of_shape_sql('shape')}) as event", "n")
+    texts = events.selectExpr(*names, f"if({_name(event)} is null, null, {_name(text)}) as shape")
+    made = StructType([*[texts.schema[k] for k in keys], StructField("shape", StringType()), StructField("n", LongType())])
+    counted = sized(texts.mapInArrow(shapes.counted(keys), made).groupBy(*keys, "shape").agg(F.sum("n").alias("n")))
+    return counted.selectExpr(*names, "parse_json(shape) as event", "n")
 
 
 def _name(column: str) -> str:

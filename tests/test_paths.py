@@ -2,12 +2,14 @@
 
 import json
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shapelens.functions.json_types import BIT, types_in
+from shapelens.operators import shapes
 from shapelens.operators.decode import classify_events, decode_messages
 from shapelens.operators.paths import count_shapes, event_structures, json_paths, shape_sql
 from shapelens.operators.structure import merge_structures
@@ -201,3 +203,25 @@ def test_repeated_items_share_a_shape(spark):
     texts = ['{"a":[%s]}' % ",".join(str(i) for i in range(n)) for n in range(2, 30)] + ['{"a":[{"b": %d}, {"b":%d}]}' % (i, i + 1) for i in range(20)]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(f"{shape_sql('t')} as s")
     assert rows.distinct().count() == 2
+
+
+def test_batches_of_texts_give_the_shapes_of_single_ones():
+    """Texts of all kinds in one batch: escapes, spaces, long numbers, words at the edges of texts."""
+    texts = SHAPES + [
+        "1", "2", "true", "false", "null", "-0", "1e5", '""', '"x"', "[]", "{}", ' { "a" : [ 1 , null , null , "x:" ] } ', '{"a":9223372036854775807}', '{"a":-123456789012345678}',
+        '{"é":"ü","12":{"34":[{"5":"6"},{"5":"7"},{"5":8}]}}', '{"a,{},{}]":[{},{},1.5,2.5,-3]}', '{"a":"x"} trailing "', '{"a":"x"} y z']
+    got = [shapes._shape(m) for m in shapes.marked_texts(pa.array(texts)).to_pylist()]
+    assert got[:-2] == [shapes._shape(shapes._marked(t)) for t in texts[:-2]]
+    assert shapes.marked_texts(pa.array(texts).slice(3, 4)).to_pylist() == shapes.marked_texts(pa.array(texts)).to_pylist()[3:7]
+    assert got[-2].startswith('{"a":"s"}') and shapes.marked_texts(pa.array([], pa.string())).to_pylist() == []
+    assert shapes._shape(shapes._marked('{"a":[1,2,3],"b":[{"k":1},{"k":2}],"c":["x","y",1.5]}')) == '{"a":[0],"b":[{"k":0}],"c":["s",1.5]}'
+
+
+def test_shapes_are_counted_before_rows_leave_their_batch(spark):
+    """Thousands of events of two shapes are a few rows once a batch has been looked at, without a regular expression over each text."""
+    rows = spark.range(5000).selectExpr("'e' as event_type", "if(id % 2 = 0, concat('{\"a\":', id, '}'), concat('{\"a\":\"', id, '\"}')) as shape").coalesce(1)
+    counted = rows.mapInArrow(shapes.counted(["event_type"]), "event_type string, shape string, n bigint").collect()
+    assert {tuple(r) for r in counted} == {("e", '{"a":0}', 2500), ("e", '{"a":"s"}', 2500)}
+    events = rows.selectExpr("event_type", "shape as event_text", "parse_json(shape) as event")
+    plan = count_shapes(events, ["event_type"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
