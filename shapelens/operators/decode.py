@@ -50,7 +50,7 @@ def decode_messages(messages: DataFrame, registry: DataFrame | None = None,
     ))))
     known = F.lit(False)
     if registry is not None:
-        carried = messages.select(F.when(m.is_avro_message(value, hash_length), m.schema_hash_of(value, hash_length)).alias("schema_hash"))
+        carried = messages.select(F.when(m.is_avro_message(value, hash_length), m.schema_hash_of(value, hash_length)).alias("schema_hash"), F.octet_length("value").alias("n_bytes"))
         rows = schema_registry_lookup(rows, registry, carried)
         known = F.col("schema_json").isNotNull()
     reason = (

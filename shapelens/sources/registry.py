@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,6 +28,10 @@ def registry_from_base64(table: DataFrame) -> DataFrame:
 HOT_SHARE = 0.005
 #: Most text of hot schemas that is broadcast, the most frequent first; the rest is joined like others.
 HOT_CHARS = 16_000_000
+#: Text of schemas and messages that one task of the lookup sorts; compressed shuffle files say little about it.
+TASK_BYTES = 32 << 20
+#: Bytes taken for a message where nothing says how long it is.
+MESSAGE_BYTES = 200
 
 
 def hot_schemas(hashes: DataFrame, schemas: DataFrame, share: float = HOT_SHARE, chars: int = HOT_CHARS) -> DataFrame:
@@ -42,24 +48,44 @@ def hot_schemas(hashes: DataFrame, schemas: DataFrame, share: float = HOT_SHARE,
         "_hash", F.col("schema_json").alias("hot_json")))
 
 
+def text_bytes(registry: DataFrame) -> int:
+    """Bytes of all schema texts: Catalyst takes a text that is made on the way for 20 bytes."""
+    return registry.agg(F.sum(F.octet_length("schema_json"))).first()[0] or 0
+
+
+def lookup_tasks(hashes: DataFrame, schema_bytes: int) -> int:
+    """Tasks among which the texts of a registry and of messages are dealt, so that what one of them holds does not grow.
+
+    `hashes` may have the messages' lengths as `n_bytes`.
+    """
+    length = F.coalesce(F.sum("n_bytes"), F.lit(0)) if "n_bytes" in hashes.columns else F.count("*") * MESSAGE_BYTES
+    n_bytes = schema_bytes + hashes.agg(length).first()[0]
+    return max(int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / TASK_BYTES))
+
+
 def schema_registry_lookup(messages: DataFrame, registry: DataFrame, hashes: DataFrame | None = None, small: bool | None = None) -> DataFrame:
     """Left join `schema_json` by `schema_hash`.
 
-    A registry that Catalyst broadcasts is joined at once. Beyond that size the join shuffles: schemas of hot hashes are
+    A registry that Catalyst broadcasts, and whose texts are no more than those of hot schemas may be, is joined at once. Beyond that size the join shuffles: schemas of hot hashes are
     found by counting and broadcast, and rows that have theirs, or no hash at all, get spread keys instead of meeting in
     one task. `hashes` is where the counting reads `schema_hash` (the messages themselves, unless something cheaper
-    holds it); `small` overrides the look at the registry's size.
+    holds it); `small` overrides the look at the registry's size. Tasks are as many as the texts need (`lookup_tasks`).
     """
     schemas = registry.groupBy(F.col("schema_hash").alias("_hash")).agg(F.min("schema_json").alias("schema_json"))
+    schema_bytes = text_bytes(registry)
     if small is None:
-        small = fits_broadcast(registry)
+        small = schema_bytes <= HOT_CHARS and fits_broadcast(registry)
     if small:
         return messages.join(schemas.withColumnRenamed("_hash", "schema_hash"), "schema_hash", "left").select(*messages.columns, "schema_json")
-    hot = hot_schemas(messages.select("schema_hash") if hashes is None else hashes, schemas)
+    hashes = messages.select("schema_hash") if hashes is None else hashes
+    tasks = lookup_tasks(hashes, schema_bytes)
+    hot = hot_schemas(hashes, schemas)
     first = messages.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), F.col("schema_hash") == F.col("_hash"), "left").drop("_hash")
     spread = F.concat(F.lit("{"), F.xxhash64("topic", "partition", "offset").cast("string"))
     keyed = first.withColumn("_hash", F.when(F.col("_hot") | F.col("schema_hash").isNull(), spread).otherwise(F.col("schema_hash")))
-    return keyed.join(schemas, "_hash", "left").withColumn("schema_json", F.coalesce("hot_json", "schema_json")).select(*messages.columns, "schema_json")
+    # dealt before they are grouped: texts are sorted once, for both the minimum and the join
+    dealt = registry.select(F.col("schema_hash").alias("_hash"), "schema_json").repartition(tasks, "_hash").groupBy("_hash").agg(F.min("schema_json").alias("schema_json"))
+    return keyed.repartition(tasks, "_hash").join(dealt.hint("merge"), "_hash", "left").withColumn("schema_json", F.coalesce("hot_json", "schema_json")).select(*messages.columns, "schema_json")
 
 
 def schema_conflicts(registry: DataFrame) -> DataFrame:

@@ -138,3 +138,22 @@ def test_no_large_task_for_a_hot_hash(spark):
     hot = hot_schemas(messages.select("schema_hash"), registry.withColumnRenamed("schema_hash", "_hash"))
     assert {tuple(r) for r in hot.collect()} == {("hot", "HOT"), ("unknown", None)}
     assert hot_schemas(messages.select("schema_hash"), registry.withColumnRenamed("schema_hash", "_hash"), chars=2).count() <= 1
+
+
+def test_lookup_deals_texts_by_their_bytes(spark, monkeypatch):
+    """A registry whose texts are long is not broadcast, however small Catalyst takes it for, and more text means more tasks."""
+    from shapelens.sources import registry
+
+    rows = spark.range(3000).selectExpr("md5(string(id)) as schema_hash", "concat(id, repeat('x', 1000)) as schema_json")
+    messages = spark.range(3100).selectExpr("'t' as topic", "0 as partition", "id as offset", "if(id % 31 = 30, null, md5(string(id))) as schema_hash")
+    want = {r.offset: r.schema_json for r in messages.join(rows, "schema_hash", "left").collect()}
+    assert registry.text_bytes(rows) > 3_000_000 and registry.text_bytes(rows.where("false")) == 0
+    monkeypatch.setattr(registry, "HOT_CHARS", 1_000_000)
+    monkeypatch.setattr(registry, "TASK_BYTES", 200_000)
+    tasks = registry.lookup_tasks(messages, registry.text_bytes(rows))
+    assert tasks >= 16
+    assert registry.lookup_tasks(messages.where("false").withColumn("n_bytes", F.lit(1)), 0) == 8
+    found = registry.schema_registry_lookup(messages, rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and f", {tasks})" in plan
+    assert {r.offset: r.schema_json for r in found.collect()} == want and found.count() == 3100
