@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -602,13 +603,23 @@ def d4_lineage_over_runs(spark, sf_dir):
 
 # --- streaming --------------------------------------------------------------------------------------------------
 
+#: Rows of a file that a stream reads.
+STREAM_FILE_ROWS = 500_000
+
+
+def _files(rows: DataFrame, least: int) -> int:
+    """Files for the rows of a stream: a multiple of `least`, so that no task's share grows with the rows."""
+    return least * max(1, math.ceil(rows.count() / (least * STREAM_FILE_ROWS)))
+
+
 @query
 def r1_stream_structures(spark, sf_dir):
     """Shipments as a stream of files, merged batch by batch."""
     root = _scratch(spark)
     rows = inputs.shipment_messages(spark, sf_dir)
-    rows.repartition(24, "offset").write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/in")
+    files = _files(rows, 24)
+    rows.repartition(files, "offset").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files // 3).parquet(f"{root}/in")
     stream_structures(stream, f"{root}/registry", f"{root}/checkpoint", availableNow=True).awaitTermination()
     return latest_structures(spark, f"{root}/registry").select("event_type", "path", "optional", "n_trees")
 
@@ -618,8 +629,9 @@ def r1_stream_shapes(spark, sf_dir):
     """The same with counts as the stream's state, over a restart: half of the files come after the first run has ended."""
     root = _scratch(spark)
     rows = inputs.shipment_messages(spark, sf_dir)
+    files = _files(rows, 4)
     for half in range(2):
-        rows.where(F.col("offset") % 2 == half).repartition(4, "offset").write.mode("append").parquet(f"{root}/in")
-        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/in")
+        rows.where(F.col("offset") % 2 == half).repartition(files, "offset").write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
         stream_shapes(stream, f"{root}/registry", f"{root}/checkpoint", availableNow=True).awaitTermination()
     return latest_structures(spark, f"{root}/registry").select("event_type", "path", "optional", "n_trees")

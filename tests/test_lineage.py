@@ -125,3 +125,11 @@ def test_stream_state_over_a_restart(spark, tmp_path):
         stream_shapes(stream, path, checkpoint, availableNow=True).awaitTermination()
     assert result(latest_structures(spark, path)) == result(merge_structures(json_paths(classify_events(decode_messages(messages(spark, documents))))))
     assert len(snapshots(spark, path)) == 3
+
+
+def test_files_of_a_stream_grow_with_its_rows(spark, monkeypatch):
+    """No task writes or reads a fixed share of all rows, and batches stay as many."""
+    from shapelens.plans import queries
+
+    monkeypatch.setattr(queries, "STREAM_FILE_ROWS", 10)
+    assert [queries._files(spark.range(n), 24) for n in (0, 240, 241, 2400)] == [24, 24, 48, 240]
