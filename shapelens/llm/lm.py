@@ -5,8 +5,8 @@ over groups of its tokens; a token's share of its group comes from counts. Frequ
 others are classed by how they end and grouped by how they begin, which can be known without a list of all tokens.
 Classes, the softmaxes' first biases and shares come from counts over the whole training part.
 
-Weights are trained in numpy by truncated backpropagation on a share of all training documents that grows with them:
-whole texts, dealt into shards. In each round every shard goes on from the common weights, and these become the mean of
+Weights are trained in numpy by truncated backpropagation on all training documents: whole texts, dealt into rounds and
+shards; where there are few, each is in several rounds. In each round every shard goes on from the common weights, and these become the mean of
 what the shards have learnt, weighted by their tokens.
 
 Documents are dealt into blocks by a hash. A block sends each of its distinct tokens once, with its count, to be
@@ -37,10 +37,12 @@ CLASSES = SINGLES + ENDINGS + 1
 #: Groups of the tokens of a class.
 HEADS = 16
 SIZE, WINDOW = 16, 32
-#: The network learns from one in LEARN_ONE_OF training documents, or from LEARN_LEAST if that is more; all if there are fewer.
-LEARN_ONE_OF, LEARN_LEAST = 16, 1500
 #: Documents of a shard, on average, and times that the shards' weights are put together.
-SHARD_DOCS, ROUNDS = 1500, 4
+SHARD_DOCS, ROUNDS = 6000, 4
+#: Documents of a round, if there are as many: a document is in so many rounds that this is reached, and in one at least.
+LEARN_LEAST = 1500
+#: Tokens of a stream and most streams: large shards take wider steps, not more of them.
+STREAM_TOKENS, MOST_STREAMS = 7000, 256
 RATE = 0.01
 #: Rows whose logits fit a core's cache.
 CACHED = 1024
@@ -223,7 +225,7 @@ class Model:
             flush()
         return out
 
-    def learn(self, documents: list[tuple[np.ndarray, np.ndarray]], turn: int, turns: int, streams: int = 64) -> None:
+    def learn(self, documents: list[tuple[np.ndarray, np.ndarray]], turn: int, turns: int, streams: int | None = None) -> None:
         """One pass over (classes, heads) of documents: truncated backpropagation, the state carried between windows.
 
         `turn` of `turns` such passes sets the rate, which falls from pass to pass and within each.
@@ -231,6 +233,7 @@ class Model:
         adam, adam_gru = Adam(), Adam()
         line = np.concatenate([np.concatenate([[CLASSES], c]) for c, _ in documents]).astype(np.int16)
         groups = np.concatenate([np.concatenate([[0], g]) for _, g in documents])
+        streams = min(MOST_STREAMS, max(64, len(line) // STREAM_TOKENS)) if streams is None else streams
         streams = max(1, min(streams, len(line) // 8))
         width = len(line) // streams
         grid, group_grid = (x[: width * streams].reshape(streams, width).T for x in (line, groups))
@@ -295,22 +298,22 @@ def _pass(model: Model, turn: int) -> Callable[[pa.Table], pa.Table]:
 
 
 def fit(docs: DataFrame, counts: DataFrame, n_docs: int) -> Model:
-    """docs: id, text, learn. Weights learnt from one in LEARN_ONE_OF of `n_docs` documents to learn from (see there)."""
+    """docs: id, text, learn. Weights learnt from each of the `n_docs` documents to learn from, in one round at least."""
     classes = classes_of(counts)
     model = Model(classes, group_counts(counts, classes))
-    wanted = max(LEARN_LEAST, math.ceil(n_docs / LEARN_ONE_OF))
     if not n_docs:
         return model
-    order = F.xxhash64("id", "text")
-    chosen = docs.where("learn").withColumn("order", order).where(F.pmod("order", F.lit(1 << 20)) < F.lit(math.ceil((1 << 20) * min(1.0, wanted / n_docs))))
-    shards = max(1, math.ceil(min(wanted, n_docs) / SHARD_DOCS))
+    each = max(1, min(ROUNDS, math.ceil(ROUNDS * LEARN_LEAST / n_docs)))
+    shards = max(1, math.ceil(n_docs * each / ROUNDS / SHARD_DOCS))
     # rows of equal id and text are spread too: no shard grows with them
-    dealt = sized(chosen.select(F.pmod(F.xxhash64("order", F.rand(3)), F.lit(shards)).cast("int").alias("shard"), "order", "text"))
+    dealt = sized(docs.where("learn").withColumn("order", F.xxhash64("id", "text")).withColumn("place", F.pmod(F.xxhash64("order", F.rand(3)), F.lit(shards * ROUNDS))).select(
+        F.floor(F.col("place") / ROUNDS).cast("int").alias("shard"), F.pmod("place", F.lit(ROUNDS)).cast("int").alias("first"), "order", "text"))
     for turn in range(ROUNDS):
-        learnt = dealt.groupBy("shard").applyInArrow(_pass(model, turn), "place int, value double")
+        learnt = dealt.where(F.pmod(F.lit(turn) - F.col("first"), F.lit(ROUNDS)) < each).select("shard", "order", "text").groupBy("shard").applyInArrow(_pass(model, turn), "place int, value double")
         sums = {r.place: r.value for r in learnt.groupBy("place").agg(F.sum("value").alias("value")).collect()}  # as many as weights
-        total = sums.pop(-1)
-        model = model.with_weights(np.array([sums[i] for i in range(len(sums))]) / total)
+        total = sums.pop(-1, None)
+        if total:  # a handful of documents may leave a round empty
+            model = model.with_weights(np.array([sums[i] for i in range(len(sums))]) / total)
     return model
 
 

@@ -101,3 +101,24 @@ def test_odd_rows(odd):
     assert lm.lm_report(odd.where("false")).count() == 0
     only_held = lm.lm_report(odd.where("doc_id is null")).collect()
     assert [r.n_known for r in only_held] == [0] and math.isfinite(only_held[0].score)
+
+
+def test_every_training_document_is_learnt_from(spark, monkeypatch):
+    """Rounds together pass over all training documents, however many there are."""
+    seen = spark.sparkContext.accumulator(0)
+    inner = lm._pass
+
+    def counting(model, turn):
+        learn = inner(model, turn)
+
+        def count(table):
+            seen.add(len(table))
+            return learn(table)
+
+        return count
+
+    monkeypatch.setattr(lm, "_pass", counting)
+    monkeypatch.setattr(lm, "LEARN_LEAST", 20)
+    docs = spark.range(400).selectExpr("id", "concat('common w', id) as text", "id % 4 <> 1 as learn")
+    assert lm.score_texts(docs, F.col("learn"), "id").count() == 400
+    assert seen.value == 300
