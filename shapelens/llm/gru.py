@@ -8,7 +8,7 @@ import numpy as np
 def sigmoid(x: np.ndarray) -> np.ndarray:
     """In place on a fresh array."""
     np.negative(x, out=x)
-    np.exp(np.clip(x, None, 30, out=x), out=x)
+    np.exp(np.minimum(x, np.float32(30), out=x), out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
@@ -73,6 +73,58 @@ class Gru:
         g["w"][seen] = np.add.reduceat(d_flat[order], at, axis=0)
         return g
 
+    def forward_all(self, symbols: np.ndarray, h: np.ndarray):
+        """`forward` where every stream has a symbol at every step; `backward_all` takes what is kept.
+
+        Working arrays have a column per stream, so that gates are contiguous.
+        """
+        n = self.size
+        u, uc = -self.p["u"].T, self.p["uc"].T.copy()
+        given = np.ascontiguousarray(self.p["w"][symbols].transpose(0, 2, 1))
+        np.negative(given[:, : 2 * n], out=given[:, : 2 * n])
+        hs = np.empty((len(symbols) + 1, n, symbols.shape[1]), np.float32)
+        hs[0] = h.T
+        cs, rhs = np.empty_like(hs[1:]), np.empty_like(hs[1:])
+        with np.errstate(over="ignore"):  # a closed gate is 1 / inf
+            for t in range(len(symbols)):
+                zr, c, h = given[t, : 2 * n], cs[t], hs[t]
+                zr += u @ h
+                np.exp(zr, out=zr)
+                zr += 1
+                np.reciprocal(zr, out=zr)
+                np.multiply(zr[n:], h, out=rhs[t])
+                np.matmul(uc, rhs[t], out=c)
+                c += given[t, 2 * n:]
+                np.tanh(c, out=c)
+                np.subtract(h, c, out=hs[t + 1])
+                hs[t + 1] *= zr[:n]
+                hs[t + 1] += c
+        return hs[1:].transpose(0, 2, 1).copy(), (hs[:-1], given[:, :n], given[:, n: 2 * n], cs, rhs)
+
+    def backward_all(self, symbols: np.ndarray, kept: tuple, d_out: np.ndarray) -> dict[str, np.ndarray]:
+        n, (hs, zs, rs, cs, rhs) = self.size, kept
+        by_c, by_z, by_r = (1 - zs) * (1 - cs * cs), (hs - cs) * zs * (1 - zs), rhs * (1 - rs)
+        d_out = np.ascontiguousarray(d_out.transpose(0, 2, 1))
+        d_in = np.empty((len(symbols), 3 * n, symbols.shape[1]), np.float32)
+        dh = np.zeros_like(d_out[0])
+        for t in range(len(symbols) - 1, -1, -1):
+            dh += d_out[t]
+            dzr, dc = d_in[t, : 2 * n], d_in[t, 2 * n:]
+            np.multiply(dh, by_c[t], out=dc)
+            drh = self.p["uc"] @ dc
+            np.multiply(dh, by_z[t], out=dzr[:n])
+            np.multiply(drh, by_r[t], out=dzr[n:])
+            dh *= zs[t]
+            drh *= rs[t]
+            dh += drh
+            dh += self.p["u"] @ dzr
+        g = {"w": np.zeros_like(self.p["w"]), "u": (hs @ d_in[:, : 2 * n].transpose(0, 2, 1)).sum(0), "uc": (rhs @ d_in[:, 2 * n:].transpose(0, 2, 1)).sum(0)}
+        flat, d_flat = symbols.ravel(), d_in.transpose(0, 2, 1).reshape(-1, 3 * n)
+        order = np.argsort(flat, kind="stable")
+        seen, at = np.unique(flat[order], return_index=True)
+        g["w"][seen] = np.add.reduceat(d_flat[order], at, axis=0)
+        return g
+
 
 class Adam:
     def __init__(self, rate: float = 0.01):

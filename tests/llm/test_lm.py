@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shapelens.llm import lm
+from shapelens.llm.gru import Gru
 
 
 def test_base_and_counts_equal_plain_code(spark):
@@ -122,3 +123,73 @@ def test_every_training_document_is_learnt_from(spark, monkeypatch):
     docs = spark.range(400).selectExpr("id", "concat('common w', id) as text", "id % 4 <> 1 as learn")
     assert lm.score_texts(docs, F.col("learn"), "id").count() == 400
     assert seen.value == 300
+
+
+def test_no_text_is_written_or_shuffled(spark, monkeypatch):
+    """What goes to disk is a byte or two a token, wherever blocks are cut, and the same scores come back."""
+    words = "concat_ws(' ', transform(sequence(1, 60), i -> concat('Common', pmod(hash(id, i), 9))), concat('w', id))"
+    docs = spark.range(0, 600, 1, 3).selectExpr("if(id % 50 = 0, null, id) as id", f"{words} as text", "id % 4 <> 1 as learn")
+    written, inner = [], lm.sized
+
+    def keeping(df):
+        written.append(inner(df))
+        return written[-1]
+
+    monkeypatch.setattr(lm, "sized", keeping)
+    scored = lm.score_texts(docs, F.col("learn"), "id")
+    assert not [t.columns for t in written if "text" in t.columns]
+    assert "text#" not in scored._jdf.queryExecution().executedPlan().toString()
+    packed = [t.agg(F.sum(F.octet_length(c))).first()[0] for t in written for c, kind in t.dtypes if kind == "binary"]
+    assert len(packed) == 2 and max(packed) < 0.2 * docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    want = sorted(scored.collect(), key=str)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 20000)
+    del written[:]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = sorted(lm.score_texts(docs, F.col("learn"), "id").collect(), key=str)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert written[0].select("block").distinct().count() == 12
+    assert [(r.id, r.n_tokens, r.n_known, r.train_tokens) for r in got] == [(r.id, r.n_tokens, r.n_known, r.train_tokens) for r in want]
+    assert sorted(r.score for r in got) == pytest.approx(sorted(r.score for r in want), rel=1e-5)
+    assert sorted(r.base_score for r in got) == pytest.approx(sorted(r.base_score for r in want))
+
+
+def test_numbers_come_back_from_bytes():
+    numbers = np.array([0, 127, 128, 16383, 16384, 2**21, 2**28 - 1, 2**31, 5])
+    starts = np.array([0, 0, 3, 8, 9, 9])
+    column = lm.pack(numbers, starts)
+    assert [len(x.as_py()) for x in column] == [0, 4, 2 + 3 + 4 + 4 + 5, 1, 0]
+    for got, want in zip(lm.unpack(column), (numbers, starts), strict=True):
+        assert got.tolist() == want.tolist()
+    cut, at = lm.unpack(column.slice(1, 2))
+    assert cut.tolist() == numbers[:8].tolist() and at.tolist() == [0, 3, 8]
+    classes, heads = (x.ravel() for x in np.meshgrid(np.arange(lm.CLASSES), np.arange(lm.HEADS)))
+    kinds, groups = lm.choice_parts(lm.choice(classes, heads))
+    assert (kinds == classes).all() and (groups == np.where(classes < lm.SINGLES, 0, heads)).all()
+
+
+def test_passes_over_full_streams_equal_those_over_any():
+    random = np.random.default_rng(5)
+    gru = Gru(9, 4, random)
+    x, h, back = random.integers(0, 9, (6, 5)), random.normal(0, 0.5, (5, 4)).astype(np.float32), random.normal(0, 1, (6, 5, 4)).astype(np.float32)
+    want, kept = gru.forward(x, h, np.ones(x.shape, bool))
+    got, kept_all = gru.forward_all(x, h)
+    assert np.allclose(got, want, atol=1e-6)
+    slopes = gru.backward(x, np.ones(x.shape, bool), kept, back)
+    for k, g in gru.backward_all(x, kept_all, back).items():
+        assert np.allclose(g, slopes[k], atol=1e-5), k
+
+
+def test_slopes_are_those_of_the_loss_at_any_reach():
+    random = np.random.default_rng(7)
+    for scale, reaches in ((1, False), (60, True)):
+        weight, bias = random.normal(0, scale, (4, 6)).astype(np.float32), random.normal(0, 1, 6).astype(np.float32)
+        states, targets, share = random.uniform(-1, 1, (8, 4)).astype(np.float32), random.integers(0, 6, 8), random.uniform(0, 1, 8).astype(np.float32)
+        level, far = lm._levelled(weight, bias)
+        logits = (states @ weight + bias).astype(np.float64)
+        odds = np.exp(logits - logits.max(1, keepdims=True))
+        odds /= odds.sum(1, keepdims=True)
+        want = (odds - np.eye(6)[targets]) * share[:, None]
+        assert far == reaches and np.allclose(lm._slopes(states @ weight + level, targets, share, far), want, atol=1e-4)
+        assert np.allclose(lm._log_chosen(states @ weight + level, targets, far), np.log(np.maximum(odds[np.arange(8), targets], 1e-300)), atol=1e-3)
